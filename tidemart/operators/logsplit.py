@@ -28,17 +28,24 @@ LOG_SCHEMA = T.StructType([
 
 def parse(raw: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
     """Split raw lines into (clean records, dirty lines).  Other columns of
-    ``raw`` (e.g. an arrival ``seq``) are kept on clean records."""
+    ``raw`` (e.g. an arrival ``seq``) are kept on clean records.
+
+    The parse and the dirty flag are produced by one generator row per line
+    (``inline`` of a one-element array): predicates on its output cannot be
+    pushed below it, so each line is parsed exactly once instead of once per
+    predicate that reads the parsed struct."""
     keep = [c for c in raw.columns if c != value_col]
     j = F.from_json(F.col(value_col), LOG_SCHEMA,
                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    parsed = raw.select(j.alias("_j"), F.col(value_col), *keep)
+    parsed = raw.select(F.inline(F.array(F.struct(j.alias("_j"), F.col(value_col).alias(value_col),
+                                                  *[F.col(c) for c in keep]))))
     dirty_cond = (F.col("_j").isNull() | F.col("_j._corrupt_record").isNotNull()
                   | F.col("_j.common.mid").isNull())
-    clean = (parsed.filter(~dirty_cond)
+    flagged = parsed.withColumn("_dirty", dirty_cond)
+    clean = (flagged.filter(~F.col("_dirty"))
              .select(*[F.col(f"_j.{f.name}").alias(f.name) for f in LOG_SCHEMA.fields
                        if f.name != "_corrupt_record"], *keep))
-    dirty = parsed.filter(dirty_cond).select(F.col(value_col).alias("line"))
+    dirty = flagged.filter(F.col("_dirty")).select(F.col(value_col).alias("line"))
     return clean, dirty
 
 

@@ -43,16 +43,26 @@ def first_visit_per_day(df: DataFrame, key: str, extra_keys=()) -> DataFrame:
 
 
 def daily_first_with_history(df: DataFrame, key: str) -> DataFrame:
-    """First row per (key, day) plus ``_day``, ``_prev_day`` (the key's
-    previous active day) and ``_is_first_ever``.  Used by T5-T7.  The window
-    runs over daily rows only: at most one row per key per day."""
+    """First activity time per (key, day) with ``_day``, ``_prev_day`` (the
+    key's previous active day) and ``_is_first_ever``.  Used by T5-T7.
+
+    Only the first time of each day matters, so this is a plain ``min`` (hash
+    aggregate with map-side combine); the window then runs over daily rows
+    only: at most one row per key per day."""
     d = df.withColumn("_day", F.to_date(ms_to_date("ts")))
-    daily = first_rows(d, [key, "_day"], ORDER)
+    daily = d.groupBy(key, "_day").agg(F.min("ts").alias("ts"))
     w = Window.partitionBy(key).orderBy("_day")
     return (daily.withColumn("_prev_day", F.lag("_day").over(w))
             .withColumn("_is_first_ever", F.col("_prev_day").isNull()))
 
 
+def first_time_per_day(df: DataFrame, keys) -> DataFrame:
+    """T4 / T8 when only the time of the first visit matters: ``min(ts)`` per
+    (keys, day)."""
+    d = df.withColumn("_day", ms_to_date("ts"))
+    return d.groupBy(*keys, "_day").agg(F.min("ts").alias("ts")).drop("_day")
+
+
 def login_flags(logins: DataFrame, uid: str = "uid", back_days: int = 8) -> DataFrame:
     """T5: one row per (user, day) first login with ``uu_ct`` = 1 and
     ``back_ct`` = 1 when the previous login day is ``back_days`` or more

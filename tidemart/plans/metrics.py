@@ -25,7 +25,7 @@ def home_detail_uv(page: DataFrame, size: int = WINDOW_SECONDS) -> DataFrame:
     """(window): home / good-detail unique visitors; only windows with one
     (P11, T4, W1, A7).  ``page`` is flat with ``seq``."""
     p = page.filter(F.col("page_id").isin(PAGE_HOME, PAGE_GOOD_DETAIL))
-    firsts = visits.first_visit_per_day(p.select("mid", "page_id", "ts", "seq"), "mid", ["page_id"])
+    firsts = visits.first_time_per_day(p.select("mid", "page_id", "ts"), ["mid", "page_id"])
     flags = firsts.select(
         "ts", (F.col("page_id") == PAGE_HOME).cast("bigint").alias("home"),
         (F.col("page_id") == PAGE_GOOD_DETAIL).cast("bigint").alias("detail"))
@@ -61,7 +61,7 @@ def user_login(page: DataFrame, back_days: int = BACK_USER_DAYS, size: int = WIN
     """(window): unique logged-in users and returning users."""
     logins = page.filter(F.col("uid").isNotNull()
                          & (F.col("last_page_id").isNull() | (F.col("last_page_id") == PAGE_LOGIN)))
-    flags = visits.login_flags(logins.select("uid", "ts", "seq"), "uid", back_days)
+    flags = visits.login_flags(logins.select("uid", "ts"), "uid", back_days)
     return tumbling_agg(with_event_time(flags), {"back_ct": _sum("back_ct"), "uu_ct": _sum("uu_ct")},
                         size_seconds=size)
 
@@ -90,9 +90,9 @@ def cart_add_uu(cart: DataFrame, size: int = WINDOW_SECONDS, count_every_add: bo
     """(window): unique cart-add users per day (T8, A6).  The reference never
     writes its state, so every add counts; ``count_every_add=True`` gives
     that literal behaviour."""
-    c = cart.select("user_id", sec_to_ms("ts").alias("ts"), F.col("id").cast("bigint").alias("seq"))
+    c = cart.select("user_id", sec_to_ms("ts").alias("ts"))
     if not count_every_add:
-        c = visits.first_visit_per_day(c, "user_id")
+        c = visits.first_time_per_day(c, ["user_id"])
     return tumbling_agg(with_event_time(c), {"cart_add_uu_ct": F.count(F.lit(1)).cast("bigint")},
                         size_seconds=size)
 
@@ -112,20 +112,16 @@ def _unique_new_window(rows: DataFrame, uu_name: str, new_name: str, size: int)
                       F.coalesce(F.col(new_name), F.lit(0).cast("bigint")).alias(new_name))
 
 
-def _seq_of(id_col: str):
-    return F.xxhash64(F.col(id_col))
-
-
 def trade_order(order_detail: DataFrame, size: int = WINDOW_SECONDS) -> DataFrame:
     """(window): unique and first-time ordering users."""
     d = order_detail.filter(F.col("user_id").isNotNull() & F.col("source_type_name").isNotNull())
-    rows = d.select("user_id", sec_to_ms("ts").alias("ts"), F.col("id").alias("seq"))
+    rows = d.select("user_id", sec_to_ms("ts").alias("ts"))
     return _unique_new_window(rows, "order_unique_user_count", "order_new_user_count", size)
 
 
 def trade_payment(pay: DataFrame, size: int = WINDOW_SECONDS) -> DataFrame:
     """(window): unique and first-time paying users."""
-    rows = pay.select("user_id", sec_to_ms("ts").alias("ts"), F.col("order_detail_id").alias("seq"))
+    rows = pay.select("user_id", sec_to_ms("ts").alias("ts"))
     return _unique_new_window(rows, "payment_suc_unique_user_count",
                               "payment_suc_new_user_count", size)
 
@@ -137,6 +133,8 @@ def trade_sku_order(order_detail: DataFrame, dims: dict, size: int = WINDOW_SECO
     the later arrival).  Enrichment runs after aggregation, on one row per
     (window, sku)."""
     d = order_detail.filter(F.col("user_id").isNotNull() & F.col("source_type_name").isNotNull())
+    d = d.select("id", "sku_id", "ts", "row_op_ts", "split_original_amount", "split_activity_amount",
+                 "split_coupon_amount", "split_total_amount")
     d = latest_rows(d, ["id"], ["row_op_ts", "ts"])
     dec = lambda c: F.coalesce(F.col(c).cast("decimal(16,2)"), F.lit(0).cast("decimal(16,2)"))
     rows = d.select("sku_id", sec_to_ms("ts").alias("ms"),

@@ -129,7 +129,11 @@ def q_dws_trade_order(spark, sf):
 
 
 def q_dws_trade_payment(spark, sf):
-    return metrics.trade_payment(q_trade_pay_detail_suc(spark, sf))
+    # The metric reads the payment topic as a plain stream: every version,
+    # not the upserted table.
+    pay = trade.pay_detail_suc(order_detail(spark, sf), env(spark, sf, "payment_info"),
+                               fx.base_dic(spark, sf), upsert=False)
+    return metrics.trade_payment(pay)
 
 
 def q_dws_trade_sku_order(spark, sf):

@@ -6,6 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """``spark.read.parquet``; Catalyst prunes columns and pushes filters
-    into the scan, so callers just select what they need."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """``spark.read.parquet`` (Catalyst prunes columns and pushes filters
+    into the scan), spread over the cluster when the files are too few.
+
+    A table stored as one file / row group is read by one task, and every
+    narrow step after the scan (record building, JSON encoding) would run
+    on one core.  When the scan yields fewer partitions than the session's
+    default parallelism, a round-robin repartition spreads the rows; with
+    the many files of a large table the check is a no-op."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    want = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        df = df.repartition(want)
+    return df
