@@ -98,18 +98,35 @@ def cart_add_uu(cart: DataFrame, size: int = WINDOW_SECONDS, count_every_add: bo
 
 
 def _unique_new_window(rows: DataFrame, uu_name: str, new_name: str, size: int) -> DataFrame:
-    """Windows over every row (zero windows kept), with unique / new users
-    from the first row per (user, day).  The counts of all rows and the
-    flags of first rows are aggregated separately and joined per window,
-    so the full detail is never joined back."""
-    allw = tumbling_agg(with_event_time(rows), {"_n": F.count(F.lit(1))}, size_seconds=size)
-    flags = visits.unique_and_new_flags(rows, "user_id")
-    fw = tumbling_agg(with_event_time(flags), {uu_name: _sum("uu"), new_name: _sum("new")},
-                      size_seconds=size)
-    out = allw.join(fw.drop("edt", "cur_date"), "stt", "left")
-    return out.select("stt", "edt", "cur_date",
-                      F.coalesce(F.col(uu_name), F.lit(0).cast("bigint")).alias(uu_name),
-                      F.coalesce(F.col(new_name), F.lit(0).cast("bigint")).alias(new_name))
+    """Windows over every row (zero windows kept), with unique users (first
+    row per user and day) and new users (first day ever).
+
+    One shuffle of the detail rows: ``g`` = min time per (user, day,
+    window), map-side combined.  Every later step reads ``g`` (identical
+    subtree, so its exchange is reused) and works on reduced rows: the
+    windows that saw events, the first time per (user, day), the first day
+    per user (joined back; a hot user is split by the skew-join rule)."""
+    size_ms = size * 1000
+    r = rows.select("user_id", "ts",
+                    F.to_date(F.date_format(F.timestamp_millis("ts"), "yyyy-MM-dd")).alias("_day"),
+                    (F.floor(F.col("ts") / size_ms) * size_ms).alias("_w"))
+    g = r.groupBy("user_id", "_day", "_w").agg(F.min("ts").alias("ts"))
+    allw = g.groupBy("_w").agg(F.min("ts").alias("_any"))
+    daily = g.groupBy("user_id", "_day").agg(F.min("ts").alias("ts"))
+    first_day = daily.groupBy("user_id").agg(F.min("_day").alias("_first_day"))
+    flags = (daily.join(first_day, "user_id")
+             .select((F.floor(F.col("ts") / size_ms) * size_ms).alias("_w"),
+                     (F.col("_day") == F.col("_first_day")).cast("bigint").alias("new")))
+    fw = flags.groupBy("_w").agg(F.count(F.lit(1)).cast("bigint").alias(uu_name),
+                                 F.sum("new").cast("bigint").alias(new_name))
+    out = allw.join(fw, "_w", "left")
+    start = F.timestamp_millis(F.col("_w"))
+    return out.select(
+        F.date_format(start, "yyyy-MM-dd HH:mm:ss").alias("stt"),
+        F.date_format(F.timestamp_millis(F.col("_w") + size_ms), "yyyy-MM-dd HH:mm:ss").alias("edt"),
+        F.date_format(start, "yyyyMMdd").alias("cur_date"),
+        F.coalesce(F.col(uu_name), F.lit(0).cast("bigint")).alias(uu_name),
+        F.coalesce(F.col(new_name), F.lit(0).cast("bigint")).alias(new_name))
 
 
 def trade_order(order_detail: DataFrame, size: int = WINDOW_SECONDS) -> DataFrame:

@@ -188,8 +188,8 @@ spu AS (SELECT DISTINCT p_name AS id, p_name AS spu_name FROM part),
 tm AS (SELECT DISTINCT p_brand AS id, 'TM ' || p_brand AS tm_name FROM part WHERE p_brand <> 'Brand#1'),
 c3 AS (SELECT DISTINCT p_type AS id, lower(p_type) AS name, substr(p_type, 1, 1) AS category2_id FROM part),
 c2 AS (SELECT DISTINCT substr(p_type, 1, 1) AS id, 'group ' || substr(p_type, 1, 1) AS name,
-              '1' AS category1_id FROM part),
-c1 AS (SELECT '1' AS id, 'all goods' AS name)"""
+              CASE WHEN substr(p_type, 1, 1) <= 'M' THEN 'A-M' ELSE 'N-Z' END AS category1_id FROM part),
+c1 AS (SELECT DISTINCT category1_id AS id, 'goods ' || category1_id AS name FROM c2)"""
 
 SNOW_SELECT = """tm.tm_name AS trademark_name, c1.id AS category1_id, c1.name AS category1_name,
        c2.id AS category2_id, c2.name AS category2_name, g.category3_id, c3.name AS category3_name"""

@@ -81,7 +81,7 @@ def dic_name(priority: Column) -> Column:
 # ------------------------------------------------------------ behaviour log --
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with k, epoch ms and, for purchases, the searched part name."""
-    ev = read_table(spark, sf_dir, "events")
+    ev = read_table(spark, sf_dir, "events", spread=True)
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name")
     n_parts = part.select(F.count(F.lit(1))).scalar()
     base = ev.select(
@@ -183,7 +183,7 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------- change records --
 def _orders(spark, sf_dir) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders")
+    o = read_table(spark, sf_dir, "orders", spread=True)
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     o = o.join(c, o.o_custkey == c.c_custkey, "left")
     return o.select(
@@ -195,7 +195,7 @@ def _orders(spark, sf_dir) -> DataFrame:
 
 
 def _lines(spark, sf_dir) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem")
+    li = read_table(spark, sf_dir, "lineitem", spread=True)
     o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderpriority",
         F.col("o_orderdate").cast("timestamp").alias("odate"))
@@ -330,7 +330,7 @@ def _cdc_coupon_use(li: DataFrame) -> DataFrame:
 
 
 def _event_rows(spark, sf_dir) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events")
+    ev = read_table(spark, sf_dir, "events", spread=True)
     return ev.select(
         "event_id", "user_id", "event_type", "value", _k().alias("k"),
         F.col("ts").cast("timestamp").alias("ets"),
@@ -416,6 +416,11 @@ def base_dic(spark: SparkSession, sf_dir: str) -> DataFrame:
             .filter(F.col("dic_code") != DIC_CODE_LEFT_OUT))
 
 
+def _category1(letter: Column) -> Column:
+    """Category 1 of a category-2 letter: ``A-M`` or ``N-Z``."""
+    return F.when(letter <= F.lit("M"), F.lit("A-M")).otherwise(F.lit("N-Z"))
+
+
 def dim_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Dimension tables as the warehouse stores them (all string columns)."""
     part = read_table(spark, sf_dir, "part")
@@ -431,8 +436,9 @@ def dim_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
           .select("id", F.lower("id").alias("name"), F.substring("id", 1, 1).alias("category2_id")))
     c2 = (part.select(F.substring("p_type", 1, 1).alias("id")).distinct()
           .select("id", F.concat(F.lit("group "), F.col("id")).alias("name"),
-                  F.lit("1").alias("category1_id")))
-    c1 = c2.select(F.lit("1").alias("id")).distinct().select("id", F.lit("all goods").alias("name"))
+                  _category1(F.col("id")).alias("category1_id")))
+    c1 = (c2.select(F.col("category1_id").alias("id")).distinct()
+          .select("id", F.concat(F.lit("goods "), F.col("id")).alias("name")))
     prov = nation.select(_s("n_nationkey").alias("id"), F.col("n_name").alias("name"))
     return {"sku_info": sku, "spu_info": spu, "base_trademark": tm, "base_category3": c3,
             "base_category2": c2, "base_category1": c1, "base_province": prov}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """``spark.read.parquet`` (Catalyst prunes columns and pushes filters
     into the scan), spread over the cluster when the files are too few.
 
@@ -13,9 +13,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     narrow step after the scan (record building, JSON encoding) would run
     on one core.  When the scan yields fewer partitions than the session's
     default parallelism, a round-robin repartition spreads the rows; with
-    the many files of a large table the check is a no-op."""
+    the many files of a large table the check is a no-op.  Only fact tables
+    ask for it (``spread=True``); dimensions are read as they are."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     want = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
+    if spread and df.rdd.getNumPartitions() < want:
         df = df.repartition(want)
     return df
