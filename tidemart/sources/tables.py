@@ -17,6 +17,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False
     ask for it (``spread=True``); dimensions are read as they are."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     want = spark.sparkContext.defaultParallelism
-    if spread and df.rdd.getNumPartitions() < want:
-        df = df.repartition(want)
+    if spread:
+        try:
+            n = df.rdd.getNumPartitions()
+        except Exception:  # e.g. a Connect session without RDD access: leave as read
+            n = want
+        if n < want:
+            df = df.repartition(want)
     return df

@@ -139,6 +139,95 @@ def trade_unique_new(rows: DataFrame, out_path: str, uu: str, new: str, tz: str
     return start(flags, name, sink)
 
 
+def traffic_vc_ch_ar_is_new(page: DataFrame, out_root: str, tz: str = "UTC", size: int = WINDOW_SECONDS,
+                            lateness_seconds: int = 10, jump_within_seconds: int = 10,
+                            jump_page: DataFrame | None = None,
+                            name: str = "dws_traffic_vc_ch_ar_is_new") -> list[StreamingQuery]:
+    """P15 + U1 + W5/W6 + A2 as three queries writing into one metric:
+
+    - page views: native window aggregation, watermark = allowed lateness
+      (later rows are dropped, as in the reference), update mode, upserted;
+    - unique visitors: first entry per (device, day) state, partial windows;
+    - bounces: bounce state, counted ``JUMP_SHIFT`` later, partial windows.
+
+    :func:`read_traffic` adds the three parts per (window, vc, ch, ar,
+    is_new).  ``jump_page`` lets the bounce query read its own copy of the
+    stream (a source can feed several queries)."""
+    from ..constants import JUMP_SHIFT_SECONDS
+    keys = ["vc", "ch", "ar", "is_new"]
+    pv = (with_event_time(page, watermark_seconds=lateness_seconds)
+          .select(*keys, "row_time", F.col("last_page_id").isNull().cast("bigint").alias("sv"),
+                  F.coalesce(F.col("during_time"), F.lit(0)).cast("bigint").alias("dur")))
+    pv = tumbling_agg(pv, {"sv_ct": F.sum("sv").cast("bigint"), "pv_ct": F.count(F.lit(1)).cast("bigint"),
+                           "dur_sum": F.sum("dur").cast("bigint")}, keys=keys, size_seconds=size)
+    q_pv = start(pv, f"{name}_pv", lambda b, i: sinks.upsert_batch(b, f"{out_root}/pv", i), mode="update")
+
+    entries = page.filter(F.col("last_page_id").isNull()).select("mid", *keys, "ts", "seq")
+
+    def uv_fn(batch: DataFrame, bid: int) -> None:
+        part = tumbling_agg(with_event_time(batch), {"uv_ct": F.count(F.lit(1)).cast("bigint")},
+                            keys=keys, size_seconds=size)
+        sinks.write_append(part, f"{out_root}/uv", "parquet", batch_id=bid)
+
+    firsts = state.first_per_day_rows(entries, "mid", keys, tz)
+    q_uv = start(firsts, f"{name}_uv", uv_fn)
+
+    src = jump_page if jump_page is not None else page
+    rows = (src.withColumn("row_time", F.timestamp_millis("ts")).withWatermark("row_time", "0 seconds")
+            .select("mid", "ts", "seq", F.col("last_page_id").isNull().alias("is_entry"),
+                    F.to_json(F.struct(*keys)).alias("record"), "row_time"))
+    bounced = state.bounce_entries(rows, jump_within_seconds * 1000)
+    dims_schema = "vc string, ch string, ar string, is_new string"
+    uj = bounced.select(F.from_json("record", dims_schema).alias("r"),
+                        (F.col("ts") + JUMP_SHIFT_SECONDS * 1000).alias("ts")).select("r.*", "ts")
+
+    def uj_fn(batch: DataFrame, bid: int) -> None:
+        part = tumbling_agg(with_event_time(batch), {"uj_ct": F.count(F.lit(1)).cast("bigint")},
+                            keys=keys, size_seconds=size)
+        sinks.write_append(part, f"{out_root}/uj", "parquet", batch_id=bid)
+
+    q_uj = start(uj, f"{name}_uj", uj_fn)
+    return [q_pv, q_uv, q_uj]
+
+
+def read_traffic(spark: SparkSession, out_root: str) -> DataFrame:
+    """The traffic metric: upserted page-view windows plus the summed
+    unique-visitor and bounce partials, per (window, vc, ch, ar, is_new)."""
+    keys = ["stt", "edt", "cur_date", "vc", "ch", "ar", "is_new"]
+    pv = sinks.read_upserted(spark, f"{out_root}/pv", ["stt", "vc", "ch", "ar", "is_new"])
+    z = F.lit(0).cast("bigint")
+    parts = [pv.select(*keys, z.alias("uv_ct"), "sv_ct", "pv_ct", "dur_sum", z.alias("uj_ct"))]
+    for sub, col in (("uv", "uv_ct"), ("uj", "uj_ct")):
+        try:
+            p = spark.read.parquet(f"{out_root}/{sub}")
+        except Exception:  # no rows yet: the folder does not exist
+            continue
+        parts.append(p.select(*keys, *[(F.col(col) if c == col else z).alias(c)
+                                       for c in ("uv_ct", "sv_ct", "pv_ct", "dur_sum", "uj_ct")]))
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return (u.groupBy(*keys).agg(*[F.sum(c).cast("bigint").alias(c)
+                                   for c in ("uv_ct", "sv_ct", "pv_ct", "dur_sum", "uj_ct")])
+            .select("stt", "edt", "vc", "ch", "ar", "is_new", "cur_date", "uv_ct", "sv_ct", "pv_ct",
+                    "dur_sum", "uj_ct"))
+
+
+def user_login(page: DataFrame, out_path: str, back_days: int = 8, tz: str = "UTC",
+               size: int = WINDOW_SECONDS, name: str = "dws_user_login") -> StreamingQuery:
+    """P12 + T5 state + per-batch partial windows."""
+    logins = page.filter(F.col("uid").isNotNull()
+                         & (F.col("last_page_id").isNull() | (F.col("last_page_id") == "login")))
+    flags = state.login_flags(logins.select("uid", "ts", "seq"), back_days, tz)
+
+    def sink(batch: DataFrame, bid: int) -> None:
+        part = tumbling_agg(with_event_time(batch), {"back_ct": F.sum("back_ct").cast("bigint"),
+                                                     "uu_ct": F.sum("uu_ct").cast("bigint")}, size_seconds=size)
+        sinks.write_append(part, out_path, "parquet", batch_id=bid)
+
+    return start(flags, name, sink)
+
+
 def keyword_window(page: DataFrame, out_path: str, size: int = WINDOW_SECONDS,
                    watermark_seconds: int = WATERMARK_KEYWORD_SECONDS,
                    name: str = "dws_keyword_window") -> StreamingQuery:

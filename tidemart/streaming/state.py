@@ -114,6 +114,29 @@ def first_per_day(df: DataFrame, key: str, tz: str = "UTC", extra_key: str | Non
         fn, schema, "last_day string", "append", GroupStateTimeout.NoTimeout)
 
 
+def first_per_day_rows(df: DataFrame, key: str, carry: list[str], tz: str = "UTC") -> DataFrame:
+    """T2 stream: the first row per (key, day) with ``carry`` columns (all
+    strings): input ``key, carry..., ts, seq``; output ``key, carry..., ts``."""
+    cols = [key, *carry]
+
+    def fn(k, pdfs, state: GroupState):
+        p = _sorted(pdfs)
+        if p.empty:
+            return
+        day = _dates(p["ts"], tz)
+        last = state.get[0] if state.exists else None
+        firsts = p.assign(_d=day.values).drop_duplicates("_d", keep="first")
+        if last is not None:
+            firsts = firsts[firsts["_d"] > last]
+        if len(firsts):
+            state.update((firsts["_d"].iloc[-1],))
+        yield firsts[cols + ["ts"]]
+
+    schema = ", ".join(f"{c} string" for c in cols) + ", ts long"
+    return df.groupBy(key).applyInPandasWithState(
+        fn, schema, "last_day string", "append", GroupStateTimeout.NoTimeout)
+
+
 # ------------------------------------------------------- T5 login / back user --
 def login_flags(df: DataFrame, back_days: int = 8, tz: str = "UTC") -> DataFrame:
     """T5 stream: input ``uid, ts, seq``; output ``ts, uu_ct, back_ct`` for
