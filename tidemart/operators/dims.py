@@ -34,7 +34,10 @@ def dim_rows(envelope: DataFrame, config: DataFrame, apply_deletes: bool = False
     version per key (arrival ``ts`` then the row itself as tie-break).
     Deletes are upserted with their last image unless ``apply_deletes``."""
     rows = envelope.filter(not_bootstrap())
-    joined = rows.join(config, rows["table"] == config["source_table"], "inner")
+    # The config has one row per dimension table: a proven, data-independent
+    # bound, so it is broadcast.  A shuffle join on ``table`` would send each
+    # dimension's whole change stream to one task.
+    joined = rows.join(F.broadcast(config), rows["table"] == config["source_table"], "inner")
     cols = F.split(F.col("sink_columns"), ",")
     white = F.map_filter(F.col("data"), lambda k, v: F.array_contains(cols, k))
     keyed = joined.select(

@@ -9,12 +9,18 @@ from pyspark.sql import SparkSession
 # Settings that matter at any scale: adaptive execution re-plans joins from
 # measured sizes (broadcast only when the runtime size is under the
 # threshold), splits skewed join partitions and coalesces small shuffles.
+# On a large shared cluster also set spark.sql.shuffle.partitions high
+# (thousands) and spark.sql.adaptive.coalescePartitions.parallelismFirst=false
+# so that AQE coalesces to the advisory partition size.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # A sort-merge join becomes a shuffled hash join (no sort) only when every
+    # build-side partition is measured under this size at runtime.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(64 * 1024 * 1024),
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
