@@ -307,6 +307,65 @@ def order_detail(cdc: DataFrame, dic: DataFrame, out_path: str,
     return start(out, name, lambda b, i: sinks.write_append(b, out_path, "parquet", batch_id=i))
 
 
+def trade_sku_order(order_detail_rows: DataFrame, dims: dict, out_path: str, size: int = WINDOW_SECONDS,
+                    watermark_seconds: int = 5, name: str = "dws_trade_sku_order") -> StreamingQuery:
+    """P14 + T9 + W1/W4 + A3 + J9.  All versions of a detail id share its
+    ``ts``, so T9 is a window aggregation too: latest version per (window,
+    id) by (row_op_ts, arrival), then sums per (window, sku).  The chain of
+    two window aggregations runs in append mode; the enrichment joins the
+    static dimensions per micro-batch."""
+    d = order_detail_rows.filter(F.col("user_id").isNotNull() & F.col("source_type_name").isNotNull())
+    d = (d.withColumn("row_time", sec_to_ts("ts")).withWatermark("row_time", f"{watermark_seconds} seconds"))
+    dec = lambda c: F.coalesce(F.col(c).cast("decimal(16,2)"), F.lit(0).cast("decimal(16,2)"))
+    latest = (d.groupBy(F.window("row_time", f"{size} seconds").alias("w1"), "id")
+               .agg(F.max_by(F.struct("sku_id",
+                                      F.coalesce(F.col("split_original_amount").cast("decimal(20,4)"),
+                                                 F.lit(0).cast("decimal(20,4)")).alias("o"),
+                                      dec("split_activity_amount").alias("a"),
+                                      dec("split_coupon_amount").alias("c"),
+                                      dec("split_total_amount").alias("t")),
+                             F.struct("row_op_ts", "ts")).alias("v"))
+               .select(F.window_time("w1").alias("row_time"), "v.*"))
+    g = tumbling_agg(latest, {"original_amount": F.sum("o"), "activity_amount": F.sum("a"),
+                              "coupon_amount": F.sum("c"), "order_amount": F.sum("t")},
+                     keys=["sku_id"], size_seconds=size)
+
+    def sink(batch: DataFrame, bid: int) -> None:
+        from ..operators.enrich import snowflake_sku
+        e = snowflake_sku(batch, dims, "sku_id")
+        e = e.select("stt", "edt", "trademark_id", "trademark_name", "category1_id", "category1_name",
+                     "category2_id", "category2_name", "category3_id", "category3_name", "sku_id", "sku_name",
+                     "spu_id", "spu_name", "cur_date",
+                     *[F.col(c).cast("double").alias(c) for c in
+                       ("original_amount", "activity_amount", "coupon_amount", "order_amount")])
+        sinks.write_append(e, out_path, "parquet", batch_id=bid)
+
+    return start(g, name, sink, mode="append")
+
+
+def refund_tm_category_user(refund_rows: DataFrame, dims: dict, out_path: str, size: int = WINDOW_SECONDS,
+                            name: str = "dws_refund_tm_category_user") -> StreamingQuery:
+    """J10 + W1/W3 + A5: trademark / category3 (stream-static join before the
+    aggregation, they are group keys), distinct orders as
+    ``size(collect_set)`` (streaming count-distinct is not supported), rest
+    of the snowflake per micro-batch; update mode, upserted."""
+    from ..operators.enrich import snowflake_sku
+    r = lookup(refund_rows.select("order_id", "user_id", "sku_id", sec_to_ts("ts").alias("row_time")),
+               dims["sku_info"], "sku_id", {"tm_id": "trademark_id", "category3_id": "category3_id"})
+    g = tumbling_agg(r.withWatermark("row_time", "0 seconds"),
+                     {"refund_count": F.size(F.collect_set("order_id")).cast("bigint")},
+                     keys=["trademark_id", "category3_id", "user_id"], size_seconds=size)
+
+    def sink(batch: DataFrame, bid: int) -> None:
+        e = snowflake_sku(batch, dims, with_sku=False)
+        e = e.select("stt", "edt", "trademark_id", "trademark_name", "category1_id", "category1_name",
+                     "category2_id", "category2_name", "category3_id", "category3_name", "user_id",
+                     "cur_date", "refund_count")
+        sinks.upsert_batch(e, out_path, bid)
+
+    return start(g, name, sink, mode="update")
+
+
 def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """An update-mode metric table: the latest row per key."""
     return sinks.read_upserted(spark, path, keys)
