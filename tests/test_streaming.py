@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tidemart.plans import log as logplans
-from tidemart.plans import metrics
+from tidemart.plans import metrics, trade
 from tidemart.plans import registry as R
 from tidemart.sources import fixtures as fx
 from tidemart.sources import sinks
@@ -211,3 +211,51 @@ def test_refund_stream_equals_batch(spark):
     got = jobs.read_latest(spark, out, ["stt", "trademark_id", "category3_id", "user_id"])
     exp = metrics.refund_tm_category_user(spark.read.parquet(d).drop("o"), dims)
     assert _rows(got.select(*exp.columns)) == _rows(exp)
+
+
+def _stream_of(spark, df, order_col, prefix):
+    d = _ordered_files(df.withColumn("_o", F.col(order_col).cast("long")), "_o",
+                       tempfile.mkdtemp(prefix=prefix) + "/in")
+    return d, spark.readStream.schema(spark.read.parquet(d).schema).option("maxFilesPerTrigger", 1).parquet(d)
+
+
+def test_cart_register_payment_streams(spark):
+    cart = R.q_trade_cart_add(spark, SF_SMALL)
+    d, src = _stream_of(spark, cart, "ts", "cart-")
+    out = tempfile.mkdtemp(prefix="cart-") + "/out"
+    jobs.cart_add_uu(src, out, name="t_cart").awaitTermination()
+    got = jobs.read_partial_windows(spark, out, [], ["cart_add_uu_ct"])
+    exp = metrics.cart_add_uu(spark.read.parquet(d))
+    assert _rows(got.select(*exp.columns)) == _rows(exp)
+
+    from tidemart.plans import tool
+    reg = tool.user_register(R.env(spark, SF_SMALL, "user_info"))
+    d, src = _stream_of(spark, reg, "ts", "reg-")
+    out = tempfile.mkdtemp(prefix="reg-") + "/out"
+    jobs.user_register(src, out, name="t_reg").awaitTermination()
+    got = jobs.read_latest(spark, out, ["stt"])
+    exp = metrics.user_register(spark.read.parquet(d))
+    assert _rows(got.select(*exp.columns)) == _rows(exp)
+
+    pay = trade.pay_detail_suc(R.order_detail(spark, SF_SMALL), R.env(spark, SF_SMALL, "payment_info"),
+                               fx.base_dic(spark, SF_SMALL), upsert=False)
+    d, src = _stream_of(spark, pay, "ts", "pay-")
+    out = tempfile.mkdtemp(prefix="pay-") + "/out"
+    jobs.trade_payment(src, out, name="t_pay").awaitTermination()
+    got = jobs.read_partial_windows(spark, out, [], ["payment_suc_unique_user_count",
+                                                     "payment_suc_new_user_count"])
+    exp = metrics.trade_payment(spark.read.parquet(d))
+    assert _rows(got.select(*exp.columns)) == _rows(exp)
+
+
+def test_dim_sink_stream_equals_batch(spark):
+    from tidemart.plans import dim
+    env = fx.topic_db_dims(spark, SF_SMALL)
+    d, src = _stream_of(spark, env, "ts", "dims-")
+    out = tempfile.mkdtemp(prefix="dims-") + "/out"
+    from tidemart.operators import dims as dimops
+    conf = dimops.fold_config(fx.table_process_changes(spark))
+    jobs.dim_sink(src.drop("_o"), conf, out, name="t_dims").awaitTermination()
+    got = jobs.read_dims(spark, out).select("sink_table", "id", F.explode("data"))
+    exp = dim.dim_sink(env, fx.table_process_changes(spark)).select("sink_table", "id", F.explode("data"))
+    assert _rows(got) == _rows(exp)
