@@ -89,13 +89,15 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.unix_millis(F.col("ts").cast("timestamp")).alias("ts_ms"),
         _k().alias("k"),
     )
-    # Only purchase rows look up a part; the join key is null otherwise, so
-    # the other rows never reach a join partition with matches.
-    base = base.withColumn(
-        "search_key",
-        F.when(F.col("event_type") == "purchase", F.pmod(F.col("event_id"), n_parts)))
-    return (base.join(part, base.search_key == part.p_partkey, "left")
-            .drop("search_key", "p_partkey"))
+    # Only purchases look up a part: the other rows bypass the join instead
+    # of entering it with a NULL key (NULL keys all hash to one partition).
+    is_purchase = F.col("event_type") == "purchase"
+    purchases = base.filter(is_purchase)
+    purchases = (purchases.join(part, F.pmod(purchases.event_id, n_parts) == part.p_partkey, "left")
+                 .drop("p_partkey"))
+    others = base.filter(~is_purchase | F.col("event_type").isNull()).withColumn(
+        "p_name", F.lit(None).cast("string"))
+    return purchases.unionByName(others)
 
 
 def _common(df_cols=None) -> Column:
@@ -196,15 +198,16 @@ def _orders(spark, sf_dir) -> DataFrame:
 
 def _lines(spark, sf_dir) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem", spread=True)
+    # Per-order values are computed on the (smaller) order side of the join.
     o = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderpriority",
-        F.col("o_orderdate").cast("timestamp").alias("odate"))
+        "o_orderkey", "o_custkey",
+        F.col("o_orderdate").cast("timestamp").alias("odate"),
+        F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("osec"),
+        dic_code(F.col("o_orderpriority")).alias("prio_code"))
     df = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     return df.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_returnflag", "l_linestatus", "o_custkey", "odate",
-        F.unix_seconds(F.col("odate")).alias("osec"),
-        dic_code(F.col("o_orderpriority")).alias("prio_code"),
+        "l_returnflag", "l_linestatus", "o_custkey", "odate", "osec", "prio_code",
         F.concat_ws("-", _s("l_orderkey"), _s("l_linenumber"), _s("l_partkey"), _s("l_suppkey"),
                     F.date_format(F.col("l_shipdate").cast("timestamp"), "yyyyMMdd")).alias("od_id"),
         _cents("l_extendedprice").alias("price_cents"),
