@@ -266,13 +266,14 @@ def province_order(cdc: DataFrame, province_dim: DataFrame, out_path: str, size:
     return start(g, name, sink, mode="update")
 
 
-def order_detail(cdc: DataFrame, dic: DataFrame, out_path: str,
-                 ttl_seconds: int = JOIN_TTL_ORDER_SECONDS, name: str = "trade_order_detail") -> StreamingQuery:
-    """J1 + J2 + J6 as stream joins: order lines join the order insert and
-    their activity / coupon rows within ``ttl_seconds`` of event time (the
-    reference's state TTL, as an event-time bound), then the dictionary
-    (stream-static).  Append mode: a line without activity is emitted once
-    the watermark passes its bound."""
+def order_pre_process_changelog(cdc: DataFrame, dic: DataFrame,
+                                ttl_seconds: int = JOIN_TTL_ORDER_SECONDS) -> DataFrame:
+    """J1 + J2 + J6 as stream joins: order lines join every order_info
+    insert / update and their activity / coupon rows within ``ttl_seconds``
+    of event time (the reference's state TTL as an event-time bound), then
+    the dictionary (stream-static).  Append mode: a line without activity
+    is emitted once the watermark passes its bound."""
+    from ..plans.trade import PRE_PROCESS_COLS
     wm = f"{ttl_seconds} seconds"
     od = (rows_of(cdc, "order_detail", ["insert"]).select(
         *[data(k).alias(k) for k in ("id", "order_id", "sku_id", "sku_name", "create_time", "source_id",
@@ -280,11 +281,12 @@ def order_detail(cdc: DataFrame, dic: DataFrame, out_path: str,
                                      "split_activity_amount", "split_coupon_amount")],
         (data("sku_num").cast("decimal(16,2)") * data("order_price").cast("decimal(16,2)"))
         .cast("string").alias("split_original_amount"),
-        F.col("ts"), sec_to_ts("ts").alias("od_time")).withWatermark("od_time", wm))
-    oi = (rows_of(cdc, "order_info", ["insert"]).select(
+        F.col("ts").alias("od_ts"), sec_to_ts("ts").alias("od_time")).withWatermark("od_time", wm))
+    oi = (rows_of(cdc, "order_info", ["insert", "update"]).select(
         data("id").alias("oi_id"), data("user_id").alias("user_id"),
-        data("province_id").alias("province_id"), sec_to_ts("ts").alias("oi_time"))
-        .withWatermark("oi_time", wm))
+        data("province_id").alias("province_id"), data("operate_time").alias("operate_time"),
+        data("order_status").alias("order_status"), "type", "old", F.col("ts").alias("oi_ts"),
+        sec_to_ts("ts").alias("oi_time")).withWatermark("oi_time", wm))
     act = (rows_of(cdc, "order_detail_activity", ["insert"]).select(
         data("order_detail_id").alias("act_od_id"), data("activity_id").alias("activity_id"),
         data("activity_rule_id").alias("activity_rule_id"), sec_to_ts("ts").alias("act_time"))
@@ -294,16 +296,39 @@ def order_detail(cdc: DataFrame, dic: DataFrame, out_path: str,
         sec_to_ts("ts").alias("cou_time")).withWatermark("cou_time", wm))
     bound = lambda a, b: F.expr(f"{b} BETWEEN {a} - INTERVAL {ttl_seconds} SECONDS "
                                 f"AND {a} + INTERVAL {ttl_seconds} SECONDS")
-    j = od.join(oi, (od.order_id == oi.oi_id) & bound("od_time", "oi_time"), "inner")
-    j = j.join(act, (j.id == act.act_od_id) & bound("od_time", "act_time"), "leftOuter")
+    j = od.join(act, (od.id == act.act_od_id) & bound("od_time", "act_time"), "leftOuter")
     j = j.join(cou, (j.id == cou.cou_od_id) & bound("od_time", "cou_time"), "leftOuter")
+    j = j.join(oi, (j.order_id == oi.oi_id) & bound("od_time", "oi_time"), "inner")
     j = j.join(dic.select("dic_code", F.col("dic_name").alias("source_type_name")),
                F.col("source_type") == F.col("dic_code"), "inner")
-    out = j.select("id", "order_id", "user_id", "sku_id", "sku_name", "province_id", "activity_id",
-                   "activity_rule_id", "coupon_id", text_date("create_time").alias("date_id"), "create_time",
-                   "source_id", F.col("source_type").alias("source_type_code"), "source_type_name",
-                   "sku_num", "split_original_amount", "split_activity_amount", "split_coupon_amount",
-                   "split_total_amount", "ts")
+    j = (j.withColumn("date_id", text_date("create_time"))
+          .withColumn("operate_date_id", text_date("operate_time"))
+          .withColumn("row_op_ts", F.greatest(F.col("od_time"), F.col("oi_time"))))
+    return j.select(*PRE_PROCESS_COLS)
+
+
+def order_pre_process(cdc: DataFrame, dic: DataFrame, out_path: str,
+                      ttl_seconds: int = JOIN_TTL_ORDER_SECONDS,
+                      name: str = "trade_order_pre_process") -> StreamingQuery:
+    """K2: the changelog upserted on the detail id (merge-on-read, see
+    :func:`read_pre_process`)."""
+    ch = order_pre_process_changelog(cdc, dic, ttl_seconds)
+    return start(ch, name, lambda b, i: sinks.upsert_batch(b, out_path, i))
+
+
+def read_pre_process(spark: SparkSession, path: str) -> DataFrame:
+    return sinks.read_upserted(spark, path, ["id"], ["row_op_ts", "oi_ts"])
+
+
+def order_detail(cdc: DataFrame, dic: DataFrame, out_path: str,
+                 ttl_seconds: int = JOIN_TTL_ORDER_SECONDS, name: str = "trade_order_detail") -> StreamingQuery:
+    """S3 filter over the pre-process changelog: order placements."""
+    ch = order_pre_process_changelog(cdc, dic, ttl_seconds).filter(F.col("type") == "insert")
+    out = ch.select("id", "order_id", "user_id", "sku_id", "sku_name", "province_id", "activity_id",
+                    "activity_rule_id", "coupon_id", "date_id", "create_time", "source_id",
+                    F.col("source_type").alias("source_type_code"), "source_type_name", "sku_num",
+                    "split_original_amount", "split_activity_amount", "split_coupon_amount",
+                    "split_total_amount", F.col("od_ts").alias("ts"))
     return start(out, name, lambda b, i: sinks.write_append(b, out_path, "parquet", batch_id=i))
 
 
