@@ -58,31 +58,39 @@ def repair_new_flag(df: DataFrame, tz: str = "UTC") -> DataFrame:
 def bounce_entries(df: DataFrame, within_ms: int) -> DataFrame:
     """T3 stream: input ``mid, ts, seq, is_entry, record`` with a watermark;
     output ``record, ts`` of bounced entries.  State: the pending entry,
-    released by the next row or by the event-time timeout."""
+    released by the next row or by the event-time timeout.
+
+    Vectorised per group: the pending entry (if any) is put in front of the
+    sorted rows; an entry bounces when its next row is an entry or at least
+    ``within_ms`` later; the last entry stays pending."""
+    import numpy as np
 
     def fn(key, pdfs, state: GroupState):
-        out = []
-        pending = state.get if state.exists else None
         if state.hasTimedOut:
-            if pending is not None:
-                out.append((pending[2], pending[0]))
+            ts, _, rec = state.get
             state.remove()
-            yield pd.DataFrame(out, columns=["record", "ts"])
+            yield pd.DataFrame({"record": [rec], "ts": [ts]})
             return
         p = _sorted(pdfs)
-        for ts, seq, entry, rec in zip(p["ts"], p["seq"], p["is_entry"], p["record"]):
-            if pending is not None:
-                if ts - pending[0] >= within_ms or entry:
-                    out.append((pending[2], pending[0]))
-                pending = None
-            if entry:
-                pending = (int(ts), int(seq), rec)
-        if pending is not None:
-            state.update(pending)
-            state.setTimeoutTimestamp(pending[0] + within_ms)
+        if state.exists:
+            pts, pseq, prec = state.get
+            head = pd.DataFrame({"ts": [pts], "seq": [pseq], "is_entry": [True], "record": [prec]})
+            p = head if p.empty else pd.concat([head, p[["ts", "seq", "is_entry", "record"]]],
+                                               ignore_index=True)
+        if p.empty:
+            return
+        ts = p["ts"].to_numpy(dtype="int64")
+        entry = p["is_entry"].to_numpy(dtype=bool)
+        nxt_ts = np.append(ts[1:], -1)
+        nxt_entry = np.append(entry[1:], False)
+        has_next = np.arange(len(ts)) < len(ts) - 1
+        bounced = entry & has_next & ((nxt_ts - ts >= within_ms) | nxt_entry)
+        if entry[-1]:
+            state.update((int(ts[-1]), int(p["seq"].iloc[-1]), p["record"].iloc[-1]))
+            state.setTimeoutTimestamp(int(ts[-1]) + within_ms)
         elif state.exists:
             state.remove()
-        yield pd.DataFrame(out, columns=["record", "ts"])
+        yield pd.DataFrame({"record": p["record"].to_numpy()[bounced], "ts": ts[bounced]})
 
     return df.groupBy("mid").applyInPandasWithState(
         fn, "record string, ts long", "ts long, seq long, record string", "append",
@@ -138,25 +146,30 @@ def first_per_day_rows(df: DataFrame, key: str, carry: list[str], tz: str = "UTC
 
 
 # ------------------------------------------------------- T5 login / back user --
+def _prev_days(day: pd.Series, last: str | None) -> pd.Series:
+    """The previous row's day, the state's day in front of the first row."""
+    return day.shift(1, fill_value=last) if last is not None else day.shift(1)
+
+
 def login_flags(df: DataFrame, back_days: int = 8, tz: str = "UTC") -> DataFrame:
     """T5 stream: input ``uid, ts, seq``; output ``ts, uu_ct, back_ct`` for
-    each first login of a day.  State: the last login date."""
+    each first login of a day.  State: the last login date.  Rows are in
+    event order, so a row opens a new day when its day differs from the
+    previous row's; that previous day is the last login day."""
 
     def fn(k, pdfs, state: GroupState):
         p = _sorted(pdfs)
         if p.empty:
             return
-        day = _dates(p["ts"], tz)
-        last = state.get[0] if state.exists else None
-        rows = []
-        for ts, d in zip(p["ts"], day):
-            if last is None or d != last:
-                back = int(last is not None
-                           and (pd.Timestamp(d) - pd.Timestamp(last)).days >= back_days)
-                rows.append((int(ts), 1, back))
-                last = d
-        state.update((last,))
-        yield pd.DataFrame(rows, columns=["ts", "uu_ct", "back_ct"])
+        day = _dates(p["ts"], tz).reset_index(drop=True)
+        prev = _prev_days(day, state.get[0] if state.exists else None)
+        new_day = (day != prev) | prev.isna()
+        gap = (pd.to_datetime(day) - pd.to_datetime(prev)).dt.days
+        back = (new_day & prev.notna() & (gap >= back_days)).astype("int64")
+        state.update((day.iloc[-1],))
+        m = new_day.to_numpy()
+        yield pd.DataFrame({"ts": p["ts"].astype("int64").to_numpy()[m], "uu_ct": 1,
+                            "back_ct": back.to_numpy()[m]})
 
     return df.groupBy("uid").applyInPandasWithState(
         fn, "ts long, uu_ct long, back_ct long", "last_dt string", "append",
@@ -172,15 +185,16 @@ def unique_new_flags(df: DataFrame, tz: str = "UTC") -> DataFrame:
         p = _sorted(pdfs)
         if p.empty:
             return
-        day = _dates(p["ts"], tz)
-        last = state.get[0] if state.exists else None
-        uu, new = [], []
-        for d in day:
-            uu.append(int(last is None or d != last))
-            new.append(int(last is None))
-            last = d
-        state.update((last,))
-        yield pd.DataFrame({"ts": p["ts"].astype("int64").values, "uu": uu, "new": new})
+        day = _dates(p["ts"], tz).reset_index(drop=True)
+        seen = state.exists
+        prev = _prev_days(day, state.get[0] if seen else None)
+        uu = ((day != prev) | prev.isna()).astype("int64")
+        new = pd.Series(0, index=day.index, dtype="int64")
+        if not seen:
+            new.iloc[0] = 1
+        state.update((day.iloc[-1],))
+        yield pd.DataFrame({"ts": p["ts"].astype("int64").to_numpy(), "uu": uu.to_numpy(),
+                            "new": new.to_numpy()})
 
     return df.groupBy("user_id").applyInPandasWithState(
         fn, "ts long, uu long, new long", "last_dt string", "append", GroupStateTimeout.NoTimeout)
