@@ -45,11 +45,13 @@ def order_pre_process_changelog(env: DataFrame, dic: DataFrame) -> DataFrame:
                   ["activity_id", "activity_rule_id"], [data("order_detail_id").alias("act_od_id")])
     cou = project(rows_of(env, "order_detail_coupon", ["insert"]),
                   ["coupon_id"], [data("order_detail_id").alias("cou_od_id")])
-    # Left joins on the detail id first (one exchange of the detail side,
-    # shared by both), then the order join on order_id.
+    # The inner dictionary lookup first (a small join that drops lines with an
+    # unknown source type before any shuffle), then the left joins on the
+    # detail id (one exchange of the detail side, shared by both), then the
+    # order join on order_id.
+    od = dic_lookup(od, dic, "source_type", "source_type_name")
     j = od.join(act, od.id == act.act_od_id, "left").join(cou, od.id == cou.cou_od_id, "left")
     j = j.join(oi, j.order_id == oi.oi_id, "inner")
-    j = dic_lookup(j, dic, "source_type", "source_type_name")
     j = (j.withColumn("date_id", text_date("create_time"))
           .withColumn("operate_date_id", text_date("operate_time"))
           .withColumn("row_op_ts", _row_op_ts("od_ts", "oi_ts")))
