@@ -94,8 +94,12 @@ def bounce_entries(df: DataFrame, within_ms: int, key: str = "mid",
     (device, time bucket) — so a hot device is spread over its buckets —
     and, for the last row of a bucket, the first row of the next bucket.
     With buckets at least ``within_ms`` wide a row two buckets on is always
-    too late to matter."""
-    bucket_ms = max(int(bucket_ms or 3_600_000), int(within_ms))
+    too late to matter.
+
+    Bucket width trades the largest window task against the size of the
+    next-bucket lookup: the default, max(horizon, 1 minute), caps a device
+    that emits a third of all rows at one minute of its rows per task."""
+    bucket_ms = max(int(bucket_ms or 60_000), int(within_ms))
     is_entry = F.col("last_page_id").isNull()
     d = df.withColumn("_b", F.floor(F.col("ts") / bucket_ms)).withColumn("_entry", is_entry)
     w = Window.partitionBy(key, "_b").orderBy(*ORDER)
