@@ -1,5 +1,5 @@
 """Batch / stream parity: the same input, split into event-time ordered
-files, through the streaming pipelines; results equal the batch jobs."""
+files, through the streaming jobs; results equal the batch jobs."""
 
 import os
 import tempfile

@@ -3,10 +3,11 @@
     python -m tidemart.cli list
     python -m tidemart.cli run dws_trade_sku_order --input /data/tables --output /data/out/sku
     python -m tidemart.cli explain dws_trade_sku_order --input /data/tables
+    python -m tidemart.cli warehouse --input /data/tables --root /shared/warehouse
 
 ``--input`` holds the source tables as ``<name>.parquet``; ``--output`` is
 written as parquet (``--partition-by cur_date`` for the metric tables).
-Streaming pipelines are functions in :mod:`tidemart.streaming.jobs`.
+Streaming jobs are functions in :mod:`tidemart.streaming.jobs`.
 """
 
 from __future__ import annotations
@@ -19,6 +20,11 @@ def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="tidemart")
     sub = ap.add_subparsers(dest="cmd", required=True)
     sub.add_parser("list")
+    wp = sub.add_parser("warehouse")
+    wp.add_argument("--input", required=True)
+    wp.add_argument("--root", default=None, help="default: <spark.checkpoint.dir>/warehouse")
+    wp.add_argument("--master", default=None)
+    wp.add_argument("--tz", default="UTC")
     for name in ("run", "explain"):
         p = sub.add_parser(name)
         p.add_argument("dataset")
@@ -35,12 +41,17 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     from pyspark.sql import SparkSession
     from .session import DEFAULT_CONF
-    b = SparkSession.builder.appName(f"tidemart-{a.dataset}")
+    b = SparkSession.builder.appName(f"tidemart-{getattr(a, 'dataset', a.cmd)}")
     if a.master:
         b = b.master(a.master)
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
     spark = b.config("spark.sql.session.timeZone", a.tz).getOrCreate()
+    if a.cmd == "warehouse":
+        from .plans import warehouse
+        for name, path in warehouse.build(spark, a.input, a.root).items():
+            print(name, path)
+        return 0
     df = QUERIES[a.dataset](spark, a.input)
     if a.cmd == "explain":
         df.explain("formatted")

@@ -35,19 +35,24 @@ def home_detail_uv(page: DataFrame, size: int = WINDOW_SECONDS) -> DataFrame:
 
 
 def traffic_vc_ch_ar_is_new(page: DataFrame, size: int = WINDOW_SECONDS,
-                            jump_within: int = 10) -> DataFrame:
+                            jump_within: int = 10, uv_rows: DataFrame | None = None,
+                            uj_rows: DataFrame | None = None) -> DataFrame:
     """(window, vc, ch, ar, is_new): uv, sessions, page views, duration,
-    bounces (P15, W6, U1, A2).  Bounces count ``JUMP_SHIFT_SECONDS`` later."""
+    bounces (P15, W6, U1, A2).  Bounces count ``JUMP_SHIFT_SECONDS`` later.
+    ``uv_rows`` / ``uj_rows`` are the unique-visitor and bounce detail
+    tables when they are already materialised; else they are derived."""
     keys = ["vc", "ch", "ar", "is_new"]
     zero = F.lit(0).cast("bigint")
     pv = page.select(*keys, "ts", zero.alias("uv"),
                      F.col("last_page_id").isNull().cast("bigint").alias("sv"),
                      F.lit(1).cast("bigint").alias("pv"),
                      F.coalesce(F.col("during_time"), zero).alias("dur"), zero.alias("uj"))
-    uv = logplans.unique_visitor_detail(page).select(
+    uv_rows = uv_rows if uv_rows is not None else logplans.unique_visitor_detail(page)
+    uj_rows = uj_rows if uj_rows is not None else logplans.user_jump_detail(page, jump_within)
+    uv = uv_rows.select(
         *keys, "ts", F.lit(1).cast("bigint").alias("uv"), zero.alias("sv"), zero.alias("pv"),
         zero.alias("dur"), zero.alias("uj"))
-    uj = logplans.user_jump_detail(page, jump_within).select(
+    uj = uj_rows.select(
         *keys, (F.col("ts") + JUMP_SHIFT_SECONDS * 1000).alias("ts"), zero.alias("uv"),
         zero.alias("sv"), zero.alias("pv"), zero.alias("dur"), F.lit(1).cast("bigint").alias("uj"))
     allrows = pv.unionByName(uv).unionByName(uj)

@@ -10,7 +10,7 @@ from ..constants import ORDER_STATUS_CANCEL, ORDER_STATUS_REFUND, PAYMENT_STATUS
 from ..functions.cdc import changed, data, increase_delta, old, project, rows_of
 from ..functions.timefmt import sec_to_ts, text_date
 from ..operators.enrich import dic_lookup
-from ..operators.keyed import latest_rows
+from ..operators.keyed import latest_rows  # noqa: F401  (re-exported for the warehouse run)
 
 SPLIT = ["split_original_amount", "split_activity_amount", "split_coupon_amount", "split_total_amount"]
 PRE_PROCESS_COLS = [

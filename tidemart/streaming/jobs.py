@@ -1,4 +1,4 @@
-"""Streaming pipelines: readStream -> transformations -> writeStream.
+"""Streaming jobs: readStream -> transformations -> writeStream.
 
 Sinks are ``foreachBatch`` functions that write each micro-batch into its
 own ``batch_id`` partition (idempotent on replay), so every query survives
