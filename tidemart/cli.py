@@ -23,6 +23,7 @@ def main(argv: list[str] | None = None) -> int:
     wp = sub.add_parser("warehouse")
     wp.add_argument("--input", required=True)
     wp.add_argument("--root", default=None, help="default: <spark.checkpoint.dir>/warehouse")
+    wp.add_argument("--partition-metrics", action="store_true", help="partition metric tables by cur_date")
     wp.add_argument("--master", default=None)
     wp.add_argument("--tz", default="UTC")
     for name in ("run", "explain"):
@@ -49,7 +50,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = b.config("spark.sql.session.timeZone", a.tz).getOrCreate()
     if a.cmd == "warehouse":
         from .plans import warehouse
-        for name, path in warehouse.build(spark, a.input, a.root).items():
+        for name, path in warehouse.build(spark, a.input, a.root, a.partition_metrics).items():
             print(name, path)
         return 0
     df = QUERIES[a.dataset](spark, a.input)

@@ -66,7 +66,11 @@ def olap_write(df: DataFrame, path: str, columns: Sequence[str], partition_col:
                batch_id: int | None = None) -> None:
     """K5: positional sink columns (transient fields dropped), partitioned
     by the date field."""
+    # Range-partitioned on (date, window start): each task writes a run of
+    # date folders (few files per folder) and a large day is still split.
     out = df.select(*columns)
+    finer = ["stt"] if "stt" in columns else []
+    out = out.repartitionByRange(partition_col, *finer)
     if batch_id is None:
         out.write.mode("append").partitionBy(partition_col).parquet(path)
     else:
