@@ -151,3 +151,15 @@ def test_timestamp_compare_is_native(spark):
     df = spark.createDataFrame([("2022-04-01 10:20:55.04",), ("2022-04-01 10:20:55.039",)], "t string")
     a, b = [r.ts for r in df.select(F.to_timestamp("t").alias("ts")).collect()]
     assert a > b
+
+
+def test_cdc_dirty_routing(spark):
+    from tidemart.sources.readers import cdc_records
+    lines = [json.dumps({"database": "gmall", "table": "cart_info", "type": "insert",
+                         "data": {"id": "1", "sku_num": 2}, "ts": "5"}),
+             '{"table": "cart_info", "data": {', "", json.dumps({"type": "insert"})]
+    topic = spark.createDataFrame([(v,) for v in lines], "value string")
+    rec, dirty = cdc_records(topic, with_dirty=True)
+    r = rec.collect()
+    assert len(r) == 1 and r[0].data == {"id": "1", "sku_num": "2"} and r[0].table == "cart_info"
+    assert dirty.count() == 3

@@ -50,9 +50,24 @@ def read_topic(spark: SparkSession, source: str, fmt: str = "text", stream: bool
     return reader.load(source)
 
 
-def cdc_records(topic: DataFrame, value_col: str = "value") -> DataFrame:
-    """JSON change records to the envelope (map values arrive as text)."""
-    return topic.select(F.from_json(F.col(value_col), ENVELOPE_SCHEMA).alias("r")).select("r.*")
+def cdc_records(topic: DataFrame, value_col: str = "value", with_dirty: bool = False):
+    """JSON change records to the envelope (map values arrive as text).
+
+    With ``with_dirty`` returns ``(records, dirty_lines)``: lines that do not
+    parse or carry no table name go to their own output (Q11: uniform dirty
+    routing instead of failing the job).  The parse runs once per line."""
+    if not with_dirty:
+        return topic.select(F.from_json(F.col(value_col), ENVELOPE_SCHEMA).alias("r")).select("r.*")
+    sch = T.StructType(ENVELOPE_SCHEMA.fields + [T.StructField("_corrupt_record", S)])
+    j = F.from_json(F.col(value_col), sch,
+                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    parsed = topic.select(F.inline(F.array(F.struct(j.alias("_r"), F.col(value_col).alias("_v")))))
+    bad = F.col("_r").isNull() | F.col("_r._corrupt_record").isNotNull() | F.col("_r.table").isNull()
+    flagged = parsed.withColumn("_bad", bad)
+    records = flagged.filter(~F.col("_bad")).select(*[F.col(f"_r.{f.name}").alias(f.name)
+                                                      for f in ENVELOPE_SCHEMA.fields])
+    dirty = flagged.filter(F.col("_bad")).select(F.col("_v").alias("line"))
+    return records, dirty
 
 
 def typed_records(topic: DataFrame, columns: list[str], value_col: str = "value",
