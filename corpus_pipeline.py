@@ -8,16 +8,29 @@ from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemart.llm import langid
 from tidemart.llm.common import read_table
 from tidemart.llm.line_dedup import line_dedup
 from tidemart.llm.mixing import emit, mix
+from tidemart.llm.packing import pack
+from tidemart.llm.queries import TRAIN_CHARS, TRAIN_ROWS
 from tidemart.llm.simhash import simhash_dedup
 from tidemart.session import checkpoint_root
 
 
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts whose language the model tells; the rest (no text, no letter, or
+    a calibrated score under the rejection score) goes."""
+    fold = langid.held_out(F.col("doc_id"))
+    model = langid.fit(docs.filter(~fold & F.col("doc_id").isNotNull()), train_rows=TRAIN_ROWS, train_chars=TRAIN_CHARS)
+    told = docs.select(F.struct("*").alias("row"), langid.language(model, docs, F.col("text")).alias("p"))
+    return told.filter((F.col("p.lang") != langid.UNKNOWN) & (F.col("p.score") >= model.reject)).select("row.*")
+
+
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Delete later copies of repeated line runs; a document all of whose
     words are such copies goes.  n_chars follows the text."""
@@ -36,7 +49,12 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return emit(mix(docs))
 
 
-STAGES = [("line_dedup", line_dedup_stage), ("near_dedup", near_dedup_stage), ("mixing", mixing_stage)]
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of 4096 tokens, with their ids."""
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [("language", language_stage), ("line_dedup", line_dedup_stage), ("near_dedup", near_dedup_stage), ("mixing", mixing_stage), ("packing", packing_stage)]
 
 #: The language model, the fingerprints and the tokenizer have no SQL form.
 ORACLE_SQL = None

@@ -7,11 +7,56 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import langid
 from .common import read_table
+from .embed_dedup import embedding_links
 from .exact_dedup import exact_dedup
+from .html_extract import extract
+from .license_scan import license_scan
 from .line_dedup import line_dedup
 from .mixing import mix
+from .packing import pack
 from .simhash import simhash_groups
+from .suffix_dedup import suffix_dedup
+
+
+#: Training texts for each language, and characters of each, at most about.
+TRAIN_ROWS, TRAIN_CHARS = 1000, 4000
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    out = pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    fold = langid.held_out(F.col("doc_id"))
+    model = langid.fit(docs.filter(~fold & F.col("doc_id").isNotNull()), train_rows=TRAIN_ROWS, train_chars=TRAIN_CHARS)
+    out = docs.select("doc_id", fold.alias("held_out"), langid.language(model, docs, F.col("text")).alias("p"))
+    return out.select("doc_id", "held_out", F.col("p.lang").alias("lang_pred"), F.col("p.score").alias("score"))
+
+
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = read_table(spark, sf_dir, "pages").select("page_id", "url", extract(F.col("html")).alias("text"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(read_table(spark, sf_dir, "documents"), min_dice=0.8)
+
+
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup(read_table(spark, sf_dir, "documents"), width=200)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_links(read_table(spark, sf_dir, "embeddings"), min_cos=0.98)
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,7 +83,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_exact_dedup, op8_line_dedup, op9_mixing, op10_simhash)}
+    f.__name__: f for f in (op1_packing, op2_html_text, op3_language_id, op4_license_scan, op6_suffix_dedup, op7_embedding_dedup, op5_exact_dedup, op8_line_dedup, op9_mixing, op10_simhash)}
 
 ORACLE_SQL = {
     "op5_exact_dedup": r"""
