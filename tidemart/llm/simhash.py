@@ -48,7 +48,8 @@ def ball(segment: Column, bits: int, radius: int) -> Column:
     own = F.array(segment)
     if radius == 0:
         return own
-    return F.concat(own, F.array(*[segment.bitwiseXOR(F.lit(1 << i)) for i in range(bits)]))
+    flip = [F.lit(1 << i if i < 63 else -(1 << 63)) for i in range(bits)]
+    return F.concat(own, F.array(*[segment.bitwiseXOR(x) for x in flip]))
 
 
 def near_pairs(prints: DataFrame, max_bits: int = 3) -> DataFrame:
