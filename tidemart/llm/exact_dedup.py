@@ -77,7 +77,8 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", b
         identity = identity.union(d)
     rows = stored(docs.select("rid", "id", "n_chars", "sha").join(identity, "rid"), "exact-ids")
     best = F.min(F.struct((-F.col("n_chars")).alias("len"), F.col("id").isNull().alias("none"), "id", "rid"))
-    groups = rows.groupBy("depth", "name").agg(best.alias("best"), F.count("*").alias("group_size"))
+    # Stored, so that the join below can split a group that holds many rows.
+    groups = stored(rows.groupBy("depth", "name").agg(best.alias("best"), F.count("*").alias("group_size")), "exact-groups")
     return rows.join(groups, ["depth", "name"]).select(
         F.col("id").alias("doc_id"), F.col("best.id").alias("keep_id"), "group_size",
         (F.col("rid") == F.col("best.rid")).alias("kept"), F.col("sha").alias("text_sha256"))
