@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -30,24 +32,32 @@ UNLIKELY = re.compile(
     r"search|login)(?:$|[\s_-])", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(" + RAW + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+|[^>]*)>", re.S | re.I)
+_QUOTED = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*+"
+_RAW_OR_COMMENT = r"<!--.*?(?P<closed>-->|\Z)|<(?P<raw>" + RAW + r")\b" + _QUOTED + r">.*?(?P<end></(?P=raw)\s*>|\Z)|<[!?][^>]*>"
+_TAG = r"<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?:(?P<strict>" + _QUOTED + r")>|(?P<loose>[^>]*)>)"
+_LOOSE_TAG = r"<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<strict>(?P<loose>[^>]*))>"
+TOKEN = re.compile(f"{_RAW_OR_COMMENT}|{_TAG}", re.S | re.I)
+#: For the rest of a page once a quote turned out to be open to its end.
+LOOSE_TOKEN = re.compile(f"{_RAW_OR_COMMENT}|{_LOOSE_TAG}".replace(_QUOTED, "[^>]*+"), re.S | re.I)
+CUT_OFF = re.compile(r"<[a-zA-Z/!?]")
 PARAGRAPH = 25  # characters from which a block passes points on
 
 
-@dataclass
+@dataclass(eq=False)
 class Node:
     tag: str
     parent: Node | None
-    out: bool  # it or an element around it isn't the article's
-    inside: bool  # an article or main element is around it
+    out: bool = False  # it or an element around it isn't the article's
+    inside: bool = False  # it is in an article or main element
+    block: Node | None = None  # the nearest block element, itself included
+    items: Node | None = None  # the nearest list
     score: float = 0.0
     chars: int = 0
     link_chars: int = 0
+    kept: bool = False
 
 
-@dataclass
+@dataclass(eq=False)
 class Block:
     node: Node
     pieces: list[str] = field(default_factory=list)
@@ -74,74 +84,87 @@ def unlikely(tag: str, source: str, inside: bool) -> bool:
     return bool(UNLIKELY.search(name)) and not (tag == "article" and not re.search("comment|reply|promo|sponsor|related", name, re.I))
 
 
-def parse(source: str) -> tuple[Node, list[Block]]:
-    """The element tree and the text blocks in page order."""
-    root = Node("", None, False, False)
-    stack, blocks, block, links, at = [root], [], None, 0, 0
-
-    def text(piece: str) -> None:
-        nonlocal block
-        if not piece or (block is None and piece.isspace()):
+def tokens(source: str) -> Iterator[re.Match | str]:
+    """Tags as matches and the text between them.  Comments, scripts and the
+    like are passed over, open ones to the end of the page.  A tag cut off by
+    the end is dropped."""
+    pattern, at, stop = TOKEN, 0, source.rfind(">") + 1
+    while at < stop and (m := pattern.search(source, at, stop)):
+        if m.start() > at:
+            yield source[at:m.start()]
+        at = m.end()
+        if m["tag"]:
+            if m["strict"] is None:
+                pattern = LOOSE_TOKEN
+            yield m
+        elif m["closed"] == "" or m["end"] == "":
             return
-        if block is None:
-            block = Block(next(n for n in reversed(stack) if n.tag in BLOCK or n is root))
-            blocks.append(block)
-        if "&" in piece:
-            piece = entities.unescape(piece)
-        block.pieces.append(piece)
-        if links:
-            block.link_chars += len(piece)
+    rest = source[at:]
+    cut = CUT_OFF.search(rest)
+    yield rest[:cut.start()] if cut else rest
+
+
+def parse(source: str) -> tuple[list[Node], list[Block]]:
+    """The elements in page order, and the text blocks in page order."""
+    root = Node("", None)
+    root.block = root
+    nodes, stack, opened = [root], [root], Counter()
+    blocks, block = [], None
 
     def pop_to(n: int) -> None:
-        nonlocal links
-        links -= sum(x.tag == "a" for x in stack[n:])
+        opened.subtract(x.tag for x in stack[n:])
         del stack[n:]
 
-    for m in TOKEN.finditer(source):
-        if m.start() > at and not stack[-1].out:
-            text(source[at:m.start()])
-        at = m.end()
-        tag = (m[3] or "").lower()
-        if not tag:
+    def nearest(wanted: frozenset | set, limit: frozenset | set) -> int:
+        """Place of the innermost open element of some kinds, 0 if one of the limit is before it."""
+        for i in range(len(stack) - 1, 0, -1):
+            if stack[i].tag in wanted:
+                return i
+            if stack[i].tag in limit:
+                return 0
+        return 0
+
+    for m in tokens(source):
+        if isinstance(m, str):
+            if stack[-1].out or (block is None and m.isspace()) or not m:
+                continue
+            if block is None:
+                block = Block(stack[-1].block)
+                blocks.append(block)
+            piece = entities.unescape(m) if "&" in m else m
+            block.pieces.append(piece)
+            if opened["a"] > 0:
+                block.link_chars += len(piece)
             continue
-        if tag in BLOCK:
+        tag = m["tag"].lower()
+        inline = tag not in BLOCK
+        if not inline:
             block = None
-        if m[2]:
-            if any(x.tag == tag for x in stack):
-                n = max(i for i, x in enumerate(stack) if x.tag == tag)
-                if tag in BLOCK or not any(x.tag in BLOCK for x in stack[n:]):
-                    pop_to(n)
+        if m["close"]:
+            if opened[tag] > 0 and (n := nearest({tag}, BLOCK if inline else frozenset())):
+                pop_to(n)
             continue
         if tag in VOID:
-            if tag in ("br", "wbr") and block is not None:
-                block.pieces.append(" " if tag == "br" else "")
+            if tag == "br" and block is not None:
+                block.pieces.append(" ")
             continue
-        if tag in BLOCK:  # a paragraph ends where the next block begins
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p":
-                    pop_to(i)
-                    break
-                if stack[i].tag in BLOCK:
-                    break
-        if tag in CLOSES:
-            ends, around = CLOSES[tag]
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in ends:
-                    pop_to(i)
-                    break
-                if stack[i].tag in around:
-                    break
+        if not inline and opened["p"] > 0 and (n := nearest({"p"}, BLOCK)):
+            pop_to(n)  # a paragraph ends where the next block begins
+        if tag in CLOSES and (n := nearest(*CLOSES[tag])):
+            pop_to(n)
         up = stack[-1]
-        stack.append(Node(tag, up, up.out or unlikely(tag, m[4], up.inside), up.inside or tag in ("article", "main")))
-        links += tag == "a"
-    if at < len(source) and not stack[-1].out:
-        text(source[at:])
+        node = Node(tag, up, up.out or unlikely(tag, m["strict"] or m["loose"] or "", up.inside), up.inside or tag in ("article", "main"))
+        node.block = up.block if inline else node
+        node.items = node if tag in ("ul", "ol") else up.items
+        nodes.append(node)
+        stack.append(node)
+        opened[tag] += 1
     for b in blocks:
         b.text = " ".join("".join(b.pieces).split())
-    return root, [b for b in blocks if b.text]
+    return nodes, [b for b in blocks if b.text]
 
 
-def above(node: Node | None):
+def above(node: Node | None) -> Iterator[Node]:
     while node is not None:
         yield node
         node = node.parent
@@ -152,54 +175,50 @@ def main_text(source: str | None) -> str:
 
     A block of ``PARAGRAPH`` characters or more passes 1 point, one for each
     comma and one for each hundred characters (three at most) to the elements
-    around it, in full to the nearest container and a falling share further
-    out.  A container's points are discounted by its link density.  The best
-    container is kept, widened to the article or main element around it, with
-    siblings that score a fifth of it or are running text.  Page furniture
-    (see ``unlikely``) never counts.  A page without a long block gives the
-    article or main element, else all that isn't furniture.  Null gives ''."""
+    around it, in full to the nearest container and a falling share to the
+    five around that.  A container's points are discounted by its link
+    density.  The best container is kept, widened to the article or main
+    element around it, with siblings that score a fifth of it or are running
+    text.  Page furniture (see ``unlikely``) never counts.  A page without a
+    long block gives the article or main element, else all that isn't
+    furniture.  Null gives ''."""
     if not source:
         return ""
-    root, blocks = parse(source)
-    scored: dict[int, Node] = {}
+    nodes, blocks = parse(source)
+    scored = []
     for b in blocks:
-        for n in above(b.node):
-            n.chars += len(b.text)
-            n.link_chars += min(b.link_chars, len(b.text))
+        b.node.chars += len(b.text)
+        b.node.link_chars += min(b.link_chars, len(b.text))
         if len(b.text) < PARAGRAPH or b.link_chars > len(b.text) / 2:
             continue
         points = 1 + b.text.count(",") + min(len(b.text) // 100, 3)
         own = b.node.parent if b.node.tag in ("p", "pre", "li", "td", "th", "dd", "dt", "blockquote", "figcaption") else b.node
-        for depth, n in enumerate(above(own)):
+        for n, part in zip(above(own), (1, 2, 3, 6, 9, 12)):
             if n.tag not in ("html", ""):
-                n.score += points / (1, 2, 3, 6, 9, 12)[min(depth, 5)]
-                scored[id(n)] = n
+                n.score += points / part
+                scored.append(n)
+    for n in reversed(nodes[1:]):  # children come after their parents
+        n.parent.chars += n.chars
+        n.parent.link_chars += n.link_chars
 
     def value(n: Node) -> float:
         return n.score * (1 - n.link_chars / n.chars) if n.chars else 0.0
 
-    best = max(scored.values(), key=value, default=None)
-    if best is None:
-        around = [n for b in blocks for n in above(b.node) if n.tag in ("article", "main")]
-        best = max(around, key=lambda n: n.chars, default=root)
+    if scored:
+        best = max(scored, key=value)
+        best = next((n for n in above(best) if n.tag == "article"), None) or next((n for n in above(best) if n.tag == "main"), best)
     else:
-        best = next((n for n in above(best) if n.tag == "article"), None) or \
-            next((n for n in above(best) if n.tag == "main"), best)
-    keep, level = {id(best)}, value(best)
-    siblings = {id(n): n for b in blocks for n in above(b.node) if n.parent is best.parent and n is not best}
-    for n in siblings.values():
-        density = n.link_chars / n.chars
-        if value(n) >= max(10.0, level / 5) or (n.tag == "p" and best.tag not in ("article", "main") and density < 0.25
-                                                and (n.chars > 80 or n.chars > PARAGRAPH and not n.link_chars)):
-            keep.add(id(n))
-    out = []
-    for b in blocks:
-        if any(id(n) in keep for n in above(b.node)):
-            lists = next((n for n in above(b.node) if n.tag in ("ul", "ol")), None)
-            menu = lists is not None and not b.node.inside and lists.link_chars >= 0.9 * lists.chars
-            if not menu:
-                out.append(b.text)
-    return "\n".join(out)
+        best = max((n for n in nodes if n.tag in ("article", "main") and n.chars and not n.out), key=lambda n: n.chars, default=nodes[0])
+    best.kept, level = True, value(best)
+    for n in nodes:
+        if n.parent is not None and n.parent is best.parent and n.chars and not n.kept:
+            prose = n.tag == "p" and best.tag not in ("article", "main") and n.link_chars < n.chars / 4 and (
+                n.chars > 80 or n.chars > PARAGRAPH and not n.link_chars)
+            n.kept = prose or value(n) >= max(10.0, level / 5)
+    for n in nodes[1:]:
+        n.kept = n.kept or n.parent.kept
+    menu = lambda n: n.items is not None and not n.inside and n.items.link_chars >= 0.9 * n.items.chars
+    return "\n".join(b.text for b in blocks if b.node.kept and not menu(b.node))
 
 
 def extract(html: Column) -> Column:
