@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemart.operators import dims, logsplit, visits
+from tidemart.operators.enrich import dic_lookup, lookup
 from tidemart.operators.keyed import latest_rows
 from tidemart.functions import cdc
-from tidemart.functions.tokenize import explode_keywords
+from tidemart.functions.tokenize import explode_keywords, register_table_function
 from tidemart.plans import log as logplans
 
 DAY = 86_400_000
@@ -79,10 +80,13 @@ def test_login_back_user(spark):
     assert got == [(0, 1, 0), (8 * DAY, 1, 1), (9 * DAY, 1, 0)]
 
 
-def test_unique_and_new_flags(spark):
-    df = spark.createDataFrame([("u", 5), ("u", 7), ("u", DAY + 1), ("v", DAY + 2)], "user_id string, ts long")
-    got = sorted((r.user_id, r.ts, r.uu, r.new) for r in visits.unique_and_new_flags(df).collect())
-    assert got == [("u", 5, 1, 1), ("u", DAY + 1, 1, 0), ("v", DAY + 2, 1, 1)]
+def test_lookup_misses(spark):
+    """J6 drops rows whose code is unknown, J8 keeps them with nulls."""
+    rows = spark.createDataFrame([("1", "a"), ("2", "b"), ("3", None)], "id string, code string")
+    dic = spark.createDataFrame([("a", "A")], "dic_code string, dic_name string")
+    assert [tuple(r) for r in dic_lookup(rows, dic, "code", "name").select("id", "name").collect()] == [("1", "A")]
+    left = lookup(rows, dic, "code", {"dic_name": "name"}, dim_key="dic_code")
+    assert sorted((r.id, r.name) for r in left.collect()) == [("1", "A"), ("2", None), ("3", None)]
 
 
 def test_latest_version_ties_break_on_arrival(spark):
@@ -142,9 +146,13 @@ def test_dim_config_fold_and_exact_whitelist(spark):
 
 
 def test_tokenizer(spark):
-    df = spark.createDataFrame([("Small Ring-2x",), ("小米 手机",)], "item string")
-    got = sorted(r.keyword for r in explode_keywords(df, "item").collect())
-    assert got == ["2x", "ring", "small", "小米", "手机"]
+    df = spark.createDataFrame([("Small Ring-2x",), ("苹果手机 abc红",), (None,)], "item string")
+    want = ["2x", "abc", "ring", "small", "手机", "果手", "红", "苹果"]
+    assert sorted(r.keyword for r in explode_keywords(df, "item").collect()) == want
+    register_table_function(spark)
+    df.createOrReplaceTempView("tokenizer_in")
+    rows = spark.sql("SELECT keyword FROM tokenizer_in, LATERAL ik_analyze(item)").collect()
+    assert sorted(r.keyword for r in rows) == want
 
 
 def test_timestamp_compare_is_native(spark):
@@ -155,7 +163,7 @@ def test_timestamp_compare_is_native(spark):
 
 def test_cdc_dirty_routing(spark):
     from tidemart.sources.readers import cdc_records
-    lines = [json.dumps({"database": "gmall", "table": "cart_info", "type": "insert",
+    lines = [json.dumps({"database": "shop", "table": "cart_info", "type": "insert",
                          "data": {"id": "1", "sku_num": 2}, "ts": "5"}),
              '{"table": "cart_info", "data": {', "", json.dumps({"type": "insert"})]
     topic = spark.createDataFrame([(v,) for v in lines], "value string")

@@ -6,6 +6,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemart.operators import visits
 from tidemart.plans import log as logplans
@@ -105,13 +106,14 @@ def test_t5_login(spark, seed, back):
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_t6_unique_new(spark, seed):
     rows = rows_for(seed)
-    last, exp = {}, []
+    last, exp = {}, {}
     for m, _, ts, seq, _, _ in sorted(rows, key=lambda r: (r[2], r[3])):
-        d = day(ts)
-        uu, new = int(last.get(m) != d), int(m not in last)
+        d, w = day(ts), ts - ts % 10_000
+        uu, new = exp.get(w, (0, 0))
+        exp[w] = (uu + (last.get(m) != d), new + (m not in last))
         last[m] = d
-        if uu:
-            exp.append((ts, uu, new))
-    df = page_df(spark, rows).selectExpr("mid AS user_id", "ts")
-    got = sorted((r.ts, r.uu, r.new) for r in visits.unique_and_new_flags(df).collect())
-    assert got == sorted(exp)
+    fmt = lambda w: dt.datetime.fromtimestamp(w / 1000, dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+    df = page_df(spark, rows).selectExpr("mid AS user_id", "ts", "'x' AS source_type_name")
+    df = df.withColumn("ts", (F.col("ts") / 1000).cast("long").cast("string"))
+    got = {r.stt: (r.order_unique_user_count, r.order_new_user_count) for r in metrics.trade_order(df).collect()}
+    assert got == {fmt(w): v for w, v in exp.items()}

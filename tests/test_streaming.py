@@ -176,15 +176,6 @@ def test_order_detail_stream_join(spark):
     assert len(got_ids) > 0.9 * len(exp_rows)
 
 
-def test_sql_udtf(spark):
-    from tidemart.functions.tokenize import register_udtf
-    register_udtf(spark)
-    spark.createDataFrame([("Red Widget",), ("blue",)], "t string").createOrReplaceTempView("kw_in")
-    got = sorted(r.keyword for r in spark.sql(
-        "SELECT keyword FROM kw_in, LATERAL ik_analyze(t)").collect())
-    assert got == ["blue", "red", "widget"]
-
-
 def test_sku_order_stream_equals_batch(spark):
     od = R.order_detail(spark, SF_SMALL)
     d = _ordered_files(od.withColumn("o", F.col("ts").cast("long")), "o", tempfile.mkdtemp(prefix="sku-") + "/in")

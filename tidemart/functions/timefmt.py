@@ -26,10 +26,6 @@ def sec_to_ms(sec) -> Column:
     return _c(sec).cast("bigint") * F.lit(1000)
 
 
-def ts_to_ms(ts) -> Column:
-    return F.unix_millis(_c(ts).cast("timestamp"))
-
-
 def ms_to_date(ms) -> Column:
     """``yyyy-MM-dd`` of an epoch-ms value in the session time zone."""
     return F.date_format(ms_to_ts(ms), FMT_DATE)

@@ -8,7 +8,9 @@ key; the upsert store is the result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,29 +28,36 @@ def fold_config(changes: DataFrame) -> DataFrame:
                     F.coalesce(F.col("sink_extend"), F.lit("")).alias("sink_extend")))
 
 
-def dim_rows(envelope: DataFrame, config: DataFrame, apply_deletes: bool = False) -> DataFrame:
-    """Latest whitelisted row per (sink table, pk): ``sink_table, id, data``.
+def dim_changes(envelope: DataFrame, config: DataFrame) -> DataFrame:
+    """Whitelisted change rows: ``sink_table, id, data, type, ts``.
 
-    J12 inner-joins records to the (small, one row per table) config; P7
-    keeps only configured columns by exact name; T10 keeps the latest
-    version per key (arrival ``ts`` then the row itself as tie-break).
-    Deletes are upserted with their last image unless ``apply_deletes``."""
+    J12 inner-joins records to the config (one row per table); P7 keeps only
+    configured columns by exact name."""
     rows = envelope.filter(not_bootstrap())
-    # The config has one row per dimension table: a proven, data-independent
-    # bound, so it is broadcast.  A shuffle join on ``table`` would send each
-    # dimension's whole change stream to one task.
-    joined = rows.join(F.broadcast(config), rows["table"] == config["source_table"], "inner")
-    cols = F.split(F.col("sink_columns"), ",")
+    joined = rows.join(config, rows["table"] == config["source_table"], "inner")
+    cols = F.transform(F.split(F.col("sink_columns"), ","), lambda c: F.trim(c))
     white = F.map_filter(F.col("data"), lambda k, v: F.array_contains(cols, k))
-    keyed = joined.select(
+    return joined.select(
         "sink_table", F.element_at(F.col("data"), F.col("sink_pk")).alias("id"),
         white.alias("data"), F.col("type"), F.col("ts").cast("bigint").alias("ts"))
-    latest = latest_rows(keyed, ["sink_table", "id"], ["ts"])
+
+
+def current_dims(changes: DataFrame, apply_deletes: bool = False, order: tuple[str, ...] = ("ts",)) -> DataFrame:
+    """The latest change per (sink table, pk) by ``order``.  Deletes are
+    upserted with their last image unless ``apply_deletes``, which removes
+    the key when its latest change is a delete (so the delete has to be
+    stored like any other change)."""
+    latest = latest_rows(changes, ["sink_table", "id"], list(order))
     if apply_deletes:
         latest = latest.filter(F.col("type") != "delete")
     return latest.select("sink_table", "id", "data")
 
 
+def dim_rows(envelope: DataFrame, config: DataFrame, apply_deletes: bool = False) -> DataFrame:
+    """Latest whitelisted row per (sink table, pk): ``sink_table, id, data``."""
+    return current_dims(dim_changes(envelope, config), apply_deletes)
+
+
 def dim_schema(sink_columns: str) -> T.StructType:
     """K6: every configured column is a string."""
     return T.StructType([T.StructField(c.strip(), T.StringType()) for c in sink_columns.split(",")])
@@ -59,3 +68,24 @@ def typed_dim(rows: DataFrame, sink_table: str, sink_columns: str) -> DataFrame:
     sch = dim_schema(sink_columns)
     return (rows.filter(F.col("sink_table") == sink_table)
             .select(*[F.col("data").getItem(f.name).alias(f.name) for f in sch.fields]))
+
+
+def table_ddl(sink_table: str, sink_columns: str, sink_pk: str = "id", sink_extend: str = "", location: str | None = None) -> str:
+    """K6: the statement that creates a configured dimension table: all
+    columns text, clustered by the key; ``SALT_BUCKETS = n`` in the
+    configured suffix gives the number of buckets."""
+    cols = ", ".join(f"`{f.name}` STRING" for f in dim_schema(sink_columns).fields)
+    salt = re.search(r"SALT_BUCKETS\s*=\s*(\d+)", sink_extend or "", re.I)
+    buckets = f" CLUSTERED BY (`{sink_pk}`) INTO {int(salt.group(1))} BUCKETS" if salt else ""
+    where = f" LOCATION '{location}'" if location else ""
+    return f"CREATE TABLE IF NOT EXISTS `{sink_table}` ({cols}) USING parquet{buckets}{where} COMMENT 'key {sink_pk}'"
+
+
+def create_tables(spark: SparkSession, config: DataFrame, root: str | None = None) -> list[str]:
+    """K6: create every configured dimension table that doesn't exist.  The
+    config is one row per dimension table, so collecting it is bounded."""
+    names = []
+    for r in config.collect():
+        spark.sql(table_ddl(r.sink_table, r.sink_columns, r.sink_pk, r.sink_extend, f"{root}/{r.sink_table}" if root else None))
+        names.append(r.sink_table)
+    return names

@@ -15,11 +15,10 @@ from pyspark.sql import types as T
 S = T.StringType()
 MAP_SS = T.MapType(S, S)
 
-COMMON = T.StructType([T.StructField(n, S) for n in ("mid", "uid", "vc", "ch", "ar", "is_new")])
-PAGE = T.StructType([T.StructField(n, S) for n in ("page_id", "last_page_id", "item", "item_type")]
-                    + [T.StructField("during_time", T.LongType())])
+# ``common`` and ``page`` are maps: every field of the line travels on, known
+# or not; values are text.
 LOG_SCHEMA = T.StructType([
-    T.StructField("common", COMMON), T.StructField("page", PAGE),
+    T.StructField("common", MAP_SS), T.StructField("page", MAP_SS),
     T.StructField("start", MAP_SS), T.StructField("displays", T.ArrayType(MAP_SS)),
     T.StructField("actions", T.ArrayType(MAP_SS)), T.StructField("err", MAP_SS),
     T.StructField("ts", T.LongType()), T.StructField("_corrupt_record", S),

@@ -31,8 +31,8 @@ def repair_new_flag(df: DataFrame, mid: str = "mid", is_new: str = "is_new") ->
                      F.when(F.col(is_new) == "1", F.col("_dt"))
                       .otherwise(F.date_sub(F.col("_dt"), 1)).alias("_first_dt")))
     out = d.join(first, d[mid] == first["_fmid"], "left")
-    fixed = F.when((F.col(is_new) == "1") & (F.col("_dt") == F.col("_first_dt")), "1").otherwise(
-        F.when(F.col(is_new).isNull(), F.lit(None)).otherwise("0"))
+    stale = (F.col(is_new) == "1") & (F.col("_dt") != F.col("_first_dt"))
+    fixed = F.when(stale, "0").otherwise(F.col(is_new))  # any other flag stays as it is
     return out.withColumn(is_new, fixed).drop("_dt", "_fmid", "_first_dt")
 
 
@@ -75,15 +75,6 @@ def login_flags(logins: DataFrame, uid: str = "uid", back_days: int = 8) -> Data
             .drop("_day", "_prev_day", "_is_first_ever"))
 
 
-def unique_and_new_flags(df: DataFrame, key: str = "user_id") -> DataFrame:
-    """Per first row of (user, day): ``uu`` = 1, ``new`` = 1 when it
-    is the user's first day ever."""
-    d = daily_first_with_history(df, key)
-    return (d.withColumn("uu", F.lit(1).cast("bigint"))
-            .withColumn("new", F.col("_is_first_ever").cast("bigint"))
-            .drop("_day", "_prev_day", "_is_first_ever"))
-
-
 def bounce_entries(df: DataFrame, within_ms: int, key: str = "mid",
                    bucket_ms: int | None = None) -> DataFrame:
     """Entry rows (``last_page_id`` null) not followed, within
@@ -91,30 +82,20 @@ def bounce_entries(df: DataFrame, within_ms: int, key: str = "mid",
 
     An entry bounces when the device's next row is missing, is ``within_ms``
     or more later, or is itself an entry.  "Next row" is a lead over
-    (device, time bucket) — so a hot device is spread over its buckets —
-    and, for the last row of a bucket, the first row of the next bucket.
-    With buckets at least ``within_ms`` wide a row two buckets on is always
-    too late to matter.
-
-    Bucket width trades the largest window task against the size of the
-    next-bucket lookup: the default, max(horizon, 1 minute), caps a device
-    that emits a third of all rows at one minute of its rows per task."""
+    (device, time bucket), so a hot device is spread over its buckets.  The
+    rows in the first ``within_ms`` of a bucket are copied to the bucket
+    before as markers: whatever lies later than those is too late to matter,
+    so one window (one exchange, no join) decides; markers are dropped.
+
+    Bucket width trades the largest window task against the share of rows
+    copied: the default, max(horizon, 1 minute), caps a device that emits a
+    third of all rows at one minute of its rows per task."""
     bucket_ms = max(int(bucket_ms or 60_000), int(within_ms))
-    is_entry = F.col("last_page_id").isNull()
-    d = df.withColumn("_b", F.floor(F.col("ts") / bucket_ms)).withColumn("_entry", is_entry)
+    own = F.floor(F.col("ts") / bucket_ms)
+    marks = F.when(F.col("ts") - own * bucket_ms < within_ms, F.array(own, own - 1)).otherwise(F.array(own))
     w = Window.partitionBy(key, "_b").orderBy(*ORDER)
-    d = (d.withColumn("_nts", F.lead("ts").over(w))
-          .withColumn("_nentry", F.lead("_entry").over(w)))
-    entries = d.filter(F.col("_entry"))
-    heads = (first_rows(d.select(key, "_b", "_entry", *ORDER), [key, "_b"], ORDER)
-             .select(F.col(key).alias("_hk"), (F.col("_b") - 1).alias("_hb"),
-                     F.col("ts").alias("_hts"), F.col("_entry").alias("_hentry")))
-    tail = entries.filter(F.col("_nts").isNull())
-    tail = (tail.join(heads, (tail[key] == heads["_hk"]) & (tail["_b"] == heads["_hb"]), "left")
-            .withColumn("_nts", F.col("_hts")).withColumn("_nentry", F.col("_hentry"))
-            .drop("_hk", "_hb", "_hts", "_hentry"))
-    body = entries.filter(F.col("_nts").isNotNull())
-    allv = body.unionByName(tail)
-    bounced = (F.col("_nts").isNull() | ((F.col("_nts") - F.col("ts")) >= within_ms)
-               | F.col("_nentry"))
-    return allv.filter(bounced).drop("_b", "_entry", "_nts", "_nentry")
+    d = (df.withColumn("_entry", F.col("last_page_id").isNull()).withColumn("_b", F.explode(marks))
+         .withColumn("_nts", F.lead("ts").over(w)).withColumn("_nentry", F.lead("_entry").over(w)))
+    bounced = F.col("_nts").isNull() | ((F.col("_nts") - F.col("ts")) >= within_ms) | F.col("_nentry")
+    return (d.filter(F.col("_entry") & F.col("_b").eqNullSafe(own) & bounced)
+            .drop("_b", "_entry", "_nts", "_nentry"))

@@ -25,18 +25,14 @@ def with_event_time(df: DataFrame, ms_col: str = "ts", out: str = "row_time",
 
 
 def tumbling_agg(df: DataFrame, aggs: dict[str, Column], keys: Sequence[str] = (),
-                 time_col: str = "row_time", size_seconds: int = WINDOW_SECONDS,
-                 label_keys_after: bool = False) -> DataFrame:
+                 time_col: str = "row_time", size_seconds: int = WINDOW_SECONDS) -> DataFrame:
     """``groupBy(window(time, size), keys).agg(...)`` + stt/edt/cur_date.
 
-    Output columns: stt, edt, keys..., cur_date, aggregates (or keys after
-    the labels when ``label_keys_after``).  Partial aggregation runs before
+    Output columns: stt, edt, keys..., cur_date, aggregates.  Partial aggregation runs before
     the shuffle, so a global (unkeyed) window does not funnel raw rows into
     one task."""
     g = (df.groupBy(F.window(F.col(time_col), f"{size_seconds} seconds").alias("window"), *keys)
          .agg(*[c.alias(n) for n, c in aggs.items()]))
     stt, edt, cur = window_labels("window")
     names = list(aggs)
-    if label_keys_after:
-        return g.select(stt, edt, cur, *keys, *names)
     return g.select(stt, edt, *keys, cur, *names)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import JUMP_WITHIN_SECONDS
@@ -13,13 +13,14 @@ PAGE_COLS = ["mid", "uid", "vc", "ch", "ar", "is_new", "page_id", "last_page_id"
 COMMON_COLS = ["mid", "uid", "vc", "ch", "ar", "is_new"]
 
 
-def flat_page(df: DataFrame) -> DataFrame:
-    """Nested page-log record -> flat columns (+ ``seq`` when present)."""
+def flat_page(df: DataFrame, *more: str) -> DataFrame:
+    """Nested page-log record -> flat columns (+ ``seq`` when present, and
+    ``more`` fields of ``common``)."""
     extra = ["seq"] if "seq" in df.columns else []
+    extra += [F.col(f"common.{c}").alias(c) for c in more]
     return df.select(*[F.col(f"common.{c}").alias(c) for c in COMMON_COLS],
-                     *[F.col(f"page.{c}").alias(c) for c in
-                       ("page_id", "last_page_id", "item", "item_type", "during_time")],
-                     "ts", *extra)
+                     *[F.col(f"page.{c}").alias(c) for c in ("page_id", "last_page_id", "item", "item_type")],
+                     F.col("page.during_time").cast("bigint").alias("during_time"), "ts", *extra)
 
 
 def repair_records(clean: DataFrame) -> DataFrame:
@@ -27,8 +28,13 @@ def repair_records(clean: DataFrame) -> DataFrame:
     ``common.is_new``."""
     d = clean.withColumn("_mid", F.col("common.mid")).withColumn("_is_new", F.col("common.is_new"))
     d = visits.repair_new_flag(d, mid="_mid", is_new="_is_new")
-    return (d.withColumn("common", F.col("common").withField("is_new", F.col("_is_new")))
-            .drop("_mid", "_is_new"))
+    return d.withColumn("common", with_flag(F.col("common"), F.col("_is_new"))).drop("_mid", "_is_new")
+
+
+def with_flag(common: Column, is_new: Column) -> Column:
+    """``common`` with its ``is_new`` replaced (a null flag changes nothing)."""
+    rest = F.map_filter(common, lambda k, v: k != "is_new")
+    return F.when(is_new.isNull(), common).otherwise(F.map_concat(rest, F.create_map(F.lit("is_new"), is_new)))
 
 
 def log_split(raw: DataFrame) -> dict[str, DataFrame]:
@@ -47,7 +53,7 @@ def _common_flat(df: DataFrame) -> list:
 def flat_route(name: str, df: DataFrame) -> DataFrame:
     """Flat, comparable projection of one routed output."""
     if name == "page":
-        return flat_page(df).drop("seq")
+        return flat_page(df.drop("seq"), "os")
     if name == "start":
         return df.select(*_common_flat(df), F.col("start")["entry"].alias("entry"),
                          F.col("start")["loading_time"].alias("loading_time"), "ts")

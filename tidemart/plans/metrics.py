@@ -156,8 +156,8 @@ def trade_sku_order(order_detail: DataFrame, dims: dict, size: int = WINDOW_SECO
     (window, sku)."""
     d = order_detail.filter(F.col("user_id").isNotNull() & F.col("source_type_name").isNotNull())
     d = d.select("id", "sku_id", "ts", "row_op_ts", "split_original_amount", "split_activity_amount",
-                 "split_coupon_amount", "split_total_amount")
-    d = latest_rows(d, ["id"], ["row_op_ts", "ts"])
+                 "split_coupon_amount", "split_total_amount", "arrival")
+    d = latest_rows(d, ["id"], ["row_op_ts", "arrival"])
     dec = lambda c: F.coalesce(F.col(c).cast("decimal(16,2)"), F.lit(0).cast("decimal(16,2)"))
     rows = d.select("sku_id", sec_to_ms("ts").alias("ms"),
                     F.coalesce(F.col("split_original_amount").cast("decimal(20,4)"),

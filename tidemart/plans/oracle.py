@@ -49,7 +49,8 @@ PAGE = """page AS (
               ELSE e.event_type END AS page_id,
          CASE e.event_type WHEN 'error' THEN 'login' WHEN 'purchase' THEN 'search'
               WHEN 'click' THEN 'home' END AS last_page_id,
-         CASE WHEN e.event_type = 'purchase' THEN p.p_name END AS item,
+         CASE WHEN e.event_type = 'purchase' THEN CASE WHEN e.event_id % 5 = 0 THEN '苹果手机红色 ' ELSE '' END || p.p_name
+         END AS item,
          CASE WHEN e.event_type = 'purchase' THEN 'keyword' END AS item_type,
          CAST(round(e.value * 100) AS BIGINT) AS during_time,
          e.ts_ms AS ts
@@ -79,7 +80,7 @@ ORD = """ord AS (
 DIC = """dic AS (
   SELECT DISTINCT split_part(o_orderpriority, '-', 1) AS dic_code,
          substr(o_orderpriority, instr(o_orderpriority, '-') + 1) AS dic_name
-  FROM orders WHERE split_part(o_orderpriority, '-', 1) <> '5')"""
+  FROM orders)"""
 
 LINES = """lines AS (
   SELECT l.*, o.o_custkey, o.o_orderdate AS odate, epoch_ms(o.o_orderdate) // 1000 AS osec,
@@ -142,18 +143,23 @@ TOD = f"""tod AS (
          split_coupon_amount, split_total_amount, od_ts AS ts, op_sec
   FROM chg WHERE type = 'insert')"""
 
-PAY = f"""pay AS (
+PAY = f"""pi AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS order_id, prio_code AS code, '1602' AS status,
+         strftime(o_orderdate + INTERVAL 2 HOUR, {FMT}) AS callback_time, osec + 7200 AS sec
+  FROM ord WHERE o_orderstatus IN ('F', 'O')
+  UNION ALL
+  SELECT CAST(o_orderkey AS VARCHAR), CAST(CAST(prio_code AS INT) % 5 + 1 AS VARCHAR), '1603',
+         strftime(o_orderdate + INTERVAL 3 HOUR, {FMT}), osec + 10800
+  FROM ord WHERE o_orderstatus IN ('F', 'O') AND o_orderkey % 3 = 0),
+pay AS (
   SELECT tod.id AS order_detail_id, tod.order_id, tod.user_id, tod.sku_id, tod.sku_name,
          tod.province_id, tod.activity_id, tod.activity_rule_id, tod.coupon_id,
-         o.prio_code AS payment_type_code, dic.dic_name AS payment_type_name,
-         strftime(o.o_orderdate + INTERVAL 2 HOUR, {FMT}) AS callback_time,
+         pi.code AS payment_type_code, dic.dic_name AS payment_type_name, pi.callback_time, pi.status,
          tod.source_id, tod.source_type_code, tod.source_type_name, tod.sku_num,
          tod.split_original_amount, tod.split_activity_amount, tod.split_coupon_amount,
-         tod.split_total_amount AS split_payment_amount, CAST(o.osec + 7200 AS VARCHAR) AS ts,
+         tod.split_total_amount AS split_payment_amount, CAST(pi.sec AS VARCHAR) AS ts,
          tod.op_sec
-  FROM tod JOIN ord o ON tod.order_id = CAST(o.o_orderkey AS VARCHAR)
-  JOIN dic ON o.prio_code = dic.dic_code
-  WHERE o.o_orderstatus IN ('F', 'O'))"""
+  FROM tod JOIN pi ON tod.order_id = pi.order_id JOIN dic ON pi.code = dic.dic_code)"""
 
 REFUND = f"""refund AS (
   SELECT l.od_id AS id, CAST(l.o_custkey AS VARCHAR) AS user_id, CAST(l.l_orderkey AS VARCHAR) AS order_id,
@@ -174,18 +180,18 @@ REFUND = f"""refund AS (
 CART = """cart AS (
   SELECT CAST(e.event_id AS VARCHAR) AS id, CAST(e.user_id AS VARCHAR) AS user_id,
          CAST(e.k AS VARCHAR) AS sku_id, CAST(e.event_id % 50 AS VARCHAR) AS source_id,
-         CAST(e.k % 5 + 1 AS VARCHAR) AS source_type_code, dic.dic_name AS source_type_name,
+         CAST(e.k % 6 + 1 AS VARCHAR) AS source_type_code, dic.dic_name AS source_type_name,
          CASE WHEN e.event_type = 'purchase' THEN CAST(CAST(round(e.value) AS BIGINT) AS VARCHAR)
               ELSE CAST(CAST(CAST(round(e.value) AS BIGINT) AS INTEGER) - e.k AS VARCHAR) END AS sku_num,
          CAST(e.esec AS VARCHAR) AS ts, e.esec, e.event_id
-  FROM ev e JOIN dic ON CAST(e.k % 5 + 1 AS VARCHAR) = dic.dic_code
+  FROM ev e JOIN dic ON CAST(e.k % 6 + 1 AS VARCHAR) = dic.dic_code
   WHERE e.event_type = 'purchase'
      OR (e.event_type = 'click' AND CAST(round(e.value) AS BIGINT) > e.k))"""
 
 DIMS = """sku AS (SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS sku_name, p_name AS spu_id,
-                 p_brand AS tm_id, p_type AS category3_id FROM part),
+                 CASE WHEN p_partkey % 40 = 0 THEN 'Brand#0' ELSE p_brand END AS tm_id, p_type AS category3_id FROM part),
 spu AS (SELECT DISTINCT p_name AS id, p_name AS spu_name FROM part),
-tm AS (SELECT DISTINCT p_brand AS id, 'TM ' || p_brand AS tm_name FROM part WHERE p_brand <> 'Brand#1'),
+tm AS (SELECT DISTINCT p_brand AS id, 'TM ' || p_brand AS tm_name FROM part),
 c3 AS (SELECT DISTINCT p_type AS id, lower(p_type) AS name, substr(p_type, 1, 1) AS category2_id FROM part),
 c2 AS (SELECT DISTINCT substr(p_type, 1, 1) AS id, 'group ' || substr(p_type, 1, 1) AS name,
               CASE WHEN substr(p_type, 1, 1) <= 'M' THEN 'A-M' ELSE 'N-Z' END AS category1_id FROM part),
@@ -247,7 +253,7 @@ def _split_common() -> str:
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     base_log = _with(EV, PAGE, FIXED)
-    q["log_split_page"] = base_log + f"SELECT {PAGE_COLS} FROM fixed WHERE k <> 0"
+    q["log_split_page"] = base_log + f"SELECT {PAGE_COLS}, 'os' || CAST(k % 2 AS VARCHAR) AS os FROM fixed WHERE k <> 0"
     q["log_split_start"] = base_log + (
         f"SELECT {_split_common()}, 'icon' AS entry, CAST(k * 10 + 1000 AS VARCHAR) AS loading_time, ts "
         f"FROM fixed WHERE k = 0")
@@ -307,7 +313,11 @@ FROM (SELECT *, CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCH
                 "activity_rule_id, coupon_id, payment_type_code, payment_type_name, callback_time, source_id, "
                 "source_type_code, source_type_name, sku_num, split_original_amount, split_activity_amount, "
                 f"split_coupon_amount, split_payment_amount, ts, {_ts_text('op_sec')} AS row_op_ts")
-    q["trade_pay_detail_suc"] = _with(*trade, TOD, PAY) + f"SELECT {pay_cols} FROM pay"
+    # K2: the latest version of each detail id.
+    latest_pay = "SELECT *, row_number() OVER (PARTITION BY order_detail_id ORDER BY CAST(ts AS BIGINT) DESC) AS nth FROM pay"
+    q["trade_pay_detail_suc"] = _with(*trade, TOD, PAY) + f"SELECT {pay_cols} FROM ({latest_pay}) WHERE nth = 1"
+    q["trade_pay_detail_suc_success_only"] = _with(*trade, TOD, PAY) + (
+        f"SELECT {pay_cols} FROM ({latest_pay} WHERE status = '1602') WHERE nth = 1")
     refund_cols = ("id, user_id, order_id, sku_id, province_id, date_id, create_time, refund_type_code, "
                    "refund_type_name, refund_reason_type_code, refund_reason_type_name, refund_reason_txt, "
                    f"refund_num, refund_amount, ts, {_ts_text('op_sec')} AS row_op_ts")
@@ -345,8 +355,8 @@ FROM ev WHERE event_type = 'view'"""
     q["interaction_comment"] = _with(EV, DIC) + f"""
 SELECT CAST(event_id AS VARCHAR) AS id, CAST(user_id AS VARCHAR) AS user_id, CAST(k AS VARCHAR) AS sku_id,
        CAST(NULL AS VARCHAR) AS order_id, strftime(ets, '%Y-%m-%d') AS date_id, strftime(ets, {FMT}) AS create_time,
-       CAST(k % 5 + 1 AS VARCHAR) AS appraise_code, dic.dic_name AS appraise_name, CAST(esec AS VARCHAR) AS ts
-FROM ev JOIN dic ON CAST(k % 5 + 1 AS VARCHAR) = dic.dic_code
+       CAST(k % 6 + 1 AS VARCHAR) AS appraise_code, dic.dic_name AS appraise_name, CAST(esec AS VARCHAR) AS ts
+FROM ev JOIN dic ON CAST(k % 6 + 1 AS VARCHAR) = dic.dic_code
 WHERE event_type = 'click' AND k % 2 = 1"""
     q["user_register"] = _with(EV) + f"""
 SELECT CAST(user_id AS VARCHAR) AS user_id, strftime(ets, '%Y-%m-%d') AS date_id,
@@ -377,7 +387,9 @@ FROM (SELECT {_win('ts')} AS w, * FROM u) GROUP BY w, vc, ch, ar, is_new"""
     q["dws_user_login_back3"] = _login(3)
     q["dws_keyword_window"] = _with(EV, PAGE) + f"""
 , words AS (
-  SELECT (ts // 1000) * 1000 AS ms, unnest(regexp_extract_all(lower(item), '[\\p{{L}}\\p{{N}}]+')) AS keyword
+  SELECT (ts // 1000) * 1000 AS ms, unnest(flatten([
+           CASE WHEN regexp_matches(run, '^\\p{{Han}}') AND len(run) > 1 THEN [run[i:i + 1] FOR i IN range(1, len(run))]
+                ELSE [run] END FOR run IN regexp_extract_all(lower(item), '\\p{{Han}}+|[\\p{{L}}\\p{{N}}]+')])) AS keyword
   FROM page WHERE item IS NOT NULL AND last_page_id = 'search' AND item_type = 'keyword')
 SELECT strftime(epoch_ms(w), {FMT}) AS stt, strftime(epoch_ms(w + 10000), {FMT}) AS edt, 'SEARCH' AS source,
        keyword, strftime(epoch_ms(w), '%Y%m%d') AS cur_date, CAST(count(*) AS BIGINT) AS keyword_count
@@ -430,6 +442,12 @@ SELECT strftime(epoch_ms(w), {FMT}) AS stt, strftime(epoch_ms(w + 10000), {FMT})
        CAST(g.n AS BIGINT) AS refund_count
 FROM g {SNOW_JOIN}"""
 
+    # The same metrics in one-hour windows (a bounce still counts 10 s later).
+    for name in ("dws_keyword_window", "dws_traffic_vc_ch_ar_is_new", "dws_home_detail_uv", "dws_user_login",
+                 "dws_user_register", "dws_cart_add_uu"):
+        q[f"{name}_1h"] = (q[name].replace("// 10000) * 10000", "// 3600000) * 3600000")
+                           .replace("w + 10000", "w + 3600000"))
+
     # ------------------------------------------------------------- dim sink --
     q["dim_sink"] = """
 WITH kv AS (

@@ -15,6 +15,9 @@ from ..sources import fixtures as fx
 from . import dim, log, metrics, tool, trade
 
 
+HOUR = 3600
+
+
 def finalize(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
@@ -62,11 +65,11 @@ def q_user_jump_detail(spark, sf, within=10):
 
 
 def q_trade_order_pre_process(spark, sf):
-    return trade.order_pre_process(changelog(spark, sf))
+    return trade.order_pre_process(changelog(spark, sf)).drop("arrival")
 
 
 def q_trade_order_detail(spark, sf):
-    return order_detail(spark, sf)
+    return order_detail(spark, sf).drop("arrival")
 
 
 def q_trade_cancel_detail(spark, sf):
@@ -77,9 +80,9 @@ def q_trade_cart_add(spark, sf):
     return trade.cart_add(env(spark, sf, "cart_info"), fx.base_dic(spark, sf))
 
 
-def q_trade_pay_detail_suc(spark, sf):
+def q_trade_pay_detail_suc(spark, sf, success_only=False):
     return trade.pay_detail_suc(order_detail(spark, sf), env(spark, sf, "payment_info"),
-                                fx.base_dic(spark, sf))
+                                fx.base_dic(spark, sf), success_only)
 
 
 def q_trade_order_refund(spark, sf):
@@ -175,6 +178,7 @@ RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trade_cancel_detail": q_trade_cancel_detail,
     "trade_cart_add": q_trade_cart_add,
     "trade_pay_detail_suc": q_trade_pay_detail_suc,
+    "trade_pay_detail_suc_success_only": lambda s, sf: q_trade_pay_detail_suc(s, sf, True),
     "trade_order_refund": q_trade_order_refund,
     "trade_refund_pay_suc": q_trade_refund_pay_suc,
     "tool_coupon_get": _tool(tool.coupon_get, "coupon_use"),
@@ -188,6 +192,13 @@ RAW: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dws_home_detail_uv": q_dws_home_detail_uv,
     "dws_user_login": q_dws_user_login,
     "dws_user_login_back3": lambda s, sf: q_dws_user_login(s, sf, 3),
+    # One-hour windows hold many rows of these tables, ten-second ones hardly two.
+    "dws_keyword_window_1h": lambda s, sf: metrics.keyword_window(page(s, sf), HOUR),
+    "dws_traffic_vc_ch_ar_is_new_1h": lambda s, sf: metrics.traffic_vc_ch_ar_is_new(page(s, sf), HOUR),
+    "dws_home_detail_uv_1h": lambda s, sf: metrics.home_detail_uv(page(s, sf), HOUR),
+    "dws_user_login_1h": lambda s, sf: metrics.user_login(page(s, sf), size=HOUR),
+    "dws_user_register_1h": lambda s, sf: metrics.user_register(tool.user_register(env(s, sf, "user_info")), HOUR),
+    "dws_cart_add_uu_1h": lambda s, sf: metrics.cart_add_uu(q_trade_cart_add(s, sf), HOUR),
     "dws_user_register": q_dws_user_register,
     "dws_cart_add_uu": q_dws_cart_add_uu,
     "dws_trade_order": q_dws_trade_order,

@@ -10,7 +10,7 @@ from ..constants import ORDER_STATUS_CANCEL, ORDER_STATUS_REFUND, PAYMENT_STATUS
 from ..functions.cdc import changed, data, increase_delta, old, project, rows_of
 from ..functions.timefmt import sec_to_ts, text_date
 from ..operators.enrich import dic_lookup
-from ..operators.keyed import latest_rows  # noqa: F401  (re-exported for the warehouse run)
+from ..operators.keyed import latest_rows
 
 SPLIT = ["split_original_amount", "split_activity_amount", "split_coupon_amount", "split_total_amount"]
 PRE_PROCESS_COLS = [
@@ -26,6 +26,12 @@ def _row_op_ts(*ts_cols: str):
     return sec_to_ts(F.greatest(*[F.col(c).cast("bigint") for c in ts_cols]))
 
 
+def arrival(env: DataFrame):
+    """What breaks ties between versions: the topic's order column if it has
+    one (``seq``), else the change record's own time."""
+    return (F.col("seq") if "seq" in env.columns else F.col("ts").cast("bigint")).alias("arrival")
+
+
 def order_pre_process_changelog(env: DataFrame, dic: DataFrame) -> DataFrame:
     """Every version of the order-detail wide row (S2, P2, J1, J2, J6): one
     per (detail, order_info insert/update).  Left joins emit once (no
@@ -40,7 +46,7 @@ def order_pre_process_changelog(env: DataFrame, dic: DataFrame) -> DataFrame:
     oi = rows_of(env, "order_info", ["insert", "update"]).select(
         data("id").alias("oi_id"), data("user_id").alias("user_id"),
         data("province_id").alias("province_id"), data("operate_time").alias("operate_time"),
-        data("order_status").alias("order_status"), "type", "old", F.col("ts").alias("oi_ts"))
+        data("order_status").alias("order_status"), "type", "old", F.col("ts").alias("oi_ts"), arrival(env))
     act = project(rows_of(env, "order_detail_activity", ["insert"]),
                   ["activity_id", "activity_rule_id"], [data("order_detail_id").alias("act_od_id")])
     cou = project(rows_of(env, "order_detail_coupon", ["insert"]),
@@ -55,12 +61,13 @@ def order_pre_process_changelog(env: DataFrame, dic: DataFrame) -> DataFrame:
     j = (j.withColumn("date_id", text_date("create_time"))
           .withColumn("operate_date_id", text_date("operate_time"))
           .withColumn("row_op_ts", _row_op_ts("od_ts", "oi_ts")))
-    return j.select(*PRE_PROCESS_COLS)
+    return j.select(*PRE_PROCESS_COLS, "arrival")
 
 
 def order_pre_process(changelog: DataFrame) -> DataFrame:
-    """The upsert table keyed by detail id (K2): its latest version."""
-    return latest_rows(changelog, ["id"], ["row_op_ts", "oi_ts"])
+    """The upsert table keyed by detail id (K2): its latest version, ties
+    broken by the later arrival."""
+    return latest_rows(changelog, ["id"], ["row_op_ts", F.col("oi_ts").cast("bigint"), "arrival"])
 
 
 DETAIL_COMMON = ["id", "order_id", "user_id", "sku_id", "sku_name", "province_id", "activity_id",
@@ -72,7 +79,7 @@ def order_detail(changelog: DataFrame) -> DataFrame:
     return changelog.filter(F.col("type") == "insert").select(
         *DETAIL_COMMON, "date_id", "create_time", "source_id",
         F.col("source_type").alias("source_type_code"), "source_type_name", "sku_num", *SPLIT,
-        F.col("od_ts").alias("ts"), "row_op_ts")
+        F.col("od_ts").alias("ts"), "row_op_ts", "arrival")
 
 
 def cancel_detail(changelog: DataFrame) -> DataFrame:
@@ -106,25 +113,33 @@ def pay_detail_suc(order_detail_df: DataFrame, env: DataFrame, dic: DataFrame,
     if success_only:
         p = p.filter((F.col("type") == "update") & (data("payment_status") == PAYMENT_STATUS_SUCCESS))
     p = p.select(data("order_id").alias("pi_order_id"), data("payment_type").alias("payment_type_code"),
-                 data("callback_time").alias("callback_time"), F.col("ts").alias("pi_ts"))
-    od = order_detail_df
+                 data("callback_time").alias("callback_time"), F.col("ts").alias("pi_ts"), arrival(env))
+    od = order_detail_df.drop("arrival")
     j = od.join(p, od.order_id == p.pi_order_id, "inner")
     j = dic_lookup(j, dic, "payment_type_code", "payment_type_name")
-    out = j.select(
+    out = pay_columns(j)
+    return latest_payments(out) if upsert else out
+
+
+def pay_columns(j: DataFrame) -> DataFrame:
+    """The columns of a paid order line, from the joined row."""
+    return j.select(
         F.col("id").alias("order_detail_id"), "order_id", "user_id", "sku_id", "sku_name",
         "province_id", "activity_id", "activity_rule_id", "coupon_id", "payment_type_code",
         "payment_type_name", "callback_time", "source_id", "source_type_code", "source_type_name",
         "sku_num", "split_original_amount", "split_activity_amount", "split_coupon_amount",
         F.col("split_total_amount").alias("split_payment_amount"), F.col("pi_ts").alias("ts"),
-        "row_op_ts")
-    if upsert:
-        out = latest_rows(out, ["order_detail_id"], [F.col("ts").cast("bigint"), "row_op_ts"])
-    return out
+        "row_op_ts", "arrival")
 
 
-def order_refund(env: DataFrame, dic: DataFrame) -> DataFrame:
-    """Refund lines with the order's province and two dictionary names (J4,
-    J7).  The refund order update is status 1005 with a changed status."""
+def latest_payments(changes: DataFrame) -> DataFrame:
+    """K2: the latest payment of every detail id, ties by the later arrival."""
+    return latest_rows(changes, ["order_detail_id"], [F.col("ts").cast("bigint"), "arrival"]).drop("arrival")
+
+
+def refund_sides(env: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Refund lines, and the order updates to status 1005 with a changed
+    status."""
     ri = project(rows_of(env, "order_refund_info", ["insert"]),
                  ["id", "user_id", "order_id", "sku_id", "refund_type", "refund_num",
                   "refund_amount", "refund_reason_type", "refund_reason_txt", "create_time"],
@@ -133,7 +148,11 @@ def order_refund(env: DataFrame, dic: DataFrame) -> DataFrame:
           .filter((data("order_status") == ORDER_STATUS_REFUND) & changed("order_status"))
           .select(data("id").alias("oi_id"), data("province_id").alias("province_id"),
                   F.col("ts").alias("oi_ts")))
-    j = ri.join(oi, ri.order_id == oi.oi_id, "inner")
+    return ri, oi
+
+
+def refund_columns(j: DataFrame, dic: DataFrame) -> DataFrame:
+    """J7 and the columns of a refund line, from the joined row."""
     j = dic_lookup(j, dic, "refund_type", "refund_type_name")
     j = dic_lookup(j, dic, "refund_reason_type", "refund_reason_type_name")
     return j.select(
@@ -145,10 +164,17 @@ def order_refund(env: DataFrame, dic: DataFrame) -> DataFrame:
         _row_op_ts("ts", "oi_ts").alias("row_op_ts"))
 
 
-def refund_pay_suc(env: DataFrame, dic: DataFrame, strict: bool = False) -> DataFrame:
-    """Successful refund payments with the order and refund line.
-    The reference applies only ``refund_status = '0702'``; ``strict`` adds
-    the filters it left commented out."""
+def order_refund(env: DataFrame, dic: DataFrame) -> DataFrame:
+    """Refund lines with the order's province and two dictionary names (J4,
+    J7)."""
+    ri, oi = refund_sides(env)
+    return refund_columns(ri.join(oi, ri.order_id == oi.oi_id, "inner"), dic)
+
+
+def refund_pay_sides(env: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Successful refund payments, order updates, refund lines.  The
+    reference applies only ``refund_status = '0702'``; ``strict`` adds the
+    filters it left commented out."""
     rp = rows_of(env, "refund_payment").filter(data("refund_status") == REFUND_STATUS_SUCCESS)
     oi = rows_of(env, "order_info", ["update"])
     ri = rows_of(env, "order_refund_info")
@@ -163,8 +189,11 @@ def refund_pay_suc(env: DataFrame, dic: DataFrame, strict: bool = False) -> Data
                    data("province_id").alias("province_id"), F.col("ts").alias("oi_ts"))
     ri = ri.select(data("order_id").alias("ri_order_id"), data("sku_id").alias("ri_sku_id"),
                    data("refund_num").alias("refund_num"), F.col("ts").alias("ri_ts"))
-    j = rp.join(oi, rp.order_id == oi.oi_id, "inner")
-    j = j.join(ri, (j.order_id == ri.ri_order_id) & (j.sku_id == ri.ri_sku_id), "inner")
+    return rp, oi, ri
+
+
+def refund_pay_columns(j: DataFrame, dic: DataFrame) -> DataFrame:
+    """J6 and the columns of a refund payment, from the joined row."""
     j = dic_lookup(j, dic, "payment_type", "payment_type_name")
     return j.select(
         "id", "user_id", "order_id", "sku_id", "province_id",
@@ -174,6 +203,14 @@ def refund_pay_suc(env: DataFrame, dic: DataFrame, strict: bool = False) -> Data
         _row_op_ts("ts", "oi_ts", "ri_ts").alias("row_op_ts"))
 
 
+def refund_pay_suc(env: DataFrame, dic: DataFrame, strict: bool = False) -> DataFrame:
+    """Successful refund payments with the order and refund line."""
+    rp, oi, ri = refund_pay_sides(env, strict)
+    j = rp.join(oi, rp.order_id == oi.oi_id, "inner")
+    j = j.join(ri, (j.order_id == ri.ri_order_id) & (j.sku_id == ri.ri_sku_id), "inner")
+    return refund_pay_columns(j, dic)
+
+
 def detail_versions_latest(versions: DataFrame) -> DataFrame:
     """T9 on its own: the latest version of every detail id by
     ``row_op_ts``, ties broken by the later arrival."""

@@ -12,11 +12,12 @@ given.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..functions.cdc import data, rows_of
+from ..operators import logsplit
 from ..session import checkpoint_root
 from ..sources import fixtures as fx
+from ..sources import sinks
 from . import dim, log, metrics, tool, trade
 from .registry import finalize
 
@@ -29,11 +30,7 @@ class _Layer:
             cluster: bool = True) -> DataFrame:
         path = f"{self.root}/{name}"
         if partition_by and cluster:
-            # Range-partition on the folder key (then a finer key) so each
-            # task writes a contiguous run of folders: few files per folder,
-            # and a large folder is still split across tasks.
-            finer = [c for c in ("stt", "ts") if c in df.columns][:1]
-            df = df.repartitionByRange(partition_by, *finer)
+            df = sinks.clustered(df, partition_by)
         w = df.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(partition_by)
@@ -61,9 +58,12 @@ def build(spark: SparkSession, sf_dir: str, root: str | None = None,
 
     # ---- DWD: log layer
     page = L.put("dwd_traffic_page_log", log.flat_page(fx.page_log(spark, sf_dir)))
-    routes = log.log_split(fx.raw_log(spark, sf_dir))
-    for r in ("page", "start", "display", "action", "error", "dirty"):
-        L.put(f"dwd_log_split_{r}", log.flat_route(r, routes[r]))
+    # Each line is parsed once and repaired once; the routes read the table.
+    clean, dirty = logsplit.parse(fx.raw_log(spark, sf_dir))
+    L.put("dwd_log_split_dirty", dirty)
+    records = L.put("dwd_log_records", log.repair_records(L.put("ods_log_records", clean)))
+    for r, rows in logsplit.route(records).items():
+        L.put(f"dwd_log_split_{r}", log.flat_route(r, rows))
     uv = L.put("dwd_traffic_unique_visitor_detail", log.unique_visitor_detail(page))
     uj = L.put("dwd_traffic_user_jump_detail", log.user_jump_detail(page))
 
@@ -74,8 +74,7 @@ def build(spark: SparkSession, sf_dir: str, root: str | None = None,
     L.put("dwd_trade_cancel_detail", trade.cancel_detail(chg))
     cart = L.put("dwd_trade_cart_add", trade.cart_add(env, dic))
     pay = L.put("dwd_trade_pay_detail_suc_changes", trade.pay_detail_suc(od, env, dic, upsert=False))
-    L.put("dwd_trade_pay_detail_suc", trade.latest_rows(pay, ["order_detail_id"],
-                                                        [F.col("ts").cast("bigint"), "row_op_ts"]))
+    L.put("dwd_trade_pay_detail_suc", trade.latest_payments(pay))
     refund = L.put("dwd_trade_order_refund", trade.order_refund(env, dic))
     L.put("dwd_trade_refund_pay_suc", trade.refund_pay_suc(env, dic))
     L.put("dwd_tool_coupon_get", tool.coupon_get(env))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -41,16 +44,34 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the package to the Python workers of a cluster, so that state
+    functions can be imported there.  Local workers share the driver's path
+    only if they start in it, so they get it too.  Sent once per session."""
+    if spark.conf.get("spark.tidemart.shipped", None):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="tidemart-py-"), "tidemart"), "zip",
+                                  os.path.dirname(package), os.path.basename(package))
+    spark.sparkContext.addPyFile(archive)
+    spark.conf.set("spark.tidemart.shipped", "true")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is used as is.
-    Only when it is unset (local tests) a scratch folder is created."""
+    On a cluster that setting points at shared storage and is used as is; a
+    run without it fails there, since the driver's own disk is no place for
+    what executors read.  A local master gets a scratch folder."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise ValueError(f"spark.checkpoint.dir is not set (master {master}): name a folder all executors share")
         root = tempfile.mkdtemp(prefix="tidemart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -18,14 +18,15 @@ from pyspark.sql import types as T
 from ..constants import FMT_DATETIME
 from .tables import read_table
 
-DATABASE = "gmall"
+DATABASE = "shop"
 MAP_SS = T.MapType(T.StringType(), T.StringType())
 
-# fixed values: the dictionary code left out of base_dic (tests the inner
-# lookup join) and the brand left out of the trademark dimension (tests the
-# left enrichment join).
-DIC_CODE_LEFT_OUT = "5"
-BRAND_LEFT_OUT = "Brand#1"
+# Text without word spaces, put in front of every fifth search.
+UNSPACED_SEARCH = "苹果手机红色 "
+# A trademark that no dimension row has (the left enrichment join keeps its
+# skus); cart and comment codes reach 6, which the dictionary doesn't have
+# (the inner lookup drops them).
+UNKNOWN_BRAND = "Brand#0"
 
 
 # ---------------------------------------------------------------- helpers --
@@ -81,7 +82,7 @@ def dic_name(priority: Column) -> Column:
 # ------------------------------------------------------------ behaviour log --
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events with k, epoch ms and, for purchases, the searched part name."""
-    ev = read_table(spark, sf_dir, "events", spread=True)
+    ev = read_table(spark, sf_dir, "events")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name")
     n_parts = part.select(F.count(F.lit(1))).scalar()
     base = ev.select(
@@ -94,7 +95,9 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     is_purchase = F.col("event_type") == "purchase"
     purchases = base.filter(is_purchase)
     purchases = (purchases.join(part, F.pmod(purchases.event_id, n_parts) == part.p_partkey, "left")
-                 .drop("p_partkey"))
+                 .drop("p_partkey")
+                 .withColumn("p_name", F.when(F.col("event_id") % 5 == 0, F.concat(F.lit(UNSPACED_SEARCH), "p_name"))
+                             .otherwise(F.col("p_name"))))
     others = base.filter(~is_purchase | F.col("event_type").isNull()).withColumn(
         "p_name", F.lit(None).cast("string"))
     return purchases.unionByName(others)
@@ -168,8 +171,8 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("entry"), F.lit("icon"),
         F.lit("loading_time"), _s(k * 10 + 1000)))
     record = F.struct(
-        _common().alias("common"),
-        F.when(~is_start, _page()).alias("page"),
+        _common().withField("os", F.concat(F.lit("os"), _s(k % 2))).alias("common"),
+        F.when(~is_start, _page().withField("source_type", F.lit("promotion"))).alias("page"),
         start.alias("start"),
         F.when(~is_start, displays).alias("displays"),
         F.when(~is_start, actions).alias("actions"),
@@ -185,7 +188,7 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------- change records --
 def _orders(spark, sf_dir) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders", spread=True)
+    o = read_table(spark, sf_dir, "orders")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     o = o.join(c, o.o_custkey == c.c_custkey, "left")
     return o.select(
@@ -197,7 +200,7 @@ def _orders(spark, sf_dir) -> DataFrame:
 
 
 def _lines(spark, sf_dir) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem", spread=True)
+    li = read_table(spark, sf_dir, "lineitem")
     # Per-order values are computed on the (smaller) order side of the join.
     o = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey",
@@ -277,8 +280,16 @@ def _cdc_payment(o: DataFrame) -> DataFrame:
         F.lit("payment_status"), F.lit("1602"),
         F.lit("total_amount"), _money(_cents("o_totalprice")),
         F.lit("callback_time"), _fmt(_hours(F.col("odate"), 2)))
-    return _envelope(p, "payment_info", "update", data, _kmap(payment_status="1601"),
+    paid = _envelope(p, "payment_info", "update", data, _kmap(payment_status="1601"),
                      F.col("osec") + 7200)
+    # Some payments change once more an hour later: other type, not successful.
+    again = F.map_concat(
+        F.map_filter(F.col("data"), lambda k, v: ~k.isin("payment_type", "payment_status", "callback_time")),
+        F.create_map(F.lit("payment_type"), _s(F.col("prio_code").cast("int") % 5 + 1), F.lit("payment_status"), F.lit("1603"),
+                     F.lit("callback_time"), _fmt(_hours(F.col("odate"), 3))))
+    late = _envelope(p.filter(F.col("o_orderkey") % 3 == 0).withColumn("data", data), "payment_info", "update", again,
+                     _kmap(payment_status="1602"), F.col("osec") + 10800)
+    return paid.unionByName(late)
 
 
 def _cdc_refund_info(li: DataFrame) -> DataFrame:
@@ -333,7 +344,7 @@ def _cdc_coupon_use(li: DataFrame) -> DataFrame:
 
 
 def _event_rows(spark, sf_dir) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events", spread=True)
+    ev = read_table(spark, sf_dir, "events")
     return ev.select(
         "event_id", "user_id", "event_type", "value", _k().alias("k"),
         F.col("ts").cast("timestamp").alias("ets"),
@@ -346,7 +357,7 @@ def _cdc_cart(ev: DataFrame) -> DataFrame:
     data = F.create_map(
         F.lit("id"), _s("event_id"), F.lit("user_id"), _s("user_id"),
         F.lit("sku_id"), _s("k"), F.lit("source_id"), _s(F.col("event_id") % 50),
-        F.lit("source_type"), _s(F.col("k") % 5 + 1),
+        F.lit("source_type"), _s(F.col("k") % 6 + 1),
         F.lit("sku_num"), _s(F.round(F.col("value")).cast("bigint")))
     is_upd = et == "click"
     return _envelope(rows, "cart_info", F.when(is_upd, "update").otherwise("insert"), data,
@@ -358,7 +369,7 @@ def _cdc_comment(ev: DataFrame) -> DataFrame:
     data = F.create_map(
         F.lit("id"), _s("event_id"), F.lit("user_id"), _s("user_id"), F.lit("sku_id"), _s("k"),
         F.lit("order_id"), F.lit(None).cast("string"), F.lit("create_time"), _fmt(F.col("ets")),
-        F.lit("appraise"), _s(F.col("k") % 5 + 1))
+        F.lit("appraise"), _s(F.col("k") % 6 + 1))
     return _envelope(rows, "comment_info", "insert", data, None, F.col("esec"))
 
 
@@ -411,12 +422,11 @@ def topic_db(spark: SparkSession, sf_dir: str, tables=None) -> DataFrame:
 # ---------------------------------------------------- dictionary and dims --
 def base_dic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``base_dic(dic_code, dic_name, parent_code)`` from the distinct order
-    priorities; one code is left out to exercise the inner lookup join."""
+    priorities."""
     o = read_table(spark, sf_dir, "orders").select("o_orderpriority").distinct()
     return (o.select(dic_code(F.col("o_orderpriority")).alias("dic_code"),
                      dic_name(F.col("o_orderpriority")).alias("dic_name"),
-                     F.lit(None).cast("string").alias("parent_code"))
-            .filter(F.col("dic_code") != DIC_CODE_LEFT_OUT))
+                     F.lit(None).cast("string").alias("parent_code")))
 
 
 def _category1(letter: Column) -> Column:
@@ -429,11 +439,11 @@ def dim_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     part = read_table(spark, sf_dir, "part")
     nation = read_table(spark, sf_dir, "nation")
     sku = part.select(_s("p_partkey").alias("id"), F.col("p_name").alias("sku_name"),
-                      F.col("p_name").alias("spu_id"), F.col("p_brand").alias("tm_id"),
+                      F.col("p_name").alias("spu_id"),
+                      F.when(F.col("p_partkey") % 40 == 0, UNKNOWN_BRAND).otherwise(F.col("p_brand")).alias("tm_id"),
                       F.col("p_type").alias("category3_id"))
     spu = part.select(F.col("p_name").alias("id"), F.col("p_name").alias("spu_name")).distinct()
     tm = (part.select(F.col("p_brand").alias("id")).distinct()
-          .filter(F.col("id") != BRAND_LEFT_OUT)
           .select("id", F.concat(F.lit("TM "), F.col("id")).alias("tm_name")))
     c3 = (part.select(F.col("p_type").alias("id")).distinct()
           .select("id", F.lower("id").alias("name"), F.substring("id", 1, 1).alias("category2_id")))

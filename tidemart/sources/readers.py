@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.logsplit import COMMON, PAGE
 from ..functions.timefmt import second_row_time
 
 S = T.StringType()
@@ -24,26 +23,32 @@ ENVELOPE_SCHEMA = T.StructType([
     T.StructField("data", MAP_SS), T.StructField("old", MAP_SS), T.StructField("ts", S)])
 
 # The page-log record as the metric jobs read it.
-PAGE_LOG_SCHEMA = T.StructType([T.StructField("common", COMMON), T.StructField("page", PAGE),
+PAGE_LOG_SCHEMA = T.StructType([T.StructField("common", MAP_SS), T.StructField("page", MAP_SS),
                                 T.StructField("ts", T.LongType())])
 
 
 def read_topic(spark: SparkSession, source: str, fmt: str = "text", stream: bool = False,
                options: dict | None = None, schema: T.StructType | None = None) -> DataFrame:
-    """A raw topic as ``value`` strings (null payloads stay null).
-
-    ``fmt``: ``kafka`` (``source`` = topic, options carry the brokers),
-    ``text`` (one record per line), ``parquet`` / ``json`` (``schema`` given,
-    ``value`` column).  ``stream=True`` returns a streaming DataFrame."""
+    """A raw topic as ``value`` strings (null payloads stay null) with the
+    arrival order in ``seq``.
+
+    ``fmt``: ``kafka`` (``source`` = topic, options carry the brokers; ``seq``
+    is the offset), ``text`` (one record per line; ``seq`` is the file's time
+    in ms, and inside a file a hash of the line, so the same input always has
+    the same order), ``parquet`` / ``json`` (``schema`` given, ``value``
+    column; ``seq`` is taken as it is).  ``stream=True`` returns a streaming
+    DataFrame."""
     opts = dict(options or {})
     r = spark.readStream if stream else spark.read
     if fmt == "kafka":
         opts.setdefault("subscribe", source)
         opts.setdefault("startingOffsets", "earliest" if not stream else "latest")
         df = r.format("kafka").options(**opts).load()
-        return df.select(F.col("value").cast("string").alias("value"))
+        return df.select(F.col("value").cast("string").alias("value"), F.col("offset").alias("seq"))
     if fmt == "text":
-        return r.options(**opts).text(source)
+        df = r.options(**opts).text(source)
+        ms = F.unix_millis(F.col("_metadata.file_modification_time"))
+        return df.select("value", (F.shiftleft(ms, 20) + F.pmod(F.xxhash64("value"), F.lit(1 << 20))).alias("seq"))
     reader = r.format(fmt).options(**opts)
     if schema is not None:
         reader = reader.schema(schema)
@@ -55,17 +60,19 @@ def cdc_records(topic: DataFrame, value_col: str = "value", with_dirty: bool = F
 
     With ``with_dirty`` returns ``(records, dirty_lines)``: lines that do not
     parse or carry no table name go to their own output (Q11: uniform dirty
-    routing instead of failing the job).  The parse runs once per line."""
+    routing instead of failing the job).  The parse runs once per line.  A
+    ``seq`` of the topic stays."""
+    order = ["seq"] if "seq" in topic.columns else []
     if not with_dirty:
-        return topic.select(F.from_json(F.col(value_col), ENVELOPE_SCHEMA).alias("r")).select("r.*")
+        return topic.select(F.from_json(F.col(value_col), ENVELOPE_SCHEMA).alias("r"), *order).select("r.*", *order)
     sch = T.StructType(ENVELOPE_SCHEMA.fields + [T.StructField("_corrupt_record", S)])
     j = F.from_json(F.col(value_col), sch,
                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    parsed = topic.select(F.inline(F.array(F.struct(j.alias("_r"), F.col(value_col).alias("_v")))))
+    parsed = topic.select(F.inline(F.array(F.struct(j.alias("_r"), F.col(value_col).alias("_v"), *order))))
     bad = F.col("_r").isNull() | F.col("_r._corrupt_record").isNotNull() | F.col("_r.table").isNull()
     flagged = parsed.withColumn("_bad", bad)
     records = flagged.filter(~F.col("_bad")).select(*[F.col(f"_r.{f.name}").alias(f.name)
-                                                      for f in ENVELOPE_SCHEMA.fields])
+                                                      for f in ENVELOPE_SCHEMA.fields], *order)
     dirty = flagged.filter(F.col("_bad")).select(F.col("_v").alias("line"))
     return records, dirty
 
@@ -82,7 +89,8 @@ def page_log_records(topic: DataFrame, value_col: str = "value",
                      watermark_seconds: int | None = None) -> DataFrame:
     """Page-log records with ``row_time`` (event time cut to the
     second) and an optional watermark."""
-    df = (topic.select(F.from_json(F.col(value_col), PAGE_LOG_SCHEMA).alias("r")).select("r.*")
+    order = ["seq"] if "seq" in topic.columns else []
+    df = (topic.select(F.from_json(F.col(value_col), PAGE_LOG_SCHEMA).alias("r"), *order).select("r.*", *order)
           .withColumn("row_time", second_row_time("ts")))
     if watermark_seconds is not None:
         df = df.withWatermark("row_time", f"{watermark_seconds} seconds")

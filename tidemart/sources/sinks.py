@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.keyed import latest_rows
@@ -42,12 +42,72 @@ def upsert_batch(df: DataFrame, path: str, batch_id: int) -> None:
     write_append(df, path, fmt="parquet", batch_id=batch_id)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, in whatever store it names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def _children(spark: SparkSession, path: str, prefix: str) -> dict[int, object]:
+    """Number -> Hadoop path of the folders ``prefix<number>`` in ``path``."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = {}
+    for status in (fs.listStatus(p) if fs.exists(p) else ()):
+        name = status.getPath().getName()
+        if name.startswith(prefix) and name[len(prefix):].isdigit():
+            found[int(name[len(prefix):])] = status.getPath()
+    return found
+
+
+def _snapshot(spark: SparkSession, path: str) -> tuple[int, str] | None:
+    """The newest complete snapshot of a keyed table: last batch in it, path."""
+    done = {n: p for n, p in _children(spark, f"{path}/_snapshots", "upto=").items() if exists(spark, f"{p}/_SUCCESS")}
+    return (max(done), done[max(done)].toString()) if done else None
+
+
+def read_changes(spark: SparkSession, path: str) -> DataFrame:
+    """The rows a reader of a keyed table has to fold: the newest snapshot
+    and the batches after it, with ``batch_id``."""
+    path = path.rstrip("/")
+    snap = _snapshot(spark, path)
+    if snap is None:
+        return spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("long"))
+    base = spark.read.parquet(snap[1])
+    later = [n for n in _children(spark, path, "batch_id=") if n > snap[0]]
+    if not later:
+        return base
+    new = spark.read.schema(base.schema).option("basePath", path).parquet(*[f"{path}/batch_id={n}" for n in sorted(later)])
+    return base.unionByName(new)
+
+
 def read_upserted(spark: SparkSession, path: str, keys: Sequence[str],
-                  order: Sequence[str] = ()) -> DataFrame:
-    """The current state of a keyed table: latest row per key, later batches
-    winning (then ``order`` columns)."""
-    ch = spark.read.parquet(path)
-    return latest_rows(ch, list(keys), ["batch_id", *order]).drop("batch_id")
+                  order: Sequence[str | Column] = ()) -> DataFrame:
+    """The current state of a keyed table: the latest row per key by ``order``
+    (the rule the batch form uses), ties and tables without an order by the
+    later batch."""
+    return latest_rows(read_changes(spark, path), list(keys), [*order, "batch_id"]).drop("batch_id")
+
+
+def compact(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str | Column] = (),
+            drop_folded: bool = False) -> int:
+    """Fold all batches of a keyed table into a snapshot of one row per key;
+    returns the last batch in it.  Readers take the snapshot and later
+    batches, so their cost follows the keys, not the number of batches.  A
+    replayed batch after it is folded again and changes nothing.  With
+    ``drop_folded`` the batch folders in the snapshot are removed once it is
+    complete; run that only while no reader still works on them."""
+    path = path.rstrip("/")
+    snap = _snapshot(spark, path)
+    last = max([*_children(spark, path, "batch_id="), snap[0] if snap else -1])
+    if snap is None or last > snap[0]:
+        rows = latest_rows(read_changes(spark, path), list(keys), [*order, "batch_id"])
+        rows.write.mode("overwrite").parquet(f"{path}/_snapshots/upto={last}")
+    if drop_folded:
+        for n, p in _children(spark, path, "batch_id=").items():
+            if n <= last:
+                p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return last
 
 
 def multi_route(batch: DataFrame, routes: Callable[[DataFrame], dict[str, DataFrame]],
@@ -62,15 +122,17 @@ def multi_route(batch: DataFrame, routes: Callable[[DataFrame], dict[str, DataFr
         batch.unpersist()
 
 
+def clustered(df: DataFrame, partition_col: str, files_per_folder: int = 8) -> DataFrame:
+    """Few files per folder, and a large folder split over several tasks: rows
+    are dealt by the folder column and a salt.  No sampling pass."""
+    return df.repartition(partition_col, F.pmod(F.xxhash64(*df.columns), F.lit(files_per_folder)))
+
+
 def olap_write(df: DataFrame, path: str, columns: Sequence[str], partition_col: str = "cur_date",
                batch_id: int | None = None) -> None:
     """K5: positional sink columns (transient fields dropped), partitioned
     by the date field."""
-    # Range-partitioned on (date, window start): each task writes a run of
-    # date folders (few files per folder) and a large day is still split.
-    out = df.select(*columns)
-    finer = ["stt"] if "stt" in columns else []
-    out = out.repartitionByRange(partition_col, *finer)
+    out = clustered(df.select(*columns), partition_col)
     if batch_id is None:
         out.write.mode("append").partitionBy(partition_col).parquet(path)
     else:

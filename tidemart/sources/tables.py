@@ -4,24 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Session setting: spread the rows of the tables in ``SPREAD`` over so many
+#: partitions after the scan.  Unset (the default) the file layout decides.
+SCAN_PARTITIONS = "spark.tidemart.scan.partitions"
+SPREAD = ("events", "lineitem", "orders")
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """``spark.read.parquet`` (Catalyst prunes columns and pushes filters
-    into the scan), spread over the cluster when the files are too few.
 
-    A table stored as one file / row group is read by one task, and every
-    narrow step after the scan (record building, JSON encoding) would run
-    on one core.  When the scan yields fewer partitions than the session's
-    default parallelism, a round-robin repartition spreads the rows; with
-    the many files of a large table the check is a no-op.  Only fact tables
-    ask for it (``spread=True``); dimensions are read as they are."""
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """``spark.read.parquet``: Catalyst prunes columns and pushes filters into
+    the scan.  A fact table stored as one file is read by one task; a run on
+    such files sets ``SCAN_PARTITIONS``, at the cost of one exchange."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    want = spark.sparkContext.defaultParallelism
-    if spread:
-        try:
-            n = df.rdd.getNumPartitions()
-        except Exception:  # e.g. a Connect session without RDD access: leave as read
-            n = want
-        if n < want:
-            df = df.repartition(want)
-    return df
+    spread = spark.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(spread)) if spread and name in SPREAD else df

@@ -21,14 +21,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..constants import (JOIN_TTL_ORDER_SECONDS, KEYWORD_SOURCE_SEARCH, PAGE_GOOD_DETAIL, PAGE_HOME,
-                         PAGE_SEARCH, ITEM_TYPE_KEYWORD, WATERMARK_KEYWORD_SECONDS, WINDOW_SECONDS)
+from ..constants import (ITEM_TYPE_KEYWORD, JOIN_TTL_ORDER_SECONDS, JOIN_TTL_REFUND_SECONDS, KEYWORD_SOURCE_SEARCH,
+                         PAGE_GOOD_DETAIL, PAGE_HOME, PAGE_SEARCH, PAYMENT_STATUS_SUCCESS, WATERMARK_KEYWORD_SECONDS,
+                         WINDOW_SECONDS)
 from ..functions.cdc import data, rows_of
 from ..functions.timefmt import sec_to_ts, text_date
 from ..functions.tokenize import explode_keywords
 from ..operators import logsplit
-from ..operators.enrich import lookup
-from ..operators.keyed import latest_rows
+from ..operators.enrich import dic_lookup, lookup
 from ..operators.windows import tumbling_agg, with_event_time
 from ..plans import log as logplans
 from ..session import checkpoint_root
@@ -85,7 +85,7 @@ def log_split(raw: DataFrame, out_root: str, tz: str = "UTC", name: str = "log_s
     fixed = state.repair_new_flag(keyed, tz)
     schema = T.StructType([f for f in logsplit.LOG_SCHEMA.fields if f.name != "_corrupt_record"])
     records = (fixed.select(F.from_json("record", schema).alias("r"), "is_new").select("r.*", "is_new")
-               .withColumn("common", F.col("common").withField("is_new", F.col("is_new"))).drop("is_new"))
+               .withColumn("common", logplans.with_flag(F.col("common"), F.col("is_new"))).drop("is_new"))
 
     def sink(batch: DataFrame, bid: int) -> None:
         sinks.multi_route(batch, lambda b: {k: logplans.flat_route(k, v)
@@ -112,7 +112,7 @@ def home_detail_uv(page: DataFrame, out_path: str, tz: str = "UTC", size: int =
                    name: str = "dws_home_detail_uv") -> StreamingQuery:
     """P11 + T4 state + per-batch partial windows."""
     p = page.filter(F.col("page_id").isin(PAGE_HOME, PAGE_GOOD_DETAIL)).select("mid", "page_id", "ts", "seq")
-    firsts = state.first_per_day(p, "mid", tz, extra_key="page_id")
+    firsts = state.first_per_day(p, ["mid", "page_id"])
 
     def sink(batch: DataFrame, bid: int) -> None:
         flags = batch.select("ts", (F.col("page_id") == PAGE_HOME).cast("bigint").alias("home"),
@@ -169,7 +169,7 @@ def traffic_vc_ch_ar_is_new(page: DataFrame, out_root: str, tz: str = "UTC", siz
                             keys=keys, size_seconds=size)
         sinks.write_append(part, f"{out_root}/uv", "parquet", batch_id=bid)
 
-    firsts = state.first_per_day_rows(entries, "mid", keys, tz)
+    firsts = state.first_per_day(entries, ["mid"])
     q_uv = start(firsts, f"{name}_uv", uv_fn)
 
     src = jump_page if jump_page is not None else page
@@ -198,10 +198,9 @@ def read_traffic(spark: SparkSession, out_root: str) -> DataFrame:
     z = F.lit(0).cast("bigint")
     parts = [pv.select(*keys, z.alias("uv_ct"), "sv_ct", "pv_ct", "dur_sum", z.alias("uj_ct"))]
     for sub, col in (("uv", "uv_ct"), ("uj", "uj_ct")):
-        try:
-            p = spark.read.parquet(f"{out_root}/{sub}")
-        except Exception:  # no rows yet: the folder does not exist
-            continue
+        if not sinks.exists(spark, f"{out_root}/{sub}"):
+            continue  # no rows yet; any other trouble shows when it is read
+        p = spark.read.parquet(f"{out_root}/{sub}")
         parts.append(p.select(*keys, *[(F.col(col) if c == col else z).alias(c)
                                        for c in ("uv_ct", "sv_ct", "pv_ct", "dur_sum", "uj_ct")]))
     u = parts[0]
@@ -304,7 +303,7 @@ def order_pre_process_changelog(cdc: DataFrame, dic: DataFrame,
     j = (j.withColumn("date_id", text_date("create_time"))
           .withColumn("operate_date_id", text_date("operate_time"))
           .withColumn("row_op_ts", F.greatest(F.col("od_time"), F.col("oi_time"))))
-    return j.select(*PRE_PROCESS_COLS)
+    return j.select(*PRE_PROCESS_COLS, F.col("oi_ts").cast("bigint").alias("arrival"))
 
 
 def order_pre_process(cdc: DataFrame, dic: DataFrame, out_path: str,
@@ -317,7 +316,8 @@ def order_pre_process(cdc: DataFrame, dic: DataFrame, out_path: str,
 
 
 def read_pre_process(spark: SparkSession, path: str) -> DataFrame:
-    return sinks.read_upserted(spark, path, ["id"], ["row_op_ts", "oi_ts"])
+    """By the rule of the batch form, whatever batch a version came in."""
+    return sinks.read_upserted(spark, path, ["id"], ["row_op_ts", F.col("oi_ts").cast("bigint"), "arrival"])
 
 
 def order_detail(cdc: DataFrame, dic: DataFrame, out_path: str,
@@ -332,6 +332,77 @@ def order_detail(cdc: DataFrame, dic: DataFrame, out_path: str,
     return start(out, name, lambda b, i: sinks.write_append(b, out_path, "parquet", batch_id=i))
 
 
+def cancel_detail(cdc: DataFrame, dic: DataFrame, out_path: str, ttl_seconds: int = JOIN_TTL_ORDER_SECONDS,
+                  name: str = "trade_cancel_detail") -> StreamingQuery:
+    """P3 over the pre-process changelog: order lines whose order was
+    cancelled, as the batch form selects them."""
+    from ..plans import trade
+    out = trade.cancel_detail(order_pre_process_changelog(cdc, dic, ttl_seconds))
+    return start(out, name, lambda b, i: sinks.write_append(b, out_path, "parquet", batch_id=i))
+
+
+def unique_visitor_detail(page: DataFrame, out_path: str, keep_days: int = 2,
+                          name: str = "unique_visitor_detail") -> StreamingQuery:
+    """P10 + T2: the first session entry of every (device, day)."""
+    entries = page.filter(F.col("last_page_id").isNull())
+    out = state.first_per_day(entries, ["mid"], keep_days).drop("seq")
+    return start(out, name, lambda b, i: sinks.write_append(b, out_path, "parquet", batch_id=i))
+
+
+def _timed(rows: DataFrame, ts: str, time: str, ttl_seconds: int) -> DataFrame:
+    return rows.withColumn(time, sec_to_ts(ts)).withWatermark(time, f"{ttl_seconds} seconds")
+
+
+def _within(a: str, b: str, ttl_seconds: int):
+    return F.expr(f"{b} BETWEEN {a} - INTERVAL {ttl_seconds} SECONDS AND {a} + INTERVAL {ttl_seconds} SECONDS")
+
+
+def pay_detail_suc(order_detail_rows: DataFrame, cdc: DataFrame, dic: DataFrame, out_path: str,
+                   ttl_seconds: int = JOIN_TTL_ORDER_SECONDS, success_only: bool = False,
+                   name: str = "trade_pay_detail_suc") -> StreamingQuery:
+    """J3 + J6 + K2: order lines and payments that come within ``ttl_seconds``
+    of each other, upserted on the detail id (:func:`read_payments`)."""
+    from ..plans import trade
+    p = rows_of(cdc, "payment_info")
+    if success_only:
+        p = p.filter((F.col("type") == "update") & (data("payment_status") == PAYMENT_STATUS_SUCCESS))
+    p = _timed(p.select(data("order_id").alias("pi_order_id"), data("payment_type").alias("payment_type_code"),
+                        data("callback_time").alias("callback_time"), F.col("ts").alias("pi_ts"), trade.arrival(cdc)),
+               "pi_ts", "pi_time", ttl_seconds)
+    od = _timed(order_detail_rows.drop("arrival"), "ts", "od_time", ttl_seconds)
+    j = od.join(p, (od.order_id == p.pi_order_id) & _within("od_time", "pi_time", ttl_seconds), "inner")
+    out = trade.pay_columns(dic_lookup(j, dic, "payment_type_code", "payment_type_name"))
+    return start(out, name, lambda b, i: sinks.upsert_batch(b, out_path, i))
+
+
+def read_payments(spark: SparkSession, path: str) -> DataFrame:
+    return sinks.read_upserted(spark, path, ["order_detail_id"], [F.col("ts").cast("bigint"), "arrival"]).drop("arrival")
+
+
+def order_refund(cdc: DataFrame, dic: DataFrame, out_path: str, ttl_seconds: int = JOIN_TTL_REFUND_SECONDS,
+                 name: str = "trade_order_refund") -> StreamingQuery:
+    """J4 + J7: refund lines and the refund update of their order, within
+    ``ttl_seconds`` of each other."""
+    from ..plans import trade
+    ri, oi = trade.refund_sides(cdc)
+    ri, oi = _timed(ri, "ts", "ri_time", ttl_seconds), _timed(oi, "oi_ts", "oi_time", ttl_seconds)
+    j = ri.join(oi, (ri.order_id == oi.oi_id) & _within("ri_time", "oi_time", ttl_seconds), "inner")
+    return start(trade.refund_columns(j, dic), name, lambda b, i: sinks.write_append(b, out_path, "parquet", batch_id=i))
+
+
+def refund_pay_suc(cdc: DataFrame, dic: DataFrame, out_path: str, ttl_seconds: int = JOIN_TTL_REFUND_SECONDS,
+                   strict: bool = False, name: str = "trade_refund_pay_suc") -> StreamingQuery:
+    """J5 + J6: refund payment, order and refund line, each within
+    ``ttl_seconds`` of the payment."""
+    from ..plans import trade
+    rp, oi, ri = trade.refund_pay_sides(cdc, strict)
+    rp, oi, ri = (_timed(rp, "ts", "rp_time", ttl_seconds), _timed(oi, "oi_ts", "oi_time", ttl_seconds),
+                  _timed(ri, "ri_ts", "ri_time", ttl_seconds))
+    j = rp.join(oi, (rp.order_id == oi.oi_id) & _within("rp_time", "oi_time", ttl_seconds), "inner")
+    j = j.join(ri, (j.order_id == ri.ri_order_id) & (j.sku_id == ri.ri_sku_id) & _within("rp_time", "ri_time", ttl_seconds), "inner")
+    return start(trade.refund_pay_columns(j, dic), name, lambda b, i: sinks.write_append(b, out_path, "parquet", batch_id=i))
+
+
 def trade_sku_order(order_detail_rows: DataFrame, dims: dict, out_path: str, size: int = WINDOW_SECONDS,
                     watermark_seconds: int = 5, name: str = "dws_trade_sku_order") -> StreamingQuery:
     """P14 + T9 + W1/W4 + A3 + J9.  All versions of a detail id share its
@@ -349,7 +420,7 @@ def trade_sku_order(order_detail_rows: DataFrame, dims: dict, out_path: str, siz
                                       dec("split_activity_amount").alias("a"),
                                       dec("split_coupon_amount").alias("c"),
                                       dec("split_total_amount").alias("t")),
-                             F.struct("row_op_ts", "ts")).alias("v"))
+                             F.struct("row_op_ts", "arrival")).alias("v"))
                .select(F.window_time("w1").alias("row_time"), "v.*"))
     g = tumbling_agg(latest, {"original_amount": F.sum("o"), "activity_amount": F.sum("a"),
                               "coupon_amount": F.sum("c"), "order_amount": F.sum("t")},
@@ -397,7 +468,7 @@ def cart_add_uu(cart_rows: DataFrame, out_path: str, tz: str = "UTC", size: int
     ``count_every_add`` keeps the reference's literal behaviour."""
     c = cart_rows.select("user_id", (F.col("ts").cast("bigint") * 1000).alias("ts"),
                          F.col("id").cast("bigint").alias("seq"))
-    firsts = c if count_every_add else state.first_per_day(c, "user_id", tz)
+    firsts = c if count_every_add else state.first_per_day(c, ["user_id"])
 
     def sink(batch: DataFrame, bid: int) -> None:
         part = tumbling_agg(with_event_time(batch), {"cart_add_uu_ct": F.count(F.lit(1)).cast("bigint")},
@@ -424,29 +495,29 @@ def trade_payment(pay_rows: DataFrame, out_path: str, tz: str = "UTC", size: int
                             tz, size, name)
 
 
-def dim_sink(cdc: DataFrame, config: DataFrame, out_path: str, apply_deletes: bool = False,
+def dim_sink(cdc: DataFrame, config: DataFrame | Callable[[], DataFrame], out_path: str,
              name: str = "dim_sink") -> StreamingQuery:
-    """S2 + P6 + J12 + P7 + T10 + K4: dimension change records, folded per
-    micro-batch to the latest row per (table, key) and upserted; readers
-    see the latest row per key across batches (:func:`read_dims`)."""
+    """S2 + S6 + P6 + J12 + P7 + T10 + K4: dimension change records,
+    whitelisted and stored with their type and time; :func:`read_dims` folds
+    them by the rule of the batch form, deletes included.  ``config`` may be
+    a function: it is then called for every micro-batch, so tables added,
+    changed or removed in the configuration take effect while the job runs
+    (for the changes that come after, as in the reference)."""
     from ..operators import dims as dimops
 
     def sink(batch: DataFrame, bid: int) -> None:
-        rows = dimops.dim_rows(batch, config, apply_deletes)
-        sinks.upsert_batch(rows, out_path, bid)
+        sinks.upsert_batch(dimops.dim_changes(batch, config() if callable(config) else config), out_path, bid)
 
     return start(cdc, name, sink)
 
 
-def read_dims(spark: SparkSession, path: str) -> DataFrame:
-    return sinks.read_upserted(spark, path, ["sink_table", "id"])
+def read_dims(spark: SparkSession, path: str, apply_deletes: bool = False) -> DataFrame:
+    """The latest row per (table, key) by change time, ties by the later batch."""
+    from ..operators import dims as dimops
+    return dimops.current_dims(sinks.read_changes(spark, path), apply_deletes, ("ts", "batch_id"))
 
 
 def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     """An update-mode metric table: the latest row per key."""
     return sinks.read_upserted(spark, path, keys)
 
-
-__all__ = ["log_split", "user_jump_detail", "home_detail_uv", "trade_unique_new", "keyword_window",
-           "province_order", "order_detail", "read_partial_windows", "read_latest", "page_stream",
-           "latest_rows"]

@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
@@ -46,8 +47,7 @@ def repair_new_flag(df: DataFrame, tz: str = "UTC") -> DataFrame:
             d0 = pd.Timestamp(day.iloc[0])
             first = day.iloc[0] if p["is_new"].iloc[0] == "1" else (d0 - pd.Timedelta(days=1)).strftime("%Y-%m-%d")
             state.update((first,))
-        fixed = ((p["is_new"] == "1") & (day == first)).map({True: "1", False: "0"})
-        fixed = fixed.where(p["is_new"].notna(), None)
+        fixed = p["is_new"].mask((p["is_new"] == "1") & (day != first), "0")
         yield pd.DataFrame({"record": p["record"].values, "is_new": fixed.values})
 
     return df.groupBy("mid").applyInPandasWithState(
@@ -85,9 +85,14 @@ def bounce_entries(df: DataFrame, within_ms: int) -> DataFrame:
         nxt_entry = np.append(entry[1:], False)
         has_next = np.arange(len(ts)) < len(ts) - 1
         bounced = entry & has_next & ((nxt_ts - ts >= within_ms) | nxt_entry)
-        if entry[-1]:
+        due = int(ts[-1]) + within_ms
+        if entry[-1] and due <= state.getCurrentWatermarkMs():
+            # Its horizon is past (another device is ahead of this one): no
+            # timeout could be set, and no row that still counts can follow.
+            bounced[-1] = True
+        if entry[-1] and not bounced[-1]:
             state.update((int(ts[-1]), int(p["seq"].iloc[-1]), p["record"].iloc[-1]))
-            state.setTimeoutTimestamp(int(ts[-1]) + within_ms)
+            state.setTimeoutTimestamp(due)
         elif state.exists:
             state.remove()
         yield pd.DataFrame({"record": p["record"].to_numpy()[bounced], "ts": ts[bounced]})
@@ -98,51 +103,15 @@ def bounce_entries(df: DataFrame, within_ms: int) -> DataFrame:
 
 
 # ------------------------------------------------- T2 / T4 / T8 first per day --
-def first_per_day(df: DataFrame, key: str, tz: str = "UTC", extra_key: str | None = None) -> DataFrame:
-    """First row per (key[, extra key], day): input ``key, [extra], ts, seq``;
-    output ``key, [extra], ts``.  State: the last emitted day per group."""
-    keys = [key] + ([extra_key] if extra_key else [])
-
-    def fn(k, pdfs, state: GroupState):
-        p = _sorted(pdfs)
-        if p.empty:
-            return
-        day = _dates(p["ts"], tz)
-        last = state.get[0] if state.exists else None
-        firsts = p.assign(_d=day.values).drop_duplicates("_d", keep="first")
-        if last is not None:
-            firsts = firsts[firsts["_d"] > last]
-        if len(firsts):
-            state.update((firsts["_d"].iloc[-1],))
-        res = firsts[keys + ["ts"]]
-        yield res
-
-    schema = ", ".join(f"{c} string" for c in keys) + ", ts long"
-    return df.groupBy(*keys).applyInPandasWithState(
-        fn, schema, "last_day string", "append", GroupStateTimeout.NoTimeout)
-
-
-def first_per_day_rows(df: DataFrame, key: str, carry: list[str], tz: str = "UTC") -> DataFrame:
-    """T2 stream: the first row per (key, day) with ``carry`` columns (all
-    strings): input ``key, carry..., ts, seq``; output ``key, carry..., ts``."""
-    cols = [key, *carry]
-
-    def fn(k, pdfs, state: GroupState):
-        p = _sorted(pdfs)
-        if p.empty:
-            return
-        day = _dates(p["ts"], tz)
-        last = state.get[0] if state.exists else None
-        firsts = p.assign(_d=day.values).drop_duplicates("_d", keep="first")
-        if last is not None:
-            firsts = firsts[firsts["_d"] > last]
-        if len(firsts):
-            state.update((firsts["_d"].iloc[-1],))
-        yield firsts[cols + ["ts"]]
-
-    schema = ", ".join(f"{c} string" for c in cols) + ", ts long"
-    return df.groupBy(key).applyInPandasWithState(
-        fn, schema, "last_day string", "append", GroupStateTimeout.NoTimeout)
+def first_per_day(df: DataFrame, keys: list[str], keep_days: int = 2) -> DataFrame:
+    """The first row to arrive of every (keys, day): input rows with ``ts``
+    (ms), output the same columns.  JVM-side: duplicates are dropped on the
+    keys and the day, with the day as watermarked event time, so a late row
+    of an earlier day still counts, and a day's state is dropped once days
+    ``keep_days`` later have come (rows later than that are too late)."""
+    day = F.date_trunc("day", F.timestamp_millis("ts"))
+    return (df.withColumn("_day", day).withWatermark("_day", f"{keep_days} days")
+            .dropDuplicates([*keys, "_day"]).drop("_day"))
 
 
 # ------------------------------------------------------- T5 login / back user --
