@@ -22,9 +22,10 @@ def main() -> None:
     only = [a for a in sys.argv[1:]]
     from tidemart.session import build_session
     from tidemart.plans.registry import QUERIES
+    from tidemart.sources.tables import SCAN_PARTITIONS
 
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus * 2, tz="UTC",
-                          extra={"spark.driver.memory": "16g"})
+                          extra={"spark.driver.memory": "16g", SCAN_PARTITIONS: str(cpus)})
     # Warm the JVM (class loading, code generation paths) on the smallest
     # scale factor next to the measured one; not timed.
     warm_dir = os.path.join(os.path.dirname(sf_dir), "sf0.001")

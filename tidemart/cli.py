@@ -4,10 +4,13 @@
     python -m tidemart.cli run dws_trade_sku_order --input /data/tables --output /data/out/sku
     python -m tidemart.cli explain dws_trade_sku_order --input /data/tables
     python -m tidemart.cli warehouse --input /data/tables --root /shared/warehouse
+    python -m tidemart.cli run-job log_split --source /data/topic_log --output /data/out --sink json
+    python -m tidemart.cli run-job dws_home_detail_uv --source /data/out/page --output /data/uv --mode stream
 
 ``--input`` holds the source tables as ``<name>.parquet``; ``--output`` is
 written as parquet (``--partition-by cur_date`` for the metric tables).
-Streaming jobs are functions in :mod:`tidemart.streaming.jobs`.
+``run-job`` runs a job on a real topic (:mod:`tidemart.topics`), as a batch or
+as a stream.
 """
 
 from __future__ import annotations
@@ -34,6 +37,20 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument("--partition-by")
         p.add_argument("--master", default=None)
         p.add_argument("--tz", default="UTC")
+    p = sub.add_parser("run-job", help="run a job on a topic")
+    p.add_argument("dataset")
+    p.add_argument("--source", required=True, help="folder of lines, or Kafka topic")
+    p.add_argument("--output", required=True)
+    p.add_argument("--mode", choices=("batch", "stream"), default="batch")
+    p.add_argument("--format", default="text", choices=("text", "kafka"))
+    p.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="reader / writer option")
+    p.add_argument("--sink", choices=("parquet", "json", "kafka", "olap"), default="parquet")
+    p.add_argument("--dictionary", help="base_dic as parquet")
+    p.add_argument("--dims", help="folder of dimension tables")
+    p.add_argument("--config", help="dimension configuration changes as parquet")
+    p.add_argument("--details", help="order detail lines, for the payment join")
+    p.add_argument("--master", default=None)
+    p.add_argument("--tz", default="UTC")
     a = ap.parse_args(argv)
 
     from .plans.registry import QUERIES
@@ -41,13 +58,21 @@ def main(argv: list[str] | None = None) -> int:
         print("\n".join(sorted(QUERIES)))
         return 0
     from pyspark.sql import SparkSession
-    from .session import DEFAULT_CONF
+    from .session import DEFAULT_CONF, ship_package
     b = SparkSession.builder.appName(f"tidemart-{getattr(a, 'dataset', a.cmd)}")
     if a.master:
         b = b.master(a.master)
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
     spark = b.config("spark.sql.session.timeZone", a.tz).getOrCreate()
+    ship_package(spark)
+    if a.cmd == "run-job":
+        from . import topics
+        inputs = topics.Inputs(spark, a.source, a.format, a.mode == "stream", dict(o.split("=", 1) for o in a.option),
+                               a.dictionary, a.dims, a.config, a.details, a.tz)
+        for q in topics.run(inputs, a.dataset, a.output, a.sink):
+            q.awaitTermination()
+        return 0
     if a.cmd == "warehouse":
         from .plans import warehouse
         for name, path in warehouse.build(spark, a.input, a.root, a.partition_metrics).items():
