@@ -6,6 +6,8 @@ from conftest import SF_SMALL
 from tidemart.plans.registry import QUERIES
 from tidemart.sources import fixtures as fx
 from tidemart.operators import logsplit
+from tidemart.plans import log as logplans
+from tidemart.streaming import jobs
 
 
 def plan_of(df):
@@ -37,3 +39,8 @@ def test_unique_new_window_reuses_the_detail_shuffle(spark):
     df = QUERIES["dws_trade_order"](spark, SF_SMALL)
     df.collect()
     assert "Reused" in plan_of(df)
+
+
+def test_bounce_is_one_window_without_a_join(spark):
+    plan = plan_of(logplans.user_jump_detail(spark.createDataFrame([], jobs.FLAT_PAGE_SCHEMA)))
+    assert plan.count("+- Window ") == 1 and "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
