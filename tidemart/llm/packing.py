@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -17,36 +21,75 @@ from .common import stored
 TOKENS = "id {id}, part int, begins long, n long, ids binary"
 
 
+#: Fixed value: how the tokenizer's file cuts lower-cased words into pieces.
+PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+
+#: Words of visible characters up to the Latin blocks and their accents.
+PLAIN = re.compile("[!-~\xa1-\u036f]+")
+
+
+def byte_letters() -> list[str]:
+    """The printable stand-in of every byte in byte-level vocabularies: itself
+    if it is a visible Latin-1 character, else the next one from U+0100 on."""
+    own = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    other = iter(range(0x100, 0x200))
+    return [chr(b if b in own else next(other)) for b in range(256)]
+
+
 class WordTokenizer:
     """Whole-text token ids of a tokenizer that never joins words, as bytes.
 
     ``word_bpe_49k.json`` drops white space and splits at it, so the ids of a
-    text are those of its words in turn.  Words are kept in a table of at
-    most ``words`` entries; once it is full, words that aren't in it are
-    encoded each time.  Ids are little-endian unsigned 32-bit."""
+    text are those of its words in turn, and a word's are those of its
+    pieces.  Words and pieces are kept in tables of at most ``words`` entries
+    each; once full, what isn't in them is encoded each time.  Words of Latin
+    script (``PLAIN``) are cut here as the file says and given to the tokenizer's
+    model; any other word, or one that may hold a special token, goes through
+    the whole tokenizer.  Ids are little-endian unsigned 32-bit."""
 
     def __init__(self, path: str, words: int) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode_batch_fast
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.letters = byte_letters()
         self.known: dict[str, bytes] = {"": b""}
+        self.pieces: dict[str, bytes] = {}
         self.words = words
 
-    def batch(self, texts: list[str]) -> Iterator[bytes]:
-        """Ids of each text.  Only a space and a line feed split words here;
-        other white space stays inside and is the tokenizer's to handle."""
-        for text in texts:
-            words, known = text.replace("\n", " ").split(" "), self.known
-            new = list({w for w in words if w not in known})
-            if new:
-                ids = {w: np.array(e.ids, "<u4").tobytes()
-                       for w, e in zip(new, self.encode(new, add_special_tokens=False))}
-                if len(known) + len(ids) <= self.words:
-                    known.update(ids)
-                else:
-                    known = {w: ids[w] if w in ids else known[w] for w in set(words)}
-            yield b"".join(map(known.__getitem__, words))
+    def piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            text = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+            ids = array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
+            if len(self.pieces) < self.words:
+                self.pieces[piece] = ids
+        return ids
+
+    def word(self, word: str) -> bytes:
+        if not PLAIN.fullmatch(word) or "<|" in word:
+            return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        word = (word if word.isascii() else unicodedata.normalize("NFC", word)).lower()
+        if word.isalpha():  # letters alone are one piece
+            return self.piece(word)
+        if word[-1] in ",." and word[:-1].isalpha():
+            return self.piece(word[:-1]) + self.piece(word[-1])
+        return b"".join(map(self.piece, PIECES.findall(word)))
+
+    def text(self, text: str) -> bytes:
+        """Only a space and a line feed split words here; other white space
+        stays inside a word and is the tokenizer's to handle."""
+        words, known = text.replace("\n", " ").split(" "), self.known
+        ids = list(map(known.get, words))
+        if None in ids:
+            for i, x in enumerate(ids):
+                if x is None:
+                    x = known.get(words[i]) or self.word(words[i])
+                    ids[i] = x
+                    if len(known) < self.words:
+                        known[words[i]] = x
+        return b"".join(ids)
 
 
 #: One tokenizer for each file and Python worker, kept over its tasks.
@@ -67,7 +110,7 @@ def tokenize(df: DataFrame, id_col: str, text_col: str, path: str, end_id: int,
         for whole in batches:
             for at in range(0, whole.num_rows, 256):  # small batches out, whatever came in
                 b = whole.slice(at, 256)
-                ids = [x + end for x in tokenizer.batch(b.column("text").to_pylist())]
+                ids = [tokenizer.text(x) + end for x in b.column("text").to_pylist()]
                 n = np.array([len(x) // 4 for x in ids], np.int64)
                 upto = begins + np.cumsum(n)
                 begins = int(upto[-1])
