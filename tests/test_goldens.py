@@ -3,9 +3,8 @@
 import json
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemart.operators import dims, logsplit, visits
+from tidemart.operators import dims, visits
 from tidemart.operators.enrich import dic_lookup, lookup
 from tidemart.operators.keyed import latest_rows
 from tidemart.functions import cdc

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..constants import COUPON_STATUS_UNUSED, COUPON_STATUS_USING
 from ..functions.cdc import data, rows_of, transition

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import ORDER_STATUS_CANCEL, ORDER_STATUS_REFUND, PAYMENT_STATUS_SUCCESS, REFUND_STATUS_SUCCESS
-from ..functions.cdc import changed, data, increase_delta, old, project, rows_of
+from ..functions.cdc import changed, data, increase_delta, project, rows_of
 from ..functions.timefmt import sec_to_ts, text_date
 from ..operators.enrich import dic_lookup
 from ..operators.keyed import latest_rows

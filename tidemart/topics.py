@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .functions.cdc import data, rows_of
 from .operators import dims as dimops
-from .plans import dim, log, metrics, tool, trade
+from .plans import log, metrics, tool, trade
 from .sources import readers, sinks
 from .streaming import jobs
 
