@@ -108,7 +108,9 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     cut = stored(slim.select("rid", F.size("lines").alias("full")).join(cut, "rid"), "line-cuts")
     parts = F.split(text, "\n")
     kept = F.filter(parts, lambda x, i: ~F.exists("runs", lambda r: (i >= r["first"]) & (i <= r["last"])))
-    return docs.join(cut, "rid", "left").select(
+    # The list of cuts grows with the texts, so it's never broadcast; as the
+    # hashed side it spares the texts a sort.
+    return docs.join(cut.hint("shuffle_hash"), "rid", "left").select(
         "row", F.when(F.col("runs").isNull(), text).otherwise(F.array_join(kept, "\n")).alias("text"),
         F.coalesce(F.size(parts), F.lit(0)).cast("long").alias("n_lines"),
         F.when(F.col("runs").isNull(), 0).otherwise(F.size(parts) - F.size(kept)).cast("long").alias("n_deleted"),

@@ -113,4 +113,5 @@ def simhash_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     firsts = (docs.select("fp", "rid", F.col("row")[id_col].alias("id")).groupBy("fp").agg(F.min(order).alias("first")))
     keep = (simhash_components(docs, max_bits).join(firsts, "fp").groupBy("component")
             .agg(F.min("first")["rid"].alias("rid")).select("rid"))
-    return docs.join(stored(keep, "simhash-keep"), "rid", "left_semi").select("row.*")
+    # The ids kept grow with the rows, so they're never broadcast.
+    return docs.join(stored(keep, "simhash-keep").hint("shuffle_hash"), "rid", "left_semi").select("row.*")
