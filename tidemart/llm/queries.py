@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import langid
+from .centroids import cluster
 from .common import read_table
 from .embed_dedup import embedding_links
 from .exact_dedup import exact_dedup
@@ -16,6 +18,7 @@ from .license_scan import license_scan
 from .line_dedup import line_dedup
 from .mixing import mix
 from .packing import pack
+from .quality import quality
 from .simhash import simhash_groups
 from .suffix_dedup import suffix_dedup
 
@@ -82,8 +85,56 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, centroids = cluster(read_table(spark, sf_dir, "embeddings"), dim=64, count=16, rounds=3, scale=64)
+    sums = {r.cluster: r.inertia for r in out.groupBy("cluster").agg(F.sum("distance").alias("inertia")).collect()}  # a row a cluster
+    names = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centroids] or [""]
+    of = lambda values: F.get(F.array(*[F.lit(v) for v in values]), F.col("cluster"))
+    return out.select("vec_id", "cluster", "distance", of([sums.get(k, 0) for k in range(len(names))]).cast("long").alias("cluster_inertia"),
+                      F.lit(sum(sums.values())).cast("long").alias("inertia"), of(names).alias("centroid_sha256"))
+
+
+#: The features that the contract of ``op13_quality`` returns.
+BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality(read_table(spark, sf_dir, "documents").select("doc_id", "text"), measures=BASE)
+    m = F.col("m")
+    base = (m["n_words"] < 50) | (100 * m["n_repeat_words"] > 50 * m["n_words"])
+    return out.select(F.col("row.doc_id").alias("doc_id"), *[m[c].alias(c) for c in BASE], base.alias("base_failed"),
+                      (~base & F.col("kept")).alias("kept"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_html_text, op3_language_id, op4_license_scan, op6_suffix_dedup, op7_embedding_dedup, op5_exact_dedup, op8_line_dedup, op9_mixing, op10_simhash)}
+    f.__name__: f for f in (op1_packing, op2_html_text, op3_language_id, op4_license_scan, op6_suffix_dedup, op7_embedding_dedup, op5_exact_dedup, op8_line_dedup, op9_mixing, op10_simhash, op12_centroids, op13_quality)}
+
+def _centroid_sql(rounds: int) -> str:
+    """The rounds one after the other; all distances are worked out anew."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+a{r} AS MATERIALIZED (
+  SELECT rid, min(row(d, k)) AS best FROM (
+    SELECT rid, k, list_sum([(v[i] - c[i]) * (v[i] - c[i]) for i in range(1, 65)])::BIGINT AS d FROM e, c{r}) GROUP BY rid)""")
+        if r < rounds:
+            steps.append(f"""
+s{r} AS (SELECT k, i, sum(x) AS s, count(*) AS n
+         FROM (SELECT best[2] AS k, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{r} JOIN e USING (rid)) GROUP BY k, i),
+m{r} AS (SELECT k, list(((s - ((s % n + n) % n)) // n)::BIGINT ORDER BY i) AS c FROM s{r} GROUP BY k),
+c{r + 1} AS MATERIALIZED (SELECT k, coalesce(m{r}.c, c{r}.c) AS c FROM c{r} LEFT JOIN m{r} USING (k))""")
+    return f"""
+WITH e AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, [floor(64.0::DOUBLE * x::DOUBLE)::BIGINT for x in embedding] AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len([1 for x in embedding if x IS NULL OR isnan(x) OR isinf(x)]) = 0),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS k, v AS c
+  FROM (SELECT sha256('1:' || coalesce(vec_id::VARCHAR, '')) AS h, v FROM e ORDER BY h, v LIMIT 16)),{",".join(steps)}
+SELECT vec_id, best[2]::INT AS cluster, best[1] AS distance, sum(best[1]) OVER (PARTITION BY best[2])::BIGINT AS cluster_inertia,
+       sum(best[1]) OVER ()::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN e USING (rid) JOIN c{rounds} ON k = best[2]
+"""
+
 
 ORACLE_SQL = {
     "op5_exact_dedup": r"""
@@ -139,4 +190,27 @@ SELECT doc_id, coalesce(len(parts), 0)::BIGINT AS n_lines,
        sha256(CASE WHEN n_runs IS NULL THEN coalesce(text, '') ELSE coalesce(array_to_string(kept, chr(10)), '') END) AS kept_sha256
 FROM o
 """,
+    # Words in windows of three, and how often their text has each window.
+    "op13_quality": r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+             [x for x in string_split(text, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines FROM d),
+p AS (SELECT rid, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM w),
+r AS (SELECT rid, place, list_value(word, lead(word, 1) OVER doc, lead(word, 2) OVER doc) AS run, lead(place, 2) OVER doc AS stop
+      FROM p WINDOW doc AS (PARTITION BY rid ORDER BY place)),
+n AS (SELECT rid, place, count(*) OVER (PARTITION BY rid, run) AS times FROM r WHERE stop IS NOT NULL),
+c AS (SELECT rid, count(DISTINCT word_place) AS n_repeat_words
+      FROM (SELECT rid, unnest([place, place + 1, place + 2]) AS word_place FROM n WHERE times > 1) GROUP BY rid),
+f AS (SELECT doc_id, len(words)::BIGINT AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+             len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+             (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+             len(lines) AS n_lines, len(regexp_extract_all(text, '[A-Z]')) AS n_upper, len(regexp_extract_all(text, '[a-z]')) AS n_lower
+      FROM w LEFT JOIN c USING (rid)),
+b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT (10 * n_symbols > n_words OR n_upper > n_lower OR word_chars NOT BETWEEN 2 * n_words AND 15 * n_words
+                                OR 2 * n_dup_lines > n_lines) AS kept
+FROM b
+""",
+    "op12_centroids": _centroid_sql(3),
 }
