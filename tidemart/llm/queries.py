@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from . import langid
 from .centroids import cluster
 from .common import read_table
+from .divergence import divergence
 from .embed_dedup import embedding_links
 from .exact_dedup import exact_dedup
 from .html_extract import extract
@@ -85,6 +86,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(read_table(spark, sf_dir, "documents"), min_docs=30, top=50)
+
+
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, centroids = cluster(read_table(spark, sf_dir, "embeddings"), dim=64, count=16, rounds=3, scale=64)
     sums = {r.cluster: r.inertia for r in out.groupBy("cluster").agg(F.sum("distance").alias("inertia")).collect()}  # a row a cluster
@@ -107,7 +112,7 @@ def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_html_text, op3_language_id, op4_license_scan, op6_suffix_dedup, op7_embedding_dedup, op5_exact_dedup, op8_line_dedup, op9_mixing, op10_simhash, op12_centroids, op13_quality)}
+    f.__name__: f for f in (op1_packing, op2_html_text, op3_language_id, op4_license_scan, op6_suffix_dedup, op7_embedding_dedup, op5_exact_dedup, op8_line_dedup, op9_mixing, op10_simhash, op11_source_divergence, op12_centroids, op13_quality)}
 
 def _centroid_sql(rounds: int) -> str:
     """The rounds one after the other; all distances are worked out anew."""
@@ -213,4 +218,28 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """,
     "op12_centroids": _centroid_sql(3),
+    # Every group beside every kept term of its language.
+    "op11_source_divergence": r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+o AS (SELECT rid, lang, source, unnest(terms) AS term FROM d),
+k AS (SELECT lang, term FROM o GROUP BY lang, term HAVING count(DISTINCT rid) >= 30),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM o SEMI JOIN k USING (lang, term) GROUP BY lang, source, term),
+x AS (SELECT lang, source, term, coalesce(n, 0) AS n FROM g JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+y AS (SELECT *, sum(n) OVER own AS total, count(*) OVER own AS v, sum(n) OVER (PARTITION BY lang, term) AS lang_n FROM x
+      WINDOW own AS (PARTITION BY lang, source)),
+t AS (SELECT lang, sum(n) AS lang_total FROM c GROUP BY lang),
+p AS (SELECT lang, source, term, n, (1 + 1000000000::HUGEINT * (n + 5)::HUGEINT // (total + 5 * v)::HUGEINT)::BIGINT AS p,
+             (1 + 1000000000::HUGEINT * (lang_n + 5)::HUGEINT // (lang_total + 5 * v)::HUGEINT)::BIGINT AS q FROM y JOIN t USING (lang)),
+f AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p))::BIGINT AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+      UNION ALL
+      SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+FROM r QUALIFY part = 'pair' OR rank <= 50
+""",
 }
