@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import pickle
+import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -14,9 +16,9 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-#: Terms are runs of ASCII letters and characters beyond ASCII.
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-#: The same on UTF-8 bytes, where every byte of such a character is over 0x7F.
+#: Terms are runs of ASCII letters and characters beyond ASCII; in UTF-8 every
+#: byte of the latter is over 0x7F.
+_TERM_BYTES = re.compile(rb"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 _IS_TERM = np.array([chr(b).isalpha() and b < 128 or b > 127 for b in range(256)])
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 
@@ -132,11 +134,29 @@ def term_spans(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 # ---------------------------------------------------------------- vocabulary --
-def kept_terms(docs: DataFrame, min_docs: int) -> DataFrame:
-    """(lang, term) of the terms in ``min_docs`` rows of a language or more."""
-    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    own = F.explode(F.array_distinct(F.regexp_extract_all(lowered, F.lit(TERM), F.lit(0))))
-    return (docs.select("lang", own.alias("term")).groupBy("lang", "term").agg(F.count("*").alias("docs"))
+def kept_terms(docs: DataFrame, min_docs: int, hold: int = 1 << 20) -> DataFrame:
+    """(lang, term) of the terms in ``min_docs`` rows of a language or more.
+
+    A task counts each row's distinct terms on their UTF-8 bytes, where lower
+    case touches A-Z alone, and hands its counts on when it holds ``hold``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str, Counter] = {}
+
+        def flushed() -> Iterator[pa.RecordBatch]:
+            for lang, own in counts.items():
+                yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(own), pa.string()), "term": pa.array(list(own), pa.binary()),
+                                                  "docs": pa.array(list(own.values()), pa.int64())})
+            counts.clear()
+
+        for b in batches:
+            for lang, text in zip(b.column("lang").to_pylist(), b.column("text")):
+                counts.setdefault(lang, Counter()).update(set(_TERM_BYTES.findall(text.as_buffer().to_pybytes().lower())))
+                if sum(map(len, counts.values())) > hold:
+                    yield from flushed()
+        yield from flushed()
+
+    partial = docs.select("lang", F.col("text").cast("binary").alias("text")).mapInArrow(run, "lang string, term binary, docs long")
+    return (partial.groupBy("lang", "term").agg(F.sum("docs").alias("docs"))
             .filter(F.col("docs") >= min_docs).select("lang", "term"))
 
 
@@ -151,7 +171,7 @@ def transducers(terms: DataFrame, shard_bytes: int) -> DataFrame:
         t = Transducer.build(sorted(bytes(x) for x in own["term"]))
         return pd.DataFrame({"lang": [key[0]], "shard": [key[1]], "terms": [t.terms], "machine": [t.to_bytes()]})
 
-    ordered = stored(terms.select("lang", F.col("term").cast("binary").alias("term")).repartitionByRange("lang", "term")
+    ordered = stored(terms.repartitionByRange("lang", "term")
                      .sortWithinPartitions("lang", "term").withColumn("pid", F.spark_partition_id()), "divergence-terms")
     size = F.sum(F.octet_length("term"))
     parts = ordered.groupBy("lang", "pid").agg(size.alias("bytes"))
