@@ -5,7 +5,7 @@
     python -m tidemart.cli explain dws_trade_sku_order --input /data/tables
     python -m tidemart.cli warehouse --input /data/tables --root /shared/warehouse
     python -m tidemart.cli run-job log_split --source /data/topic_log --output /data/out --sink json
-    python -m tidemart.cli run-job dws_home_detail_uv --source /data/out/page --output /data/uv --mode stream
+    python -m tidemart.cli run-job dws_home_detail_uv --source /data/out/page --output /data/uv --mode stream --trigger 3s
 
 ``--input`` holds the source tables as ``<name>.parquet``; ``--output`` is
 written as parquet (``--partition-by cur_date`` for the metric tables).
@@ -49,6 +49,18 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--dims", help="folder of dimension tables")
     p.add_argument("--config", help="dimension configuration changes as parquet")
     p.add_argument("--details", help="order detail lines, for the payment join")
+    p.add_argument("--changelog", help="pre-process topic, for order and cancel details")
+    p.add_argument("--visitors", help="unique-visitor topic, for the traffic metric")
+    p.add_argument("--bounces", help="bounce topic, for the traffic metric")
+    p.add_argument("--checkpoint", help="folder all executors share, for offsets and state (default: spark.checkpoint.dir)")
+    p.add_argument("--lateness", type=int, metavar="SECONDS", help="traffic metric from topics: how late rows may be (default 10, "
+                   "as the micro-batches' span of event time in a backfill)")
+    p.add_argument("--trigger", metavar="INTERVAL", help="stream: run on and take what arrives, e.g. every 3s (default: take what is there and stop)")
+    p.add_argument("--max-files", type=int, help="stream: files a trigger takes at most")
+    p.add_argument("--max-bytes", help="stream: bytes a trigger takes at most, e.g. 10g")
+    p.add_argument("--max-offsets", type=int, help="stream: Kafka records a trigger takes at most")
+    p.add_argument("--stop-file", help="stream: stop between two batches when this path appears (SIGTERM does the same)")
+    p.add_argument("--run-for", type=float, metavar="SECONDS", help="stream: stop after this time")
     p.add_argument("--master", default=None)
     p.add_argument("--tz", default="UTC")
     a = ap.parse_args(argv)
@@ -68,10 +80,14 @@ def main(argv: list[str] | None = None) -> int:
     ship_package(spark)
     if a.cmd == "run-job":
         from . import topics
+        if a.checkpoint:
+            spark.conf.set("spark.checkpoint.dir", a.checkpoint)
+        limits = {"maxFilesPerTrigger": a.max_files, "maxBytesPerTrigger": a.max_bytes, "maxOffsetsPerTrigger": a.max_offsets}
         inputs = topics.Inputs(spark, a.source, a.format, a.mode == "stream", dict(o.split("=", 1) for o in a.option),
-                               a.dictionary, a.dims, a.config, a.details, a.tz)
-        for q in topics.run(inputs, a.dataset, a.output, a.sink):
-            q.awaitTermination()
+                               a.dictionary, a.dims, a.config, a.details, a.tz, {k: str(v) for k, v in limits.items() if v},
+                               a.changelog, a.visitors, a.bounces, 10 if a.lateness is None else a.lateness)
+        from .streaming import runtime
+        runtime.wait(spark, topics.run(inputs, a.dataset, a.output, a.sink, a.trigger), a.stop_file, a.run_for)
         return 0
     if a.cmd == "warehouse":
         from .plans import warehouse

@@ -25,9 +25,9 @@ LOG_SCHEMA = T.StructType([
 ])
 
 
-def parse(raw: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Split raw lines into (clean records, dirty lines).  Other columns of
-    ``raw`` (e.g. an arrival ``seq``) are kept on clean records.
+def flagged(raw: DataFrame, value_col: str = "value") -> DataFrame:
+    """Raw lines with the parsed record ``_j`` and whether they are ``_dirty``
+    (unparsable, or without a device id).  Other columns are kept.
 
     The parse and the dirty flag are produced by one generator row per line
     (``inline`` of a one-element array): predicates on its output cannot be
@@ -38,13 +38,18 @@ def parse(raw: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFram
                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
     parsed = raw.select(F.inline(F.array(F.struct(j.alias("_j"), F.col(value_col).alias(value_col),
                                                   *[F.col(c) for c in keep]))))
-    dirty_cond = (F.col("_j").isNull() | F.col("_j._corrupt_record").isNotNull()
-                  | F.col("_j.common.mid").isNull())
-    flagged = parsed.withColumn("_dirty", dirty_cond)
-    clean = (flagged.filter(~F.col("_dirty"))
+    return parsed.withColumn("_dirty", F.col("_j").isNull() | F.col("_j._corrupt_record").isNotNull() | F.col("_j.common.mid").isNull())
+
+
+def parse(raw: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Split raw lines into (clean records, dirty lines).  Other columns of
+    ``raw`` (e.g. an arrival ``seq``) are kept on clean records."""
+    keep = [c for c in raw.columns if c != value_col]
+    rows = flagged(raw, value_col)
+    clean = (rows.filter(~F.col("_dirty"))
              .select(*[F.col(f"_j.{f.name}").alias(f.name) for f in LOG_SCHEMA.fields
                        if f.name != "_corrupt_record"], *keep))
-    dirty = flagged.filter(F.col("_dirty")).select(F.col(value_col).alias("line"))
+    dirty = rows.filter(F.col("_dirty")).select(F.col(value_col).alias("line"))
     return clean, dirty
 
 

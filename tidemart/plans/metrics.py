@@ -34,32 +34,38 @@ def home_detail_uv(page: DataFrame, size: int = WINDOW_SECONDS) -> DataFrame:
                         size_seconds=size)
 
 
+TRAFFIC_KEYS = ["vc", "ch", "ar", "is_new"]
+
+
+def traffic_measures() -> dict:
+    return {"uv_ct": _sum("uv"), "sv_ct": _sum("sv"), "pv_ct": _sum("pv"), "dur_sum": _sum("dur"), "uj_ct": _sum("uj")}
+
+
+def traffic_rows(page: DataFrame, uv_rows: DataFrame, uj_rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What page views, unique visitors and bounces add to the traffic
+    measures (P15); bounces count ``JUMP_SHIFT_SECONDS`` later (W6)."""
+    zero = F.lit(0).cast("bigint")
+    one = F.lit(1).cast("bigint")
+    pv = page.select(*TRAFFIC_KEYS, "ts", zero.alias("uv"), F.col("last_page_id").isNull().cast("bigint").alias("sv"),
+                     one.alias("pv"), F.coalesce(F.col("during_time"), zero).alias("dur"), zero.alias("uj"))
+    uv = uv_rows.select(*TRAFFIC_KEYS, "ts", one.alias("uv"), zero.alias("sv"), zero.alias("pv"), zero.alias("dur"), zero.alias("uj"))
+    uj = uj_rows.select(*TRAFFIC_KEYS, (F.col("ts") + JUMP_SHIFT_SECONDS * 1000).alias("ts"), zero.alias("uv"),
+                        zero.alias("sv"), zero.alias("pv"), zero.alias("dur"), one.alias("uj"))
+    return pv, uv, uj
+
+
 def traffic_vc_ch_ar_is_new(page: DataFrame, size: int = WINDOW_SECONDS,
                             jump_within: int = 10, uv_rows: DataFrame | None = None,
                             uj_rows: DataFrame | None = None) -> DataFrame:
     """(window, vc, ch, ar, is_new): uv, sessions, page views, duration,
-    bounces (P15, W6, U1, A2).  Bounces count ``JUMP_SHIFT_SECONDS`` later.
-    ``uv_rows`` / ``uj_rows`` are the unique-visitor and bounce detail
-    tables when they are already materialised; else they are derived."""
-    keys = ["vc", "ch", "ar", "is_new"]
-    zero = F.lit(0).cast("bigint")
-    pv = page.select(*keys, "ts", zero.alias("uv"),
-                     F.col("last_page_id").isNull().cast("bigint").alias("sv"),
-                     F.lit(1).cast("bigint").alias("pv"),
-                     F.coalesce(F.col("during_time"), zero).alias("dur"), zero.alias("uj"))
+    bounces (P15, W6, U1, A2).  ``uv_rows`` / ``uj_rows`` are the
+    unique-visitor and bounce detail tables when they are already
+    materialised; else they are derived."""
     uv_rows = uv_rows if uv_rows is not None else logplans.unique_visitor_detail(page)
     uj_rows = uj_rows if uj_rows is not None else logplans.user_jump_detail(page, jump_within)
-    uv = uv_rows.select(
-        *keys, "ts", F.lit(1).cast("bigint").alias("uv"), zero.alias("sv"), zero.alias("pv"),
-        zero.alias("dur"), zero.alias("uj"))
-    uj = uj_rows.select(
-        *keys, (F.col("ts") + JUMP_SHIFT_SECONDS * 1000).alias("ts"), zero.alias("uv"),
-        zero.alias("sv"), zero.alias("pv"), zero.alias("dur"), F.lit(1).cast("bigint").alias("uj"))
-    allrows = pv.unionByName(uv).unionByName(uj)
-    return tumbling_agg(with_event_time(allrows),
-                        {"uv_ct": _sum("uv"), "sv_ct": _sum("sv"), "pv_ct": _sum("pv"),
-                         "dur_sum": _sum("dur"), "uj_ct": _sum("uj")},
-                        keys=keys, size_seconds=size)
+    pv, uv, uj = traffic_rows(page, uv_rows, uj_rows)
+    return tumbling_agg(with_event_time(pv.unionByName(uv).unionByName(uj)), traffic_measures(),
+                        keys=TRAFFIC_KEYS, size_seconds=size)
 
 
 def user_login(page: DataFrame, back_days: int = BACK_USER_DAYS, size: int = WINDOW_SECONDS) -> DataFrame:

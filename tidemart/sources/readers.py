@@ -26,6 +26,16 @@ ENVELOPE_SCHEMA = T.StructType([
 PAGE_LOG_SCHEMA = T.StructType([T.StructField("common", MAP_SS), T.StructField("page", MAP_SS),
                                 T.StructField("ts", T.LongType())])
 
+# S3: what columns of detail topics are other than text.
+DETAIL_TYPES = {"row_op_ts": T.TimestampType(), "arrival": T.LongType(), "old": MAP_SS}
+
+# The flat page rows of the unique-visitor and bounce topics.
+FLAT_PAGE_SCHEMA = T.StructType(
+    [T.StructField(c, S) for c in
+     ("mid", "uid", "vc", "ch", "ar", "is_new", "page_id", "last_page_id", "item", "item_type")]
+    + [T.StructField("during_time", T.LongType()), T.StructField("ts", T.LongType()),
+       T.StructField("seq", T.LongType())])
+
 
 def read_topic(spark: SparkSession, source: str, fmt: str = "text", stream: bool = False,
                options: dict | None = None, schema: T.StructType | None = None) -> DataFrame:
@@ -35,7 +45,8 @@ def read_topic(spark: SparkSession, source: str, fmt: str = "text", stream: bool
     ``fmt``: ``kafka`` (``source`` = topic, options carry the brokers; ``seq``
     is the offset), ``text`` (one record per line; ``seq`` is the file's time
     in ms, and inside a file a hash of the line, so the same input always has
-    the same order), ``parquet`` / ``json`` (``schema`` given, ``value``
+    the same order; the folders of :func:`.sinks.publish_batch` are read
+    too), ``parquet`` / ``json`` (``schema`` given, ``value``
     column; ``seq`` is taken as it is).  ``stream=True`` returns a streaming
     DataFrame."""
     opts = dict(options or {})
@@ -46,6 +57,10 @@ def read_topic(spark: SparkSession, source: str, fmt: str = "text", stream: bool
         df = r.format("kafka").options(**opts).load()
         return df.select(F.col("value").cast("string").alias("value"), F.col("offset").alias("seq"))
     if fmt == "text":
+        opts.setdefault("recursiveFileLookup", "true")
+        if stream:  # the job that writes the topic may start later
+            p = spark._jvm.org.apache.hadoop.fs.Path(source)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
         df = r.options(**opts).text(source)
         ms = F.unix_millis(F.col("_metadata.file_modification_time"))
         return df.select("value", (F.shiftleft(ms, 20) + F.pmod(F.xxhash64("value"), F.lit(1 << 20))).alias("seq"))
@@ -55,42 +70,58 @@ def read_topic(spark: SparkSession, source: str, fmt: str = "text", stream: bool
     return reader.load(source)
 
 
-def cdc_records(topic: DataFrame, value_col: str = "value", with_dirty: bool = False):
-    """JSON change records to the envelope (map values arrive as text).
-
-    With ``with_dirty`` returns ``(records, dirty_lines)``: lines that do not
-    parse or carry no table name go to their own output (Q11: uniform dirty
-    routing instead of failing the job).  The parse runs once per line.  A
-    ``seq`` of the topic stays."""
-    order = ["seq"] if "seq" in topic.columns else []
-    if not with_dirty:
-        return topic.select(F.from_json(F.col(value_col), ENVELOPE_SCHEMA).alias("r"), *order).select("r.*", *order)
+def cdc_flagged(topic: DataFrame, value_col: str = "value") -> DataFrame:
+    """Lines with the parsed change record ``_r``, the line ``_v`` and whether
+    it is ``_bad``: unparsable, or without a table name.  One parse a line."""
     sch = T.StructType(ENVELOPE_SCHEMA.fields + [T.StructField("_corrupt_record", S)])
     j = F.from_json(F.col(value_col), sch,
                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    order = ["seq"] if "seq" in topic.columns else []
     parsed = topic.select(F.inline(F.array(F.struct(j.alias("_r"), F.col(value_col).alias("_v"), *order))))
-    bad = F.col("_r").isNull() | F.col("_r._corrupt_record").isNotNull() | F.col("_r.table").isNull()
-    flagged = parsed.withColumn("_bad", bad)
+    return parsed.withColumn("_bad", F.col("_r").isNull() | F.col("_r._corrupt_record").isNotNull() | F.col("_r.table").isNull())
+
+
+def cdc_split(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``cdc_flagged`` rows to (records, dirty lines)."""
+    order = ["seq"] if "seq" in flagged.columns else []
     records = flagged.filter(~F.col("_bad")).select(*[F.col(f"_r.{f.name}").alias(f.name)
                                                       for f in ENVELOPE_SCHEMA.fields], *order)
-    dirty = flagged.filter(F.col("_bad")).select(F.col("_v").alias("line"))
-    return records, dirty
+    return records, flagged.filter(F.col("_bad")).select(F.col("_v").alias("line"))
 
 
-def typed_records(topic: DataFrame, columns: list[str], value_col: str = "value",
-                  timestamps: tuple[str, ...] = ("row_op_ts",)) -> DataFrame:
-    """S3: a detail topic with declared (string) columns; ``timestamps`` are
-    typed as timestamps."""
-    sch = T.StructType([T.StructField(c, T.TimestampType() if c in timestamps else S) for c in columns])
+def cdc_records(topic: DataFrame, value_col: str = "value", with_dirty: bool = False):
+    """JSON change records to the envelope (map values arrive as text).
+
+    With ``with_dirty`` returns ``(records, dirty_lines)``: lines that do not
+    parse or carry no table name go to their own output (Q11: uniform dirty
+    routing instead of failing the job).  A ``seq`` of the topic stays."""
+    if with_dirty:
+        return cdc_split(cdc_flagged(topic, value_col))
+    order = ["seq"] if "seq" in topic.columns else []
+    return topic.select(F.from_json(F.col(value_col), ENVELOPE_SCHEMA).alias("r"), *order).select("r.*", *order)
+
+
+def typed_records(topic: DataFrame, columns: list[str], value_col: str = "value") -> DataFrame:
+    """S3: a detail topic with declared columns: text, but for those that
+    ``DETAIL_TYPES`` types (orders compare as numbers and times)."""
+    sch = T.StructType([T.StructField(c, DETAIL_TYPES.get(c, S)) for c in columns])
     return topic.select(F.from_json(F.col(value_col), sch).alias("r")).select("r.*")
 
 
+def flat_page_records(topic: DataFrame, value_col: str = "value") -> DataFrame:
+    """S3: the flat page rows that the unique-visitor and bounce jobs write."""
+    return topic.select(F.from_json(F.col(value_col), FLAT_PAGE_SCHEMA).alias("r")).select("r.*")
+
+
 def page_log_records(topic: DataFrame, value_col: str = "value",
                      watermark_seconds: int | None = None) -> DataFrame:
     """Page-log records with ``row_time`` (event time cut to the
-    second) and an optional watermark."""
-    order = ["seq"] if "seq" in topic.columns else []
-    df = (topic.select(F.from_json(F.col(value_col), PAGE_LOG_SCHEMA).alias("r"), *order).select("r.*", *order)
+    second) and an optional watermark.  Records keep the arrival order that
+    the log split gave them (``seq``); others take the topic's."""
+    order = [F.coalesce("r.seq", "seq").alias("seq")] if "seq" in topic.columns else ["r.seq"]
+    sch = T.StructType([*PAGE_LOG_SCHEMA.fields, T.StructField("seq", T.LongType())])
+    df = (topic.select(F.from_json(F.col(value_col), sch).alias("r"), *[c for c in topic.columns if c == "seq"])
+          .select("r.common", "r.page", "r.ts", *order)
           .withColumn("row_time", second_row_time("ts")))
     if watermark_seconds is not None:
         df = df.withWatermark("row_time", f"{watermark_seconds} seconds")

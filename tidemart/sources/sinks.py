@@ -8,6 +8,7 @@ duplicating them; readers fold the change files to the latest row per key.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,6 +38,28 @@ def write_kafka(df: DataFrame, topic: str, options: dict) -> None:
     to_json_value(df).write.format("kafka").option("topic", topic).options(**options).save()
 
 
+def publish_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    """K1 (files) between stream jobs: one micro-batch as JSON lines that
+    appear in the topic folder all at once, and once only.
+
+    The lines are written aside and moved by one rename; a replayed batch
+    finds its folder there and leaves it, so a job reading the topic never
+    sees half a batch or a line twice.  This needs a store whose folder
+    rename is one step (HDFS, local and shared file systems); on others use
+    Kafka.  Batches without rows leave nothing."""
+    spark, path = df.sparkSession, path.rstrip("/")
+    final, aside = f"{path}/batch-{batch_id:012d}", f"{path}/_staging/batch-{batch_id:012d}-{uuid.uuid4().hex}"
+    if exists(spark, final):
+        return
+    to_json_value(df).write.text(aside)
+    p = spark._jvm.org.apache.hadoop.fs.Path(aside)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.getContentSummary(p).getLength() == 0:
+        fs.delete(p, True)
+    elif not fs.rename(p, spark._jvm.org.apache.hadoop.fs.Path(final)) and not exists(spark, final):
+        raise OSError(f"could not move {aside} to {final}")
+
+
 def upsert_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """K2 / K4: record one micro-batch of changes for a keyed table."""
     write_append(df, path, fmt="parquet", batch_id=batch_id)
@@ -48,7 +71,7 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def _children(spark: SparkSession, path: str, prefix: str) -> dict[int, object]:
+def children(spark: SparkSession, path: str, prefix: str) -> dict[int, object]:
     """Number -> Hadoop path of the folders ``prefix<number>`` in ``path``."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -62,7 +85,7 @@ def _children(spark: SparkSession, path: str, prefix: str) -> dict[int, object]:
 
 def _snapshot(spark: SparkSession, path: str) -> tuple[int, str] | None:
     """The newest complete snapshot of a keyed table: last batch in it, path."""
-    done = {n: p for n, p in _children(spark, f"{path}/_snapshots", "upto=").items() if exists(spark, f"{p}/_SUCCESS")}
+    done = {n: p for n, p in children(spark, f"{path}/_snapshots", "upto=").items() if exists(spark, f"{p}/_SUCCESS")}
     return (max(done), done[max(done)].toString()) if done else None
 
 
@@ -74,7 +97,7 @@ def read_changes(spark: SparkSession, path: str) -> DataFrame:
     if snap is None:
         return spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("long"))
     base = spark.read.parquet(snap[1])
-    later = [n for n in _children(spark, path, "batch_id=") if n > snap[0]]
+    later = [n for n in children(spark, path, "batch_id=") if n > snap[0]]
     if not later:
         return base
     new = spark.read.schema(base.schema).option("basePath", path).parquet(*[f"{path}/batch_id={n}" for n in sorted(later)])
@@ -99,12 +122,12 @@ def compact(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence
     complete; run that only while no reader still works on them."""
     path = path.rstrip("/")
     snap = _snapshot(spark, path)
-    last = max([*_children(spark, path, "batch_id="), snap[0] if snap else -1])
+    last = max([*children(spark, path, "batch_id="), snap[0] if snap else -1])
     if snap is None or last > snap[0]:
         rows = latest_rows(read_changes(spark, path), list(keys), [*order, "batch_id"])
         rows.write.mode("overwrite").parquet(f"{path}/_snapshots/upto={last}")
     if drop_folded:
-        for n, p in _children(spark, path, "batch_id=").items():
+        for n, p in children(spark, path, "batch_id=").items():
             if n <= last:
                 p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
     return last

@@ -33,29 +33,37 @@ from ..operators.windows import tumbling_agg, with_event_time
 from ..plans import log as logplans
 from ..session import checkpoint_root
 from ..sources import sinks
-from . import state
-
-FLAT_PAGE_SCHEMA = T.StructType(
-    [T.StructField(c, T.StringType()) for c in
-     ("mid", "uid", "vc", "ch", "ar", "is_new", "page_id", "last_page_id", "item", "item_type")]
-    + [T.StructField("during_time", T.LongType()), T.StructField("ts", T.LongType()),
-       T.StructField("seq", T.LongType())])
+from ..sources.readers import FLAT_PAGE_SCHEMA, cdc_flagged, cdc_split
+from . import runtime, state
 
+#: Dimension tables, the dictionary or the configuration: a table, or a
+#: function that reads it again for every micro-batch.
+Lookup = DataFrame | Callable[[], DataFrame]
+Dims = dict[str, DataFrame] | Callable[[], dict[str, DataFrame]]
 
 def checkpoint_for(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{name}"
 
 
-def start(df: DataFrame, name: str, sink: Callable[[DataFrame, int], None], mode: str = "append",
-          available_now: bool = True, trigger_seconds: int = 3) -> StreamingQuery:
-    """Start a query with a ``foreachBatch`` sink and its own checkpoint.
-    ``available_now`` processes what is there and stops (tests, backfills);
-    otherwise a processing-time trigger (3 s, the reference's checkpoint
-    interval)."""
+def start(df: DataFrame, name: str, sink: Callable[[DataFrame, int], None], mode: str = "append") -> StreamingQuery:
+    """Start a query with a ``foreachBatch`` sink and its own checkpoint, at
+    the trigger of :func:`.runtime.settings`."""
     w = (df.writeStream.queryName(name).outputMode(mode).foreachBatch(sink)
          .option("checkpointLocation", checkpoint_for(df.sparkSession, name)))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=f"{trigger_seconds} seconds")
-    return w.start()
+    return runtime.triggered(w).start()
+
+
+def rows_to(path: str) -> Callable[[DataFrame, int], None]:
+    """The sink of a job that appends rows: replay-safe parquet, or JSON
+    lines in a topic folder (:func:`.runtime.settings`)."""
+    if runtime.current().sink == "topic":
+        return lambda batch, bid: sinks.publish_batch(batch, path, bid)
+    return lambda batch, bid: sinks.write_append(batch, path, "parquet", batch_id=bid)
+
+
+def now(table):
+    """A lookup table as it is at this micro-batch."""
+    return table() if callable(table) else table
 
 
 def page_stream(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame:
@@ -64,35 +72,45 @@ def page_stream(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame
             .parquet(path))
 
 
-def read_partial_windows(spark: SparkSession, path: str, keys: list[str], measures: list[str]) -> DataFrame:
-    """The metric table from partial window rows: sums per (window, keys)."""
+def read_partial_windows(spark: SparkSession, path: str, keys: list[str], measures: list[str],
+                         drop_zero: bool = False) -> DataFrame:
+    """The metric table from partial window rows: sums per (window, keys);
+    ``drop_zero`` leaves out windows whose counts were all taken back."""
     p = spark.read.parquet(path)
-    return (p.groupBy("stt", "edt", "cur_date", *keys)
-            .agg(*[F.sum(m).cast("bigint").alias(m) for m in measures]))
+    out = p.groupBy("stt", "edt", "cur_date", *keys).agg(*[F.sum(m).cast("bigint").alias(m) for m in measures])
+    return out.filter(" OR ".join(f"{m} <> 0" for m in measures)) if drop_zero else out
 
 
 # ---------------------------------------------------------------- log layer --
 def log_split(raw: DataFrame, out_root: str, tz: str = "UTC", name: str = "log_split") -> list[StreamingQuery]:
-    """P1 + T1 + P8/P9 + K3: dirty lines to ``dirty``; clean records through
-    the new-visitor state, then routed in one pass per micro-batch."""
-    clean, dirty = logsplit.parse(raw)
-    q_dirty = start(dirty, f"{name}_dirty",
-                    lambda b, i: sinks.write_append(b, f"{out_root}/dirty", "json", batch_id=i))
-    rec_cols = [c for c in clean.columns if c != "seq"]
-    keyed = clean.select(F.col("common.mid").alias("mid"), "ts", "seq",
-                         F.col("common.is_new").alias("is_new"),
-                         F.to_json(F.struct(*rec_cols)).alias("record"))
+    """P1 + T1 + P8/P9 + K3 in one query: every line is parsed once, clean
+    records go through the new-visitor state, and one pass over the
+    micro-batch writes the five routes (all fields of the records) and the
+    dirty lines.  Dirty lines have no device; they pass the state by keys of
+    their own, spread over tasks, and leave nothing in it."""
+    write = {r: rows_to(f"{out_root.rstrip('/')}/{r}") for r in ("page", "start", "display", "action", "error", "dirty")}
+    schema = T.StructType([f for f in logsplit.LOG_SCHEMA.fields if f.name != "_corrupt_record"] + [T.StructField("seq", T.LongType())])
+    flagged = logsplit.flagged(raw)
+    record = F.to_json(F.struct(*[F.col(f"_j.{f.name}").alias(f.name) for f in schema.fields if f.name != "seq"], "seq"))
+    keyed = flagged.select(
+        F.when(F.col("_dirty"), F.concat(F.lit("\0"), F.pmod(F.xxhash64("value"), F.lit(1024)).cast("string")))
+        .otherwise(F.col("_j.common.mid")).alias("mid"), F.col("_dirty").alias("dirty"),
+        F.coalesce(F.col("_j.ts"), F.lit(0)).alias("ts"), "seq", F.col("_j.common.is_new").alias("is_new"),
+        F.when(F.col("_dirty"), F.col("value")).otherwise(record).alias("record"))
     fixed = state.repair_new_flag(keyed, tz)
-    schema = T.StructType([f for f in logsplit.LOG_SCHEMA.fields if f.name != "_corrupt_record"])
-    records = (fixed.select(F.from_json("record", schema).alias("r"), "is_new").select("r.*", "is_new")
-               .withColumn("common", logplans.with_flag(F.col("common"), F.col("is_new"))).drop("is_new"))
 
     def sink(batch: DataFrame, bid: int) -> None:
-        sinks.multi_route(batch, lambda b: {k: logplans.flat_route(k, v)
-                                            for k, v in logsplit.route(b).items()},
-                          out_root, bid, fmt="parquet")
+        batch = batch.persist()  # the routes share one parse
+        try:
+            records = (batch.filter("NOT dirty").select(F.from_json("record", schema).alias("r"), "is_new").select("r.*", "is_new")
+                       .withColumn("common", logplans.with_flag(F.col("common"), F.col("is_new"))).drop("is_new"))
+            routes = logsplit.route(records) | {"dirty": batch.filter("dirty").select(F.col("record").alias("line"))}
+            for route, rows in routes.items():
+                write[route](rows, bid)
+        finally:
+            batch.unpersist()
 
-    return [q_dirty, start(records, name, sink)]
+    return [start(fixed, name, sink)]
 
 
 def user_jump_detail(page: DataFrame, out_path: str, within_seconds: int = 10,
@@ -104,7 +122,7 @@ def user_jump_detail(page: DataFrame, out_path: str, within_seconds: int = 10,
                     "row_time"))
     out = state.bounce_entries(rows, within_seconds * 1000)
     recs = out.select(F.from_json("record", FLAT_PAGE_SCHEMA).alias("r")).select("r.*").drop("seq")
-    return start(recs, name, lambda b, i: sinks.write_append(b, out_path, "parquet", batch_id=i))
+    return start(recs, name, rows_to(out_path))
 
 
 # ------------------------------------------------------------------ metrics --
@@ -126,10 +144,10 @@ def home_detail_uv(page: DataFrame, out_path: str, tz: str = "UTC", size: int =
 
 
 def trade_unique_new(rows: DataFrame, out_path: str, uu: str, new: str, tz: str = "UTC",
-                     size: int = WINDOW_SECONDS, name: str = "dws_trade_order") -> StreamingQuery:
+                     size: int = WINDOW_SECONDS, name: str = "dws_trade_order", keep_days: int = 2) -> StreamingQuery:
     """T6 / T7 state + per-batch partial windows; windows with events but no
-    unique user still get a 0/0 row."""
-    flags = state.unique_new_flags(rows.select("user_id", "ts", "seq"), tz)
+    unique user still get a 0/0 row.  Rows up to ``keep_days`` late count."""
+    flags = state.unique_new_flags(rows.select("user_id", "ts"), tz, keep_days)
 
     def sink(batch: DataFrame, bid: int) -> None:
         part = tumbling_agg(with_event_time(batch), {uu: F.sum("uu").cast("bigint"),
@@ -190,6 +208,20 @@ def traffic_vc_ch_ar_is_new(page: DataFrame, out_root: str, tz: str = "UTC", siz
     return [q_pv, q_uv, q_uj]
 
 
+def traffic_from_topics(page: DataFrame, uv: DataFrame, uj: DataFrame, out_path: str, size: int = WINDOW_SECONDS,
+                        lateness_seconds: int = 10, name: str = "dws_traffic_vc_ch_ar_is_new") -> StreamingQuery:
+    """P15 + U1 + W5/W6 + A2 over the page, unique-visitor and bounce topics,
+    as one window aggregation: one rule of lateness for all measures.  The
+    watermark is that of the input furthest behind, so a topic that lags
+    (bounces wait for their horizon) loses nothing; rows more than
+    ``lateness_seconds`` behind it are dropped.  Update mode, upserted."""
+    from ..plans.metrics import TRAFFIC_KEYS, traffic_measures, traffic_rows
+    parts = [with_event_time(p, watermark_seconds=lateness_seconds) for p in traffic_rows(page, uv, uj)]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return start(tumbling_agg(rows, traffic_measures(), keys=TRAFFIC_KEYS, size_seconds=size), name,
+                 lambda b, i: sinks.upsert_batch(b, out_path, i), mode="update")
+
+
 def read_traffic(spark: SparkSession, out_root: str) -> DataFrame:
     """The traffic metric: upserted page-view windows plus the summed
     unique-visitor and bounce partials, per (window, vc, ch, ar, is_new)."""
@@ -213,11 +245,12 @@ def read_traffic(spark: SparkSession, out_root: str) -> DataFrame:
 
 
 def user_login(page: DataFrame, out_path: str, back_days: int = 8, tz: str = "UTC",
-               size: int = WINDOW_SECONDS, name: str = "dws_user_login") -> StreamingQuery:
-    """P12 + T5 state + per-batch partial windows."""
+               size: int = WINDOW_SECONDS, name: str = "dws_user_login", keep_days: int = 2) -> StreamingQuery:
+    """P12 + T5 state + per-batch partial windows (:func:`read_logins`).
+    Rows up to ``keep_days`` late count."""
     logins = page.filter(F.col("uid").isNotNull()
                          & (F.col("last_page_id").isNull() | (F.col("last_page_id") == "login")))
-    flags = state.login_flags(logins.select("uid", "ts", "seq"), back_days, tz)
+    flags = state.login_flags(logins.select("uid", "ts"), back_days, tz, keep_days)
 
     def sink(batch: DataFrame, bid: int) -> None:
         part = tumbling_agg(with_event_time(batch), {"back_ct": F.sum("back_ct").cast("bigint"),
@@ -227,6 +260,11 @@ def user_login(page: DataFrame, out_path: str, back_days: int = 8, tz: str = "UT
     return start(flags, name, sink)
 
 
+def read_logins(spark: SparkSession, path: str) -> DataFrame:
+    """The login metric; windows without a unique user aren't part of it."""
+    return read_partial_windows(spark, path, [], ["back_ct", "uu_ct"], drop_zero=True)
+
+
 def keyword_window(page: DataFrame, out_path: str, size: int = WINDOW_SECONDS,
                    watermark_seconds: int = WATERMARK_KEYWORD_SECONDS,
                    name: str = "dws_keyword_window") -> StreamingQuery:
@@ -244,10 +282,10 @@ def keyword_window(page: DataFrame, out_path: str, size: int = WINDOW_SECONDS,
     return start(g, name, lambda b, i: sinks.upsert_batch(b, out_path, i), mode="update")
 
 
-def province_order(cdc: DataFrame, province_dim: DataFrame, out_path: str, size: int = WINDOW_SECONDS,
+def province_order(cdc: DataFrame, province_dim: Lookup, out_path: str, size: int = WINDOW_SECONDS,
                    name: str = "dws_trade_province_order") -> StreamingQuery:
-    """S2 + P2 + W1/W3 + A4, then J11 per micro-batch against the static
-    province dimension; update mode, upserted on (stt, province_id)."""
+    """S2 + P2 + W1/W3 + A4, then J11 against the province dimension as it is
+    at the micro-batch; update mode, upserted on (stt, province_id)."""
     oi = rows_of(cdc, "order_info", ["insert"]).select(
         data("province_id").alias("province_id"),
         data("total_amount").cast("decimal(16,2)").alias("amt"), sec_to_ts("ts").alias("row_time"))
@@ -256,7 +294,7 @@ def province_order(cdc: DataFrame, province_dim: DataFrame, out_path: str, size:
                      keys=["province_id"], size_seconds=size)
 
     def sink(batch: DataFrame, bid: int) -> None:
-        e = lookup(batch, province_dim, "province_id", {"name": "province_name"})
+        e = lookup(batch, now(province_dim), "province_id", {"name": "province_name"})
         e = e.select("stt", "edt", "province_id",
                      F.coalesce(F.col("province_name"), F.lit("")).alias("province_name"), "cur_date",
                      "order_count", F.col("order_amount").cast("double").alias("order_amount"))
@@ -272,7 +310,7 @@ def order_pre_process_changelog(cdc: DataFrame, dic: DataFrame,
     of event time (the reference's state TTL as an event-time bound), then
     the dictionary (stream-static).  Append mode: a line without activity
     is emitted once the watermark passes its bound."""
-    from ..plans.trade import PRE_PROCESS_COLS
+    from ..plans.trade import PRE_PROCESS_COLS, arrival
     wm = f"{ttl_seconds} seconds"
     od = (rows_of(cdc, "order_detail", ["insert"]).select(
         *[data(k).alias(k) for k in ("id", "order_id", "sku_id", "sku_name", "create_time", "source_id",
@@ -284,7 +322,7 @@ def order_pre_process_changelog(cdc: DataFrame, dic: DataFrame,
     oi = (rows_of(cdc, "order_info", ["insert", "update"]).select(
         data("id").alias("oi_id"), data("user_id").alias("user_id"),
         data("province_id").alias("province_id"), data("operate_time").alias("operate_time"),
-        data("order_status").alias("order_status"), "type", "old", F.col("ts").alias("oi_ts"),
+        data("order_status").alias("order_status"), "type", "old", F.col("ts").alias("oi_ts"), arrival(cdc),
         sec_to_ts("ts").alias("oi_time")).withWatermark("oi_time", wm))
     act = (rows_of(cdc, "order_detail_activity", ["insert"]).select(
         data("order_detail_id").alias("act_od_id"), data("activity_id").alias("activity_id"),
@@ -298,21 +336,31 @@ def order_pre_process_changelog(cdc: DataFrame, dic: DataFrame,
     j = od.join(act, (od.id == act.act_od_id) & bound("od_time", "act_time"), "leftOuter")
     j = j.join(cou, (j.id == cou.cou_od_id) & bound("od_time", "cou_time"), "leftOuter")
     j = j.join(oi, (j.order_id == oi.oi_id) & bound("od_time", "oi_time"), "inner")
-    j = j.join(dic.select("dic_code", F.col("dic_name").alias("source_type_name")),
-               F.col("source_type") == F.col("dic_code"), "inner")
+    if dic is not None:
+        j = dic_lookup(j, dic, "source_type", "source_type_name")
+    else:  # the sink looks it up
+        j = j.withColumn("source_type_name", F.lit(None).cast("string"))
     j = (j.withColumn("date_id", text_date("create_time"))
           .withColumn("operate_date_id", text_date("operate_time"))
           .withColumn("row_op_ts", F.greatest(F.col("od_time"), F.col("oi_time"))))
-    return j.select(*PRE_PROCESS_COLS, F.col("oi_ts").cast("bigint").alias("arrival"))
+    return j.select(*PRE_PROCESS_COLS, "arrival")
+
 
+def _named(rows: DataFrame, dic: Lookup) -> DataFrame:
+    """Rows with the source type's name in the dictionary as it is now."""
+    return dic_lookup(rows, now(dic), "source_type", "source_type_name").select(*rows.columns)
 
-def order_pre_process(cdc: DataFrame, dic: DataFrame, out_path: str,
+
+def order_pre_process(cdc: DataFrame, dic: Lookup, out_path: str,
                       ttl_seconds: int = JOIN_TTL_ORDER_SECONDS,
                       name: str = "trade_order_pre_process") -> StreamingQuery:
     """K2: the changelog upserted on the detail id (merge-on-read, see
-    :func:`read_pre_process`)."""
-    ch = order_pre_process_changelog(cdc, dic, ttl_seconds)
-    return start(ch, name, lambda b, i: sinks.upsert_batch(b, out_path, i))
+    :func:`read_pre_process`); as a topic, every version of it, from which
+    the order and cancel details are filtered.  The dictionary is looked up
+    as it is at the micro-batch."""
+    ch = order_pre_process_changelog(cdc, None, ttl_seconds)
+    write = rows_to(out_path)
+    return start(ch, name, lambda b, i: write(_named(b, dic), i))
 
 
 def read_pre_process(spark: SparkSession, path: str) -> DataFrame:
@@ -320,25 +368,24 @@ def read_pre_process(spark: SparkSession, path: str) -> DataFrame:
     return sinks.read_upserted(spark, path, ["id"], ["row_op_ts", F.col("oi_ts").cast("bigint"), "arrival"])
 
 
-def order_detail(cdc: DataFrame, dic: DataFrame, out_path: str,
+def order_detail(cdc: DataFrame, dic: Lookup, out_path: str,
                  ttl_seconds: int = JOIN_TTL_ORDER_SECONDS, name: str = "trade_order_detail") -> StreamingQuery:
-    """S3 filter over the pre-process changelog: order placements."""
-    ch = order_pre_process_changelog(cdc, dic, ttl_seconds).filter(F.col("type") == "insert")
-    out = ch.select("id", "order_id", "user_id", "sku_id", "sku_name", "province_id", "activity_id",
-                    "activity_rule_id", "coupon_id", "date_id", "create_time", "source_id",
-                    F.col("source_type").alias("source_type_code"), "source_type_name", "sku_num",
-                    "split_original_amount", "split_activity_amount", "split_coupon_amount",
-                    "split_total_amount", F.col("od_ts").alias("ts"))
-    return start(out, name, lambda b, i: sinks.write_append(b, out_path, "parquet", batch_id=i))
+    """S3 filter over the pre-process changelog: order placements, with the
+    columns of the batch form (T9 orders by the last two)."""
+    from ..plans import trade
+    ch = order_pre_process_changelog(cdc, None, ttl_seconds)
+    write = rows_to(out_path)
+    return start(ch.filter(F.col("type") == "insert"), name, lambda b, i: write(trade.order_detail(_named(b, dic)), i))
 
 
-def cancel_detail(cdc: DataFrame, dic: DataFrame, out_path: str, ttl_seconds: int = JOIN_TTL_ORDER_SECONDS,
+def cancel_detail(cdc: DataFrame, dic: Lookup, out_path: str, ttl_seconds: int = JOIN_TTL_ORDER_SECONDS,
                   name: str = "trade_cancel_detail") -> StreamingQuery:
     """P3 over the pre-process changelog: order lines whose order was
     cancelled, as the batch form selects them."""
     from ..plans import trade
-    out = trade.cancel_detail(order_pre_process_changelog(cdc, dic, ttl_seconds))
-    return start(out, name, lambda b, i: sinks.write_append(b, out_path, "parquet", batch_id=i))
+    ch = order_pre_process_changelog(cdc, None, ttl_seconds)
+    write = rows_to(out_path)
+    return start(ch.filter(F.col("type") == "update"), name, lambda b, i: write(trade.cancel_detail(_named(b, dic)), i))
 
 
 def unique_visitor_detail(page: DataFrame, out_path: str, keep_days: int = 2,
@@ -346,7 +393,7 @@ def unique_visitor_detail(page: DataFrame, out_path: str, keep_days: int = 2,
     """P10 + T2: the first session entry of every (device, day)."""
     entries = page.filter(F.col("last_page_id").isNull())
     out = state.first_per_day(entries, ["mid"], keep_days).drop("seq")
-    return start(out, name, lambda b, i: sinks.write_append(b, out_path, "parquet", batch_id=i))
+    return start(out, name, rows_to(out_path))
 
 
 def _timed(rows: DataFrame, ts: str, time: str, ttl_seconds: int) -> DataFrame:
@@ -357,7 +404,7 @@ def _within(a: str, b: str, ttl_seconds: int):
     return F.expr(f"{b} BETWEEN {a} - INTERVAL {ttl_seconds} SECONDS AND {a} + INTERVAL {ttl_seconds} SECONDS")
 
 
-def pay_detail_suc(order_detail_rows: DataFrame, cdc: DataFrame, dic: DataFrame, out_path: str,
+def pay_detail_suc(order_detail_rows: DataFrame, cdc: DataFrame, dic: Lookup, out_path: str,
                    ttl_seconds: int = JOIN_TTL_ORDER_SECONDS, success_only: bool = False,
                    name: str = "trade_pay_detail_suc") -> StreamingQuery:
     """J3 + J6 + K2: order lines and payments that come within ``ttl_seconds``
@@ -371,15 +418,15 @@ def pay_detail_suc(order_detail_rows: DataFrame, cdc: DataFrame, dic: DataFrame,
                "pi_ts", "pi_time", ttl_seconds)
     od = _timed(order_detail_rows.drop("arrival"), "ts", "od_time", ttl_seconds)
     j = od.join(p, (od.order_id == p.pi_order_id) & _within("od_time", "pi_time", ttl_seconds), "inner")
-    out = trade.pay_columns(dic_lookup(j, dic, "payment_type_code", "payment_type_name"))
-    return start(out, name, lambda b, i: sinks.upsert_batch(b, out_path, i))
+    write = rows_to(out_path)
+    return start(j, name, lambda b, i: write(trade.pay_columns(dic_lookup(b, now(dic), "payment_type_code", "payment_type_name")), i))
 
 
 def read_payments(spark: SparkSession, path: str) -> DataFrame:
     return sinks.read_upserted(spark, path, ["order_detail_id"], [F.col("ts").cast("bigint"), "arrival"]).drop("arrival")
 
 
-def order_refund(cdc: DataFrame, dic: DataFrame, out_path: str, ttl_seconds: int = JOIN_TTL_REFUND_SECONDS,
+def order_refund(cdc: DataFrame, dic: Lookup, out_path: str, ttl_seconds: int = JOIN_TTL_REFUND_SECONDS,
                  name: str = "trade_order_refund") -> StreamingQuery:
     """J4 + J7: refund lines and the refund update of their order, within
     ``ttl_seconds`` of each other."""
@@ -387,10 +434,11 @@ def order_refund(cdc: DataFrame, dic: DataFrame, out_path: str, ttl_seconds: int
     ri, oi = trade.refund_sides(cdc)
     ri, oi = _timed(ri, "ts", "ri_time", ttl_seconds), _timed(oi, "oi_ts", "oi_time", ttl_seconds)
     j = ri.join(oi, (ri.order_id == oi.oi_id) & _within("ri_time", "oi_time", ttl_seconds), "inner")
-    return start(trade.refund_columns(j, dic), name, lambda b, i: sinks.write_append(b, out_path, "parquet", batch_id=i))
+    write = rows_to(out_path)
+    return start(j, name, lambda b, i: write(trade.refund_columns(b, now(dic)), i))
 
 
-def refund_pay_suc(cdc: DataFrame, dic: DataFrame, out_path: str, ttl_seconds: int = JOIN_TTL_REFUND_SECONDS,
+def refund_pay_suc(cdc: DataFrame, dic: Lookup, out_path: str, ttl_seconds: int = JOIN_TTL_REFUND_SECONDS,
                    strict: bool = False, name: str = "trade_refund_pay_suc") -> StreamingQuery:
     """J5 + J6: refund payment, order and refund line, each within
     ``ttl_seconds`` of the payment."""
@@ -400,16 +448,17 @@ def refund_pay_suc(cdc: DataFrame, dic: DataFrame, out_path: str, ttl_seconds: i
                   _timed(ri, "ri_ts", "ri_time", ttl_seconds))
     j = rp.join(oi, (rp.order_id == oi.oi_id) & _within("rp_time", "oi_time", ttl_seconds), "inner")
     j = j.join(ri, (j.order_id == ri.ri_order_id) & (j.sku_id == ri.ri_sku_id) & _within("rp_time", "ri_time", ttl_seconds), "inner")
-    return start(trade.refund_pay_columns(j, dic), name, lambda b, i: sinks.write_append(b, out_path, "parquet", batch_id=i))
+    write = rows_to(out_path)
+    return start(j, name, lambda b, i: write(trade.refund_pay_columns(b, now(dic)), i))
 
 
-def trade_sku_order(order_detail_rows: DataFrame, dims: dict, out_path: str, size: int = WINDOW_SECONDS,
+def trade_sku_order(order_detail_rows: DataFrame, dims: Dims, out_path: str, size: int = WINDOW_SECONDS,
                     watermark_seconds: int = 5, name: str = "dws_trade_sku_order") -> StreamingQuery:
     """P14 + T9 + W1/W4 + A3 + J9.  All versions of a detail id share its
     ``ts``, so T9 is a window aggregation too: latest version per (window,
     id) by (row_op_ts, arrival), then sums per (window, sku).  The chain of
     two window aggregations runs in append mode; the enrichment joins the
-    static dimensions per micro-batch."""
+    dimensions as they are at the micro-batch."""
     d = order_detail_rows.filter(F.col("user_id").isNotNull() & F.col("source_type_name").isNotNull())
     d = (d.withColumn("row_time", sec_to_ts("ts")).withWatermark("row_time", f"{watermark_seconds} seconds"))
     dec = lambda c: F.coalesce(F.col(c).cast("decimal(16,2)"), F.lit(0).cast("decimal(16,2)"))
@@ -428,7 +477,7 @@ def trade_sku_order(order_detail_rows: DataFrame, dims: dict, out_path: str, siz
 
     def sink(batch: DataFrame, bid: int) -> None:
         from ..operators.enrich import snowflake_sku
-        e = snowflake_sku(batch, dims, "sku_id")
+        e = snowflake_sku(batch, now(dims), "sku_id")
         e = e.select("stt", "edt", "trademark_id", "trademark_name", "category1_id", "category1_name",
                      "category2_id", "category2_name", "category3_id", "category3_name", "sku_id", "sku_name",
                      "spu_id", "spu_name", "cur_date",
@@ -439,21 +488,22 @@ def trade_sku_order(order_detail_rows: DataFrame, dims: dict, out_path: str, siz
     return start(g, name, sink, mode="append")
 
 
-def refund_tm_category_user(refund_rows: DataFrame, dims: dict, out_path: str, size: int = WINDOW_SECONDS,
+def refund_tm_category_user(refund_rows: DataFrame, dims: Dims, out_path: str, size: int = WINDOW_SECONDS,
                             name: str = "dws_refund_tm_category_user") -> StreamingQuery:
     """J10 + W1/W3 + A5: trademark / category3 (stream-static join before the
-    aggregation, they are group keys), distinct orders as
-    ``size(collect_set)`` (streaming count-distinct is not supported), rest
-    of the snowflake per micro-batch; update mode, upserted."""
+    aggregation, they are group keys: as the skus are at the start), distinct
+    orders as ``size(collect_set)`` (streaming count-distinct is not
+    supported), rest of the snowflake as it is at the micro-batch; update
+    mode, upserted."""
     from ..operators.enrich import snowflake_sku
     r = lookup(refund_rows.select("order_id", "user_id", "sku_id", sec_to_ts("ts").alias("row_time")),
-               dims["sku_info"], "sku_id", {"tm_id": "trademark_id", "category3_id": "category3_id"})
+               now(dims)["sku_info"], "sku_id", {"tm_id": "trademark_id", "category3_id": "category3_id"})
     g = tumbling_agg(r.withWatermark("row_time", "0 seconds"),
                      {"refund_count": F.size(F.collect_set("order_id")).cast("bigint")},
                      keys=["trademark_id", "category3_id", "user_id"], size_seconds=size)
 
     def sink(batch: DataFrame, bid: int) -> None:
-        e = snowflake_sku(batch, dims, with_sku=False)
+        e = snowflake_sku(batch, now(dims), with_sku=False)
         e = e.select("stt", "edt", "trademark_id", "trademark_name", "category1_id", "category1_name",
                      "category2_id", "category2_name", "category3_id", "category3_name", "user_id",
                      "cur_date", "refund_count")
@@ -489,14 +539,33 @@ def user_register(register_rows: DataFrame, out_path: str, size: int = WINDOW_SE
 def trade_payment(pay_rows: DataFrame, out_path: str, tz: str = "UTC", size: int = WINDOW_SECONDS,
                   name: str = "dws_trade_payment") -> StreamingQuery:
     """T7 + A7: the payment form of :func:`trade_unique_new`."""
-    rows = pay_rows.select("user_id", (F.col("ts").cast("bigint") * 1000).alias("ts"),
-                           F.xxhash64("order_detail_id").alias("seq"))
+    rows = pay_rows.select("user_id", (F.col("ts").cast("bigint") * 1000).alias("ts"))
     return trade_unique_new(rows, out_path, "payment_suc_unique_user_count", "payment_suc_new_user_count",
                             tz, size, name)
 
 
-def dim_sink(cdc: DataFrame, config: DataFrame | Callable[[], DataFrame], out_path: str,
-             name: str = "dim_sink") -> StreamingQuery:
+def changes(lines: DataFrame, rows: Callable[[DataFrame], DataFrame], write: Callable[[DataFrame, int], None],
+            dirty_path: str, name: str) -> StreamingQuery:
+    """A job that maps change records, straight from the topic's lines: one
+    parse feeds the rows and the dirty lines (Q11), which are written under
+    ``dirty_path``, with one checkpoint.  ``rows`` is applied to each
+    micro-batch, so lookups inside it are as fresh as it makes them."""
+    write_dirty = rows_to(dirty_path)
+
+    def sink(batch: DataFrame, bid: int) -> None:
+        batch = cdc_flagged(batch).persist()
+        try:
+            records, dirty = cdc_split(batch)
+            write(rows(records), bid)
+            if not dirty.isEmpty():
+                write_dirty(dirty, bid)
+        finally:
+            batch.unpersist()
+
+    return start(lines, name, sink)
+
+
+def dim_sink(cdc: DataFrame, config: Lookup, out_path: str, name: str = "dim_sink") -> StreamingQuery:
     """S2 + S6 + P6 + J12 + P7 + T10 + K4: dimension change records,
     whitelisted and stored with their type and time; :func:`read_dims` folds
     them by the rule of the batch form, deletes included.  ``config`` may be
@@ -504,11 +573,7 @@ def dim_sink(cdc: DataFrame, config: DataFrame | Callable[[], DataFrame], out_pa
     changed or removed in the configuration take effect while the job runs
     (for the changes that come after, as in the reference)."""
     from ..operators import dims as dimops
-
-    def sink(batch: DataFrame, bid: int) -> None:
-        sinks.upsert_batch(dimops.dim_changes(batch, config() if callable(config) else config), out_path, bid)
-
-    return start(cdc, name, sink)
+    return start(cdc, name, lambda b, i: sinks.upsert_batch(dimops.dim_changes(b, now(config)), out_path, i))
 
 
 def read_dims(spark: SparkSession, path: str, apply_deletes: bool = False) -> DataFrame:

@@ -9,7 +9,7 @@ order.  Dates use the zone passed in (the session time zone).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -33,13 +33,17 @@ def _sorted(pdfs: Iterator[pd.DataFrame]) -> pd.DataFrame:
 
 # ----------------------------------------------------------- T1 new visitor --
 def repair_new_flag(df: DataFrame, tz: str = "UTC") -> DataFrame:
-    """T1 stream: input ``mid, ts, seq, is_new, record``; output ``record,
-    is_new`` with the repaired flag.  State: the device's first-visit date."""
+    """T1 stream: input ``mid, dirty, ts, seq, is_new, record``; output
+    ``dirty, record, is_new`` with the repaired flag.  State: the device's
+    first-visit date.  Groups of dirty lines pass as they are."""
 
     def fn(key, pdfs, state: GroupState):
         p = _sorted(pdfs)
         if p.empty:
             return
+        if p["dirty"].iloc[0]:
+            yield p[["dirty", "record", "is_new"]]
+            return
         day = _dates(p["ts"], tz)
         if state.exists:
             first = state.get[0]
@@ -48,10 +52,10 @@ def repair_new_flag(df: DataFrame, tz: str = "UTC") -> DataFrame:
             first = day.iloc[0] if p["is_new"].iloc[0] == "1" else (d0 - pd.Timedelta(days=1)).strftime("%Y-%m-%d")
             state.update((first,))
         fixed = p["is_new"].mask((p["is_new"] == "1") & (day != first), "0")
-        yield pd.DataFrame({"record": p["record"].values, "is_new": fixed.values})
+        yield pd.DataFrame({"dirty": False, "record": p["record"].values, "is_new": fixed.values})
 
     return df.groupBy("mid").applyInPandasWithState(
-        fn, "record string, is_new string", "first_dt string", "append", GroupStateTimeout.NoTimeout)
+        fn, "dirty boolean, record string, is_new string", "first_dt string", "append", GroupStateTimeout.NoTimeout)
 
 
 # ---------------------------------------------------------------- T3 bounce --
@@ -114,56 +118,81 @@ def first_per_day(df: DataFrame, keys: list[str], keep_days: int = 2) -> DataFra
             .dropDuplicates([*keys, "_day"]).drop("_day"))
 
 
-# ------------------------------------------------------- T5 login / back user --
-def _prev_days(day: pd.Series, last: str | None) -> pd.Series:
-    """The previous row's day, the state's day in front of the first row."""
-    return day.shift(1, fill_value=last) if last is not None else day.shift(1)
+# -------------------------------------------------- T5-T7 days of a user --
+Table = dict[int, int]  # day -> time of its first row (ms)
 
 
-def login_flags(df: DataFrame, back_days: int = 8, tz: str = "UTC") -> DataFrame:
-    """T5 stream: input ``uid, ts, seq``; output ``ts, uu_ct, back_ct`` for
-    each first login of a day.  State: the last login date.  Rows are in
-    event order, so a row opens a new day when its day differs from the
-    previous row's; that previous day is the last login day."""
+def _epoch_days(ms: pd.Series, tz: str) -> pd.Series:
+    return (pd.to_datetime(_dates(ms, tz)) - pd.Timestamp(0)).dt.days
 
-    def fn(k, pdfs, state: GroupState):
-        p = _sorted(pdfs)
-        if p.empty:
-            return
-        day = _dates(p["ts"], tz).reset_index(drop=True)
-        prev = _prev_days(day, state.get[0] if state.exists else None)
-        new_day = (day != prev) | prev.isna()
-        gap = (pd.to_datetime(day) - pd.to_datetime(prev)).dt.days
-        back = (new_day & prev.notna() & (gap >= back_days)).astype("int64")
-        state.update((day.iloc[-1],))
-        m = new_day.to_numpy()
-        yield pd.DataFrame({"ts": p["ts"].astype("int64").to_numpy()[m], "uu_ct": 1,
-                            "back_ct": back.to_numpy()[m]})
-
-    return df.groupBy("uid").applyInPandasWithState(
-        fn, "ts long, uu_ct long, back_ct long", "last_dt string", "append",
-        GroupStateTimeout.NoTimeout)
-
-
-# --------------------------------------------------- T6 / T7 unique + new --
-def unique_new_flags(df: DataFrame, tz: str = "UTC") -> DataFrame:
-    """T6 / T7 stream: input ``user_id, ts, seq``; output ``ts, uu, new`` for
-    every row (zero rows kept).  State: the last active date."""
-
-    def fn(k, pdfs, state: GroupState):
-        p = _sorted(pdfs)
-        if p.empty:
-            return
-        day = _dates(p["ts"], tz).reset_index(drop=True)
-        seen = state.exists
-        prev = _prev_days(day, state.get[0] if seen else None)
-        uu = ((day != prev) | prev.isna()).astype("int64")
-        new = pd.Series(0, index=day.index, dtype="int64")
-        if not seen:
-            new.iloc[0] = 1
-        state.update((day.iloc[-1],))
-        yield pd.DataFrame({"ts": p["ts"].astype("int64").to_numpy(), "uu": uu.to_numpy(),
-                            "new": new.to_numpy()})
-
-    return df.groupBy("user_id").applyInPandasWithState(
-        fn, "ts long, uu long, new long", "last_dt string", "append", GroupStateTimeout.NoTimeout)
+
+def _by_day(df: DataFrame, key: str, flags: Callable[[int | None, int | None, Table], dict[int, tuple[int, int]]],
+            names: tuple[str, str], keep_days: int, tz: str, every_row: bool) -> DataFrame:
+    """Flags that depend on a user's days, right in whatever order rows come.
+
+    State: the first time of each recent day, the first time ever and the
+    last day that has left.  ``flags`` gives what a user's days contribute
+    at which times; a row that comes late changes that, and the difference
+    is emitted, taken back where it no longer holds (-1), so the sums per
+    window are those of the batch form.  A day leaves the state once the
+    watermark, ``keep_days`` behind, is past it: later rows of it are too
+    late and dropped.  The first time ever stays.  ``every_row`` also emits
+    a row of zeros for each input row."""
+    out = f"ts long, {names[0]} long, {names[1]} long"
+
+    def fn(key, pdfs, state: GroupState):
+        ever, left, days, times = state.get if state.exists else (None, None, [], [])
+        table = dict(zip(days, times))
+        zeros = []
+        if not state.hasTimedOut:
+            before = flags(ever, left, table)
+            for p in pdfs:
+                if not len(p):
+                    continue
+                if every_row:
+                    zeros.append(p["ts"].astype("int64"))
+                for day, ts in p["ts"].groupby(_epoch_days(p["ts"], tz)).min().items():
+                    table[int(day)] = min(int(ts), table.get(int(day), int(ts)))
+                    ever = int(ts) if ever is None else min(ever, int(ts))
+            after = flags(ever, left, table)
+            none = (0, 0)
+            change = {t: tuple(x - y for x, y in zip(after.get(t, none), before.get(t, none))) for t in after.keys() | before.keys()}
+            moved = [(t, *c) for t, c in change.items() if any(c)] + [(int(t), 0, 0) for z in zeros for t in z]
+            yield pd.DataFrame(moved, columns=["ts", *names]).astype("int64")
+        now = state.getCurrentWatermarkMs()
+        if now > 0:
+            past = int(_epoch_days(pd.Series([now]), tz)[0])
+            gone = [d for d in table if d < past]
+            left = max([*gone, *([left] if left is not None else [])], default=None)
+            table = {d: t for d, t in table.items() if d >= past}
+        state.update((ever, left, sorted(table), [table[d] for d in sorted(table)]))
+        if table:  # look again when the watermark has passed its first day
+            state.setTimeoutTimestamp(max((min(table) + 2) * 86_400_000, now + 1))
+
+    rows = df.withColumn("row_time", F.timestamp_millis("ts")).withWatermark("row_time", f"{keep_days} days")
+    return rows.select(key, "ts", "row_time").groupBy(key).applyInPandasWithState(
+        fn, out, "ever long, left int, days array<int>, times array<long>", "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def login_flags(df: DataFrame, back_days: int = 8, tz: str = "UTC", keep_days: int = 2) -> DataFrame:
+    """T5 stream: input ``uid, ts``; output ``ts, uu_ct, back_ct``: the first
+    login of a day, returning if the login day before is ``back_days`` or
+    more ago (see :func:`_by_day` for rows out of order)."""
+    def flags(ever: int | None, left: int | None, table: Table) -> dict[int, tuple[int, int]]:
+        found, before = {}, left
+        for day in sorted(table):
+            found[table[day]] = (1, int(before is not None and day - before >= back_days))
+            before = day
+        return found
+
+    return _by_day(df, "uid", flags, ("uu_ct", "back_ct"), keep_days, tz, every_row=False)
+
+
+def unique_new_flags(df: DataFrame, tz: str = "UTC", keep_days: int = 2) -> DataFrame:
+    """T6 / T7 stream: input ``user_id, ts``; output ``ts, uu, new``: the
+    first row of a day, new if it is the user's first ever, and a row of
+    zeros for each input row (see :func:`_by_day`)."""
+    def flags(ever: int | None, left: int | None, table: Table) -> dict[int, tuple[int, int]]:
+        return {ts: (1, int(ts == ever)) for ts in table.values()}
+
+    return _by_day(df, "user_id", flags, ("uu", "new"), keep_days, tz, every_row=True)
