@@ -417,7 +417,7 @@ def pay_detail_suc(order_detail_rows: DataFrame, cdc: DataFrame, dic: Lookup, ou
                         data("callback_time").alias("callback_time"), F.col("ts").alias("pi_ts"), trade.arrival(cdc)),
                "pi_ts", "pi_time", ttl_seconds)
     od = _timed(order_detail_rows.drop("arrival"), "ts", "od_time", ttl_seconds)
-    j = od.join(p, (od.order_id == p.pi_order_id) & _within("od_time", "pi_time", ttl_seconds), "inner")
+    j = od.join(p, (od.order_id == p.pi_order_id) & _within("od_time", "pi_time", ttl_seconds), "inner").drop("od_time", "pi_time")
     write = rows_to(out_path)
     return start(j, name, lambda b, i: write(trade.pay_columns(dic_lookup(b, now(dic), "payment_type_code", "payment_type_name")), i))
 
@@ -433,7 +433,7 @@ def order_refund(cdc: DataFrame, dic: Lookup, out_path: str, ttl_seconds: int =
     from ..plans import trade
     ri, oi = trade.refund_sides(cdc)
     ri, oi = _timed(ri, "ts", "ri_time", ttl_seconds), _timed(oi, "oi_ts", "oi_time", ttl_seconds)
-    j = ri.join(oi, (ri.order_id == oi.oi_id) & _within("ri_time", "oi_time", ttl_seconds), "inner")
+    j = ri.join(oi, (ri.order_id == oi.oi_id) & _within("ri_time", "oi_time", ttl_seconds), "inner").drop("ri_time", "oi_time")
     write = rows_to(out_path)
     return start(j, name, lambda b, i: write(trade.refund_columns(b, now(dic)), i))
 
@@ -446,8 +446,8 @@ def refund_pay_suc(cdc: DataFrame, dic: Lookup, out_path: str, ttl_seconds: int
     rp, oi, ri = trade.refund_pay_sides(cdc, strict)
     rp, oi, ri = (_timed(rp, "ts", "rp_time", ttl_seconds), _timed(oi, "oi_ts", "oi_time", ttl_seconds),
                   _timed(ri, "ri_ts", "ri_time", ttl_seconds))
-    j = rp.join(oi, (rp.order_id == oi.oi_id) & _within("rp_time", "oi_time", ttl_seconds), "inner")
-    j = j.join(ri, (j.order_id == ri.ri_order_id) & (j.sku_id == ri.ri_sku_id) & _within("rp_time", "ri_time", ttl_seconds), "inner")
+    j = rp.join(oi, (rp.order_id == oi.oi_id) & _within("rp_time", "oi_time", ttl_seconds), "inner").drop("oi_time")
+    j = j.join(ri, (j.order_id == ri.ri_order_id) & (j.sku_id == ri.ri_sku_id) & _within("rp_time", "ri_time", ttl_seconds), "inner").drop("rp_time", "ri_time")
     write = rows_to(out_path)
     return start(j, name, lambda b, i: write(trade.refund_pay_columns(b, now(dic)), i))
 
