@@ -305,3 +305,46 @@ def test_lookups_are_as_fresh_as_the_micro_batch(spark):
     assert rows(spark.read.parquet(f"{root}/province"), "stt", "province_name") == [("1970-01-01 00:16:40", "old"), ("1970-01-01 00:33:20", "new")]
     assert rows(spark.read.parquet(f"{root}/cart_dirty"), "line") == [('{"type": "insert"}',), ("{broken",)]
     assert sorted(os.listdir(f"{root}/dic")) == ["v=3", "v=4"]
+
+
+def parts_of(path):
+    return {os.path.join(d, f) for d, _, fs in os.walk(f"{path}/_folded") for f in fs if f.endswith(".parquet")}
+
+
+def test_a_fold_touches_only_changed_buckets(spark):
+    path, schema = folder() + "/table", "k string, ts long, v string"
+    keys = [f"k{i}" for i in range(200)]
+    sinks.upsert_batch(spark.createDataFrame([(k, 1, "old") for k in keys], schema), path, 0)
+    assert sinks.fold(spark, path, ["k"], ["ts"]) == 0
+    before = parts_of(path)
+    during = sinks.read_upserted(spark, path, ["k"], ["ts"])  # planned before the next fold, read after it
+    sinks.upsert_batch(spark.createDataFrame([("k7", 2, "new"), ("k8", 0, "stale")], schema), path, 1)
+    assert sinks.fold(spark, path, ["k"], ["ts"]) == 1
+    written = parts_of(path) - before
+    assert 1 <= len({f.split("/p=")[1].split("/")[0] for f in written}) <= 2  # two keys: two of 16 buckets at most
+    assert rows(during) == sorted([(k, 1, "old") for k in keys], key=repr)
+    want = sorted([(k, *((2, "new") if k == "k7" else (1, "old"))) for k in keys], key=repr)
+    assert rows(sinks.read_upserted(spark, path, ["k"], ["ts"])) == want
+    # A fold that was cut off before its manifest leaves the table as it was, and is done over.
+    sinks.upsert_batch(spark.createDataFrame([("k9", 5, "newer")], schema), path, 2)
+    spark.createDataFrame([("junk", 9, "x", 2)], schema + ", batch_id long").write.parquet(f"{path}/_folded/v=2/p=3")
+    want = sorted([(k, 5, "newer") if k == "k9" else (k, ts, v) for k, ts, v in want], key=repr)
+    assert rows(sinks.read_upserted(spark, path, ["k"], ["ts"])) == want
+    assert sinks.fold(spark, path, ["k"], ["ts"]) == 2 == sinks.fold(spark, path, ["k"], ["ts"])
+    sinks.upsert_batch(spark.createDataFrame([("k9", 5, "newer")], schema), path, 2)  # replayed
+    assert rows(sinks.read_upserted(spark, path, ["k"], ["ts"])) == want
+
+
+def test_a_metric_table_folds_into_its_dates(spark):
+    """K5: however many triggers, a date has a few files, and sums stay."""
+    out, days = folder() + "/out", 3
+    batches = [[(f"u{k}{i}", ms(10 + k % days, 7 * i), 0) for i in range(5)] for k in range(12)]
+    schema = "user_id string, ts long, seq long"
+    with runtime.settings(fold_every=3):
+        jobs.trade_unique_new(feed(spark, folder(), batches, schema), out, *UU, name="r_fold", keep_days=30).awaitTermination()
+    want = metrics._unique_new_window(spark.createDataFrame([r for b in batches for r in b], schema), *UU, 10)
+    assert rows(jobs.read_partial_windows(spark, out, [], UU).select(*want.columns)) == rows(want)
+    left = [d for d in os.listdir(out) if d.startswith("batch_id")]
+    assert len(left) <= 3 and len(sinks.children(spark, f"{out}/_manifest", "n=")) <= 2
+    live = {f for f in sinks.read_changes(spark, out).inputFiles() if "/_folded/" in f}
+    assert len(live) <= 4 * days and len({f.split("/p=")[1].split("/")[0] for f in live}) == days

@@ -8,11 +8,13 @@ duplicating them; readers fold the change files to the latest row per key.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.keyed import latest_rows
 
@@ -83,54 +85,130 @@ def children(spark: SparkSession, path: str, prefix: str) -> dict[int, object]:
     return found
 
 
-def _snapshot(spark: SparkSession, path: str) -> tuple[int, str] | None:
-    """The newest complete snapshot of a keyed table: last batch in it, path."""
-    done = {n: p for n, p in children(spark, f"{path}/_snapshots", "upto=").items() if exists(spark, f"{p}/_SUCCESS")}
-    return (max(done), done[max(done)].toString()) if done else None
+# ------------------------------------------------------- tables of streams --
+# A stream's table is what its micro-batches wrote (``batch_id=N`` folders)
+# and, for the older ones, folded rows in parts: the date a row belongs to, or
+# a bucket of its key.  A manifest names the folder of every part and the last
+# batch in it.  A fold reads and writes only the parts that its batches touch
+# and then adds the next manifest by one rename, so readers see either all of
+# it or nothing.
+
+def _manifest(spark: SparkSession, path: str) -> dict | None:
+    """The newest manifest."""
+    found = children(spark, f"{path}/_manifest", "n=")
+    if not found:
+        return None
+    return json.loads(spark.read.text(found[max(found)].toString(), wholetext=True).first().value)
+
+
+def _switch(spark: SparkSession, path: str, manifest: dict) -> None:
+    """Make ``manifest`` the newest one, in one step."""
+    final = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_manifest/n={manifest['version']}")
+    aside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_manifest/_{uuid.uuid4().hex}")
+    fs = final.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(aside)
+    out.write(bytearray(json.dumps(manifest).encode()))
+    out.close()
+    if not fs.rename(aside, final):
+        raise OSError(f"could not move {aside} to {final}")
+
+
+def _batches(spark: SparkSession, path: str, numbers: Sequence[int], schema: T.StructType | None = None) -> DataFrame:
+    r = spark.read.option("basePath", path)
+    df = (r if schema is None else r.schema(schema)).parquet(*[f"{path}/batch_id={n}" for n in numbers])
+    return df.withColumn("batch_id", F.col("batch_id").cast("long"))
+
+
+def _part_paths(path: str, manifest: dict, parts: Sequence[str]) -> list[str]:
+    return [f"{path}/_folded/v={manifest['parts'][p]}/p={p}" for p in parts if p in manifest["parts"]]
 
 
 def read_changes(spark: SparkSession, path: str) -> DataFrame:
-    """The rows a reader of a keyed table has to fold: the newest snapshot
-    and the batches after it, with ``batch_id``."""
+    """The rows a reader of a stream's table has to merge: the folded parts
+    and the batches after them, with ``batch_id``."""
     path = path.rstrip("/")
-    snap = _snapshot(spark, path)
-    if snap is None:
+    m = _manifest(spark, path)
+    if m is None:
         return spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("long"))
-    base = spark.read.parquet(snap[1])
-    later = [n for n in children(spark, path, "batch_id=") if n > snap[0]]
-    if not later:
-        return base
-    new = spark.read.schema(base.schema).option("basePath", path).parquet(*[f"{path}/batch_id={n}" for n in sorted(later)])
-    return base.unionByName(new)
+    schema = T.StructType.fromJson(m["schema"])
+    base = spark.read.schema(schema).parquet(*_part_paths(path, m, list(m["parts"])))
+    later = [n for n in children(spark, path, "batch_id=") if n > m["upto"]]
+    return base.unionByName(_batches(spark, path, sorted(later), schema)) if later else base
+
+
+def merged(rows: DataFrame, keys: Sequence[str], order: Sequence[str | Column] = (), measures: Sequence[str] = ()) -> DataFrame:
+    """One row per key: the sums of ``measures``, or without them the latest
+    row by ``order``, ties and tables without an order by the later batch."""
+    if not measures:
+        return latest_rows(rows, list(keys), [*order, "batch_id"])
+    types = dict(rows.dtypes)
+    return rows.groupBy(*keys).agg(*[F.sum(m).cast(types[m]).alias(m) for m in measures], F.max("batch_id").alias("batch_id")).select(*rows.columns)
 
 
 def read_upserted(spark: SparkSession, path: str, keys: Sequence[str],
                   order: Sequence[str | Column] = ()) -> DataFrame:
-    """The current state of a keyed table: the latest row per key by ``order``
-    (the rule the batch form uses), ties and tables without an order by the
-    later batch."""
-    return latest_rows(read_changes(spark, path), list(keys), [*order, "batch_id"]).drop("batch_id")
+    """The current state of a keyed table (the rule the batch form uses)."""
+    return merged(read_changes(spark, path), keys, order).drop("batch_id")
+
+
+def read_sums(spark: SparkSession, path: str, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """An additive table: the sums per key over all its batches."""
+    return merged(read_changes(spark, path), keys, measures=measures).drop("batch_id")
+
+
+def fold(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str | Column] = (), measures: Sequence[str] = (),
+         part: str | None = None, buckets: int = 16, files: int = 4, drop_folded: bool = False) -> int:
+    """Fold the batches of a stream's table into its parts; returns the last
+    batch in them (-1: there is none).
+
+    ``part`` is the column that tells a row's part, such as the date; without
+    it rows are dealt over ``buckets`` by the hash of their key (the first
+    fold's number stays).  Only parts that new batches touch are read and
+    written, each as ``files`` files at most.  A batch that is replayed
+    after it was folded changes nothing.  The folders that the newest two
+    manifests don't need are removed, so a reader that began before a fold
+    keeps its files until the fold after it; ``drop_folded`` removes all
+    folded batches at once, for when no reader works.  One writer at a time."""
+    path = path.rstrip("/")
+    m = _manifest(spark, path)
+    later = sorted(n for n in children(spark, path, "batch_id=") if m is None or n > m["upto"])
+    if later:
+        new = _batches(spark, path, later, T.StructType.fromJson(m["schema"]) if m else None)
+        buckets = m["buckets"] if m else buckets
+        at = F.coalesce(F.col(part).cast("string"), F.lit("none")) if part else F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("string")
+        touched = sorted(r.p for r in new.select(at.alias("p")).distinct().collect())  # dates or buckets
+        base = _part_paths(path, m, touched) if m else []
+        rows = spark.read.schema(new.schema).parquet(*base).unionByName(new) if base else new
+        version = m["version"] + 1 if m else 0
+        (merged(rows, keys, order, measures).withColumn("p", at).repartition("p", F.pmod(F.xxhash64(*keys), F.lit(files)))
+         .write.mode("overwrite").partitionBy("p").parquet(f"{path}/_folded/v={version}"))
+        before, m = m, {"version": version, "upto": later[-1], "buckets": buckets, "schema": json.loads(new.schema.json()),
+                        "parts": {**(m["parts"] if m else {}), **{p: version for p in touched}}}
+        _switch(spark, path, m)
+        _clean(spark, path, [x for x in (before, m) if x], before["upto"] if before else -1)
+    if drop_folded and m:
+        _clean(spark, path, [m], m["upto"])
+    return m["upto"] if m else -1
+
+
+def _clean(spark: SparkSession, path: str, manifests: Sequence[dict], upto: int) -> None:
+    """Remove what these manifests don't need, and batches up to ``upto``."""
+    used = {(v, p) for m in manifests for p, v in m["parts"].items()}
+    gone = [p for n, p in children(spark, path, "batch_id=").items() if n <= upto]
+    gone += [p for n, p in children(spark, f"{path}/_manifest", "n=").items() if n < min(m["version"] for m in manifests)]
+    for v, folder in children(spark, f"{path}/_folded", "v=").items():
+        fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        own = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("p=")]
+        unused = [p for p in own if (v, p.getName()[2:]) not in used]
+        gone += unused if len(unused) < len(own) else [folder]
+    for p in gone:
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def compact(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str | Column] = (),
             drop_folded: bool = False) -> int:
-    """Fold all batches of a keyed table into a snapshot of one row per key;
-    returns the last batch in it.  Readers take the snapshot and later
-    batches, so their cost follows the keys, not the number of batches.  A
-    replayed batch after it is folded again and changes nothing.  With
-    ``drop_folded`` the batch folders in the snapshot are removed once it is
-    complete; run that only while no reader still works on them."""
-    path = path.rstrip("/")
-    snap = _snapshot(spark, path)
-    last = max([*children(spark, path, "batch_id="), snap[0] if snap else -1])
-    if snap is None or last > snap[0]:
-        rows = latest_rows(read_changes(spark, path), list(keys), [*order, "batch_id"])
-        rows.write.mode("overwrite").parquet(f"{path}/_snapshots/upto={last}")
-    if drop_folded:
-        for n, p in children(spark, path, "batch_id=").items():
-            if n <= last:
-                p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-    return last
+    """Fold a keyed table by the buckets of its keys (see :func:`fold`)."""
+    return fold(spark, path, keys, order, drop_folded=drop_folded)
 
 
 def multi_route(batch: DataFrame, routes: Callable[[DataFrame], dict[str, DataFrame]],

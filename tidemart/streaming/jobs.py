@@ -61,6 +61,24 @@ def rows_to(path: str) -> Callable[[DataFrame, int], None]:
     return lambda batch, bid: sinks.write_append(batch, path, "parquet", batch_id=bid)
 
 
+def table_at(path: str, keys: list[str], order=(), measures=(), part: str | None = "cur_date") -> Callable[[DataFrame, int], None]:
+    """The sink of a job that keeps a table: every micro-batch is written once
+    into its own folder, and every few of them the job folds them into the
+    parts (dates, or buckets of the key) they belong to."""
+    every = runtime.current().fold_every
+
+    def write(batch: DataFrame, bid: int) -> None:
+        sinks.write_append(batch, path, "parquet", batch_id=bid)
+        if every and (bid + 1) % every == 0:
+            sinks.fold(batch.sparkSession, path, keys, order, measures, part)
+
+    return write
+
+
+WINDOW = ["stt", "edt", "cur_date"]
+DIM_KEY, DIM_ORDER = ["sink_table", "id"], ["ts"]
+
+
 def now(table):
     """A lookup table as it is at this micro-batch."""
     return table() if callable(table) else table
@@ -76,8 +94,8 @@ def read_partial_windows(spark: SparkSession, path: str, keys: list[str], measur
                          drop_zero: bool = False) -> DataFrame:
     """The metric table from partial window rows: sums per (window, keys);
     ``drop_zero`` leaves out windows whose counts were all taken back."""
-    p = spark.read.parquet(path)
-    out = p.groupBy("stt", "edt", "cur_date", *keys).agg(*[F.sum(m).cast("bigint").alias(m) for m in measures])
+    out = sinks.read_sums(spark, path, [*WINDOW, *keys], measures).select(
+        *WINDOW, *keys, *[F.col(m).cast("bigint").alias(m) for m in measures])
     return out.filter(" OR ".join(f"{m} <> 0" for m in measures)) if drop_zero else out
 
 
@@ -131,6 +149,7 @@ def home_detail_uv(page: DataFrame, out_path: str, tz: str = "UTC", size: int =
     """P11 + T4 state + per-batch partial windows."""
     p = page.filter(F.col("page_id").isin(PAGE_HOME, PAGE_GOOD_DETAIL)).select("mid", "page_id", "ts", "seq")
     firsts = state.first_per_day(p, ["mid", "page_id"])
+    write = table_at(out_path, WINDOW, measures=["home_uv_ct", "good_detail_uv_ct"])
 
     def sink(batch: DataFrame, bid: int) -> None:
         flags = batch.select("ts", (F.col("page_id") == PAGE_HOME).cast("bigint").alias("home"),
@@ -138,7 +157,7 @@ def home_detail_uv(page: DataFrame, out_path: str, tz: str = "UTC", size: int =
         part = tumbling_agg(with_event_time(flags), {"home_uv_ct": F.sum("home").cast("bigint"),
                                                      "good_detail_uv_ct": F.sum("detail").cast("bigint")},
                             size_seconds=size)
-        sinks.write_append(part, out_path, "parquet", batch_id=bid)
+        write(part, bid)
 
     return start(firsts, name, sink)
 
@@ -148,11 +167,12 @@ def trade_unique_new(rows: DataFrame, out_path: str, uu: str, new: str, tz: str
     """T6 / T7 state + per-batch partial windows; windows with events but no
     unique user still get a 0/0 row.  Rows up to ``keep_days`` late count."""
     flags = state.unique_new_flags(rows.select("user_id", "ts"), tz, keep_days)
+    write = table_at(out_path, WINDOW, measures=[uu, new])
 
     def sink(batch: DataFrame, bid: int) -> None:
         part = tumbling_agg(with_event_time(batch), {uu: F.sum("uu").cast("bigint"),
                                                      new: F.sum("new").cast("bigint")}, size_seconds=size)
-        sinks.write_append(part, out_path, "parquet", batch_id=bid)
+        write(part, bid)
 
     return start(flags, name, sink)
 
@@ -178,14 +198,16 @@ def traffic_vc_ch_ar_is_new(page: DataFrame, out_root: str, tz: str = "UTC", siz
                   F.coalesce(F.col("during_time"), F.lit(0)).cast("bigint").alias("dur")))
     pv = tumbling_agg(pv, {"sv_ct": F.sum("sv").cast("bigint"), "pv_ct": F.count(F.lit(1)).cast("bigint"),
                            "dur_sum": F.sum("dur").cast("bigint")}, keys=keys, size_seconds=size)
-    q_pv = start(pv, f"{name}_pv", lambda b, i: sinks.upsert_batch(b, f"{out_root}/pv", i), mode="update")
+    q_pv = start(pv, f"{name}_pv", table_at(f"{out_root}/pv", ["stt", *keys]), mode="update")
+    write_uv = table_at(f"{out_root}/uv", [*WINDOW, *keys], measures=["uv_ct"])
+    write_uj = table_at(f"{out_root}/uj", [*WINDOW, *keys], measures=["uj_ct"])
 
     entries = page.filter(F.col("last_page_id").isNull()).select("mid", *keys, "ts", "seq")
 
     def uv_fn(batch: DataFrame, bid: int) -> None:
         part = tumbling_agg(with_event_time(batch), {"uv_ct": F.count(F.lit(1)).cast("bigint")},
                             keys=keys, size_seconds=size)
-        sinks.write_append(part, f"{out_root}/uv", "parquet", batch_id=bid)
+        write_uv(part, bid)
 
     firsts = state.first_per_day(entries, ["mid"])
     q_uv = start(firsts, f"{name}_uv", uv_fn)
@@ -202,7 +224,7 @@ def traffic_vc_ch_ar_is_new(page: DataFrame, out_root: str, tz: str = "UTC", siz
     def uj_fn(batch: DataFrame, bid: int) -> None:
         part = tumbling_agg(with_event_time(batch), {"uj_ct": F.count(F.lit(1)).cast("bigint")},
                             keys=keys, size_seconds=size)
-        sinks.write_append(part, f"{out_root}/uj", "parquet", batch_id=bid)
+        write_uj(part, bid)
 
     q_uj = start(uj, f"{name}_uj", uj_fn)
     return [q_pv, q_uv, q_uj]
@@ -219,7 +241,7 @@ def traffic_from_topics(page: DataFrame, uv: DataFrame, uj: DataFrame, out_path:
     parts = [with_event_time(p, watermark_seconds=lateness_seconds) for p in traffic_rows(page, uv, uj)]
     rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return start(tumbling_agg(rows, traffic_measures(), keys=TRAFFIC_KEYS, size_seconds=size), name,
-                 lambda b, i: sinks.upsert_batch(b, out_path, i), mode="update")
+                 table_at(out_path, ["stt", *TRAFFIC_KEYS]), mode="update")
 
 
 def read_traffic(spark: SparkSession, out_root: str) -> DataFrame:
@@ -232,7 +254,7 @@ def read_traffic(spark: SparkSession, out_root: str) -> DataFrame:
     for sub, col in (("uv", "uv_ct"), ("uj", "uj_ct")):
         if not sinks.exists(spark, f"{out_root}/{sub}"):
             continue  # no rows yet; any other trouble shows when it is read
-        p = spark.read.parquet(f"{out_root}/{sub}")
+        p = sinks.read_changes(spark, f"{out_root}/{sub}")
         parts.append(p.select(*keys, *[(F.col(col) if c == col else z).alias(c)
                                        for c in ("uv_ct", "sv_ct", "pv_ct", "dur_sum", "uj_ct")]))
     u = parts[0]
@@ -251,11 +273,12 @@ def user_login(page: DataFrame, out_path: str, back_days: int = 8, tz: str = "UT
     logins = page.filter(F.col("uid").isNotNull()
                          & (F.col("last_page_id").isNull() | (F.col("last_page_id") == "login")))
     flags = state.login_flags(logins.select("uid", "ts"), back_days, tz, keep_days)
+    write = table_at(out_path, WINDOW, measures=["back_ct", "uu_ct"])
 
     def sink(batch: DataFrame, bid: int) -> None:
         part = tumbling_agg(with_event_time(batch), {"back_ct": F.sum("back_ct").cast("bigint"),
                                                      "uu_ct": F.sum("uu_ct").cast("bigint")}, size_seconds=size)
-        sinks.write_append(part, out_path, "parquet", batch_id=bid)
+        write(part, bid)
 
     return start(flags, name, sink)
 
@@ -279,7 +302,7 @@ def keyword_window(page: DataFrame, out_path: str, size: int = WINDOW_SECONDS,
                      size_seconds=size)
     g = g.select("stt", "edt", F.lit(KEYWORD_SOURCE_SEARCH).alias("source"), "keyword", "cur_date",
                  "keyword_count")
-    return start(g, name, lambda b, i: sinks.upsert_batch(b, out_path, i), mode="update")
+    return start(g, name, table_at(out_path, ["stt", "keyword"]), mode="update")
 
 
 def province_order(cdc: DataFrame, province_dim: Lookup, out_path: str, size: int = WINDOW_SECONDS,
@@ -292,13 +315,14 @@ def province_order(cdc: DataFrame, province_dim: Lookup, out_path: str, size: in
     g = tumbling_agg(oi.withWatermark("row_time", "0 seconds"),
                      {"order_count": F.count(F.lit(1)).cast("bigint"), "order_amount": F.sum("amt")},
                      keys=["province_id"], size_seconds=size)
+    write = table_at(out_path, ["stt", "province_id"])
 
     def sink(batch: DataFrame, bid: int) -> None:
         e = lookup(batch, now(province_dim), "province_id", {"name": "province_name"})
         e = e.select("stt", "edt", "province_id",
                      F.coalesce(F.col("province_name"), F.lit("")).alias("province_name"), "cur_date",
                      "order_count", F.col("order_amount").cast("double").alias("order_amount"))
-        sinks.upsert_batch(e, out_path, bid)
+        write(e, bid)
 
     return start(g, name, sink, mode="update")
 
@@ -359,13 +383,18 @@ def order_pre_process(cdc: DataFrame, dic: Lookup, out_path: str,
     the order and cancel details are filtered.  The dictionary is looked up
     as it is at the micro-batch."""
     ch = order_pre_process_changelog(cdc, None, ttl_seconds)
-    write = rows_to(out_path)
+    topic = runtime.current().sink == "topic"
+    write = rows_to(out_path) if topic else table_at(out_path, ["id"], pre_process_order(), part=None)
     return start(ch, name, lambda b, i: write(_named(b, dic), i))
 
 
+def pre_process_order() -> list:
+    """The rule of the batch form, whatever batch a version came in."""
+    return ["row_op_ts", F.col("oi_ts").cast("bigint"), "arrival"]
+
+
 def read_pre_process(spark: SparkSession, path: str) -> DataFrame:
-    """By the rule of the batch form, whatever batch a version came in."""
-    return sinks.read_upserted(spark, path, ["id"], ["row_op_ts", F.col("oi_ts").cast("bigint"), "arrival"])
+    return sinks.read_upserted(spark, path, ["id"], pre_process_order())
 
 
 def order_detail(cdc: DataFrame, dic: Lookup, out_path: str,
@@ -418,12 +447,17 @@ def pay_detail_suc(order_detail_rows: DataFrame, cdc: DataFrame, dic: Lookup, ou
                "pi_ts", "pi_time", ttl_seconds)
     od = _timed(order_detail_rows.drop("arrival"), "ts", "od_time", ttl_seconds)
     j = od.join(p, (od.order_id == p.pi_order_id) & _within("od_time", "pi_time", ttl_seconds), "inner").drop("od_time", "pi_time")
-    write = rows_to(out_path)
+    topic = runtime.current().sink == "topic"
+    write = rows_to(out_path) if topic else table_at(out_path, ["order_detail_id"], payment_order(), part=None)
     return start(j, name, lambda b, i: write(trade.pay_columns(dic_lookup(b, now(dic), "payment_type_code", "payment_type_name")), i))
 
 
+def payment_order() -> list:
+    return [F.col("ts").cast("bigint"), "arrival"]
+
+
 def read_payments(spark: SparkSession, path: str) -> DataFrame:
-    return sinks.read_upserted(spark, path, ["order_detail_id"], [F.col("ts").cast("bigint"), "arrival"]).drop("arrival")
+    return sinks.read_upserted(spark, path, ["order_detail_id"], payment_order()).drop("arrival")
 
 
 def order_refund(cdc: DataFrame, dic: Lookup, out_path: str, ttl_seconds: int = JOIN_TTL_REFUND_SECONDS,
@@ -474,6 +508,7 @@ def trade_sku_order(order_detail_rows: DataFrame, dims: Dims, out_path: str, siz
     g = tumbling_agg(latest, {"original_amount": F.sum("o"), "activity_amount": F.sum("a"),
                               "coupon_amount": F.sum("c"), "order_amount": F.sum("t")},
                      keys=["sku_id"], size_seconds=size)
+    write = table_at(out_path, ["stt", "sku_id"])
 
     def sink(batch: DataFrame, bid: int) -> None:
         from ..operators.enrich import snowflake_sku
@@ -483,7 +518,7 @@ def trade_sku_order(order_detail_rows: DataFrame, dims: Dims, out_path: str, siz
                      "spu_id", "spu_name", "cur_date",
                      *[F.col(c).cast("double").alias(c) for c in
                        ("original_amount", "activity_amount", "coupon_amount", "order_amount")])
-        sinks.write_append(e, out_path, "parquet", batch_id=bid)
+        write(e, bid)
 
     return start(g, name, sink, mode="append")
 
@@ -501,13 +536,14 @@ def refund_tm_category_user(refund_rows: DataFrame, dims: Dims, out_path: str, s
     g = tumbling_agg(r.withWatermark("row_time", "0 seconds"),
                      {"refund_count": F.size(F.collect_set("order_id")).cast("bigint")},
                      keys=["trademark_id", "category3_id", "user_id"], size_seconds=size)
+    write = table_at(out_path, ["stt", "trademark_id", "category3_id", "user_id"])
 
     def sink(batch: DataFrame, bid: int) -> None:
         e = snowflake_sku(batch, now(dims), with_sku=False)
         e = e.select("stt", "edt", "trademark_id", "trademark_name", "category1_id", "category1_name",
                      "category2_id", "category2_name", "category3_id", "category3_name", "user_id",
                      "cur_date", "refund_count")
-        sinks.upsert_batch(e, out_path, bid)
+        write(e, bid)
 
     return start(g, name, sink, mode="update")
 
@@ -519,11 +555,12 @@ def cart_add_uu(cart_rows: DataFrame, out_path: str, tz: str = "UTC", size: int
     c = cart_rows.select("user_id", (F.col("ts").cast("bigint") * 1000).alias("ts"),
                          F.col("id").cast("bigint").alias("seq"))
     firsts = c if count_every_add else state.first_per_day(c, ["user_id"])
+    write = table_at(out_path, WINDOW, measures=["cart_add_uu_ct"])
 
     def sink(batch: DataFrame, bid: int) -> None:
         part = tumbling_agg(with_event_time(batch), {"cart_add_uu_ct": F.count(F.lit(1)).cast("bigint")},
                             size_seconds=size)
-        sinks.write_append(part, out_path, "parquet", batch_id=bid)
+        write(part, bid)
 
     return start(firsts.select("ts"), name, sink)
 
@@ -533,7 +570,7 @@ def user_register(register_rows: DataFrame, out_path: str, size: int = WINDOW_SE
     """W1/W3 + A6: registrations per window, native watermarked count."""
     r = register_rows.select(sec_to_ts("ts").alias("row_time")).withWatermark("row_time", "0 seconds")
     g = tumbling_agg(r, {"register_ct": F.count(F.lit(1)).cast("bigint")}, size_seconds=size)
-    return start(g, name, lambda b, i: sinks.upsert_batch(b, out_path, i), mode="update")
+    return start(g, name, table_at(out_path, ["stt"]), mode="update")
 
 
 def trade_payment(pay_rows: DataFrame, out_path: str, tz: str = "UTC", size: int = WINDOW_SECONDS,
@@ -573,7 +610,13 @@ def dim_sink(cdc: DataFrame, config: Lookup, out_path: str, name: str = "dim_sin
     changed or removed in the configuration take effect while the job runs
     (for the changes that come after, as in the reference)."""
     from ..operators import dims as dimops
-    return start(cdc, name, lambda b, i: sinks.upsert_batch(dimops.dim_changes(b, now(config)), out_path, i))
+    write = dims_table(out_path)
+    return start(cdc, name, lambda b, i: write(dimops.dim_changes(b, now(config)), i))
+
+
+def dims_table(path: str) -> Callable[[DataFrame, int], None]:
+    """K4: the latest change per (table, key); deletes are kept as changes."""
+    return table_at(path, DIM_KEY, DIM_ORDER, part=None)
 
 
 def read_dims(spark: SparkSession, path: str, apply_deletes: bool = False) -> DataFrame:

@@ -28,10 +28,12 @@ from ..sources import sinks
 class Settings:
     """``every``: the trigger interval (``"3 seconds"``), None: take what is
     there and stop.  ``sink``: how jobs that append rows write them, as
-    ``parquet`` or as a ``topic`` of JSON lines for the next job."""
+    ``parquet`` or as a ``topic`` of JSON lines for the next job.
+    ``fold_every``: after how many micro-batches a table folds them (0: never)."""
 
     every: str | None = None
     sink: str = "parquet"
+    fold_every: int = 20
 
 
 _current: contextvars.ContextVar[Settings] = contextvars.ContextVar("stream_settings", default=Settings())

@@ -146,7 +146,7 @@ JOBS: dict[str, Job] = {
     "log_split": Job(lambda i: log.log_split(i.lines()), lambda i, out, n: jobs.log_split(i.lines(), out, i.tz, n), APPENDS),
     "dim_sink": Job(lambda i: dimops.dim_rows(i.env, i.fold_config(), True),
                     lambda i, out, n: jobs.changes(i.lines(), lambda env: dimops.dim_changes(env, i.fold_config()),
-                                                   lambda b, k: sinks.upsert_batch(b, out, k), f"{out.rstrip('/')}_dirty", n)),
+                                                   jobs.dims_table(out), f"{out.rstrip('/')}_dirty", n)),
     "unique_visitor_detail": Job(lambda i: log.unique_visitor_detail(i.page).drop("seq"),
                                  lambda i, out, n: jobs.unique_visitor_detail(i.page, out, name=n), APPENDS),
     "user_jump_detail": Job(lambda i: log.user_jump_detail(i.page).drop("seq"),
