@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tidemart.llm import langid
-from tidemart.llm.html_extract import main_text
+from tidemart.llm.html_extract import extract, main_text
 from tidemart.llm.license_scan import TEMPLATES, WORD, Scanner, license_scan
 from tidemart.llm.mixing import emit, mix, targets
 from tidemart.llm.packing import pack
@@ -87,6 +87,54 @@ def test_main_text_cases(page, text):
     assert main_text(page) == text
 
 
+P = LONG.strip()
+
+
+def page_around(article, wrap="{}", before="", after=""):
+    return f"<html><body><nav><a href=/>home</a></nav>{wrap.format(before + article + after)}<footer>foot</footer></body></html>"
+
+
+ARTICLE = f"<article><h1>Title</h1><p>{LONG}</p><p>Short end.</p></article>"
+STORY = f"<div class=story><h1>Title</h1><p>{LONG}</p><p>Short end.</p></div>"
+WRAPS = ["{}", "<div id=page class='site has-sidebar'>{}</div>", "<div class=content-with-comments>{}</div>", "<div class='widget-area'><div class=no-sidebar>{}</div></div>",
+         "<main class=sidebar-left>{}</main>", "<div class='page-header-fixed share-enabled'><div>{}</div></div>"]
+ASIDES = [("", ""), ("<div class=ad>Buy, buy, buy.</div>", f"<div id=comments><article><p>{LONG * 9}</p></article></div>"),
+          (f"<div class=sidebar><p>{LONG * 4}</p></div>", ""), ("<header>Site</header>", f"<section class='comments-area comment-list'><p>{LONG * 2}</p></section>"),
+          ("<button>Menu</button>", "<ul class=x><li><a href=1>one</a><li><a href=2>two</a></ul>")]
+
+
+@pytest.mark.parametrize("wrap", WRAPS)
+@pytest.mark.parametrize("aside", range(len(ASIDES)))
+def test_layouts(wrap, aside):
+    """A class word around the article never takes it away, and furniture in
+    the same wrapper goes."""
+    assert main_text(page_around(ARTICLE, wrap, *ASIDES[aside])) == f"Title\n{P}\nShort end."
+
+
+@pytest.mark.parametrize("wrap", [w for w in WRAPS if "main" not in w])
+@pytest.mark.parametrize("before, after", [("", ""), ("<div class=ad>Buy, buy, buy.</div>", "<div id=comments><p>Me too.</p></div>")])
+def test_layouts_without_article(wrap, before, after):
+    assert main_text(page_around(STORY, wrap, before, after)) == f"Title\n{P}\nShort end."
+
+
+def test_siblings_and_inline_parts_stay():
+    stories = f"<div class=story><p>{LONG * 3}</p></div><div class=story><p>{LONG}</p></div><div class=story><p>The end.</p></div>"
+    assert main_text(f"<body><div id=all>{stories}</div></body>") == f"{(LONG * 3).strip()}\n{P}\nThe end."
+    articles = stories.replace("div", "article")
+    assert main_text(f"<body>{articles}</body>") == f"{(LONG * 3).strip()}\n{P}\nThe end."
+    inline = f"<article><p>{LONG}Press <button>Go</button> at <label>the label</label>, where <math><mi>x</mi><mo>=</mo><mn>1</mn></math>.</p><form><label>Mail</label></form></article>"
+    assert main_text(inline) == f"{P} Press Go at the label, where x=1."
+
+
+def test_extract_through_spark(spark):
+    page = page_around(ARTICLE)
+    rows = [(1, page, "a"), (1, page, "a"), (2, None, "b"), (3, "", "c"), (None, "<p>x</p>", None)]
+    df = spark.createDataFrame(rows, "page_id long, html string, text string").select("page_id", extract(F.col("html")).alias("main"), "text")
+    want = f"Title\n{P}\nShort end."
+    assert Counter(tuple(r) for r in df.collect()) == Counter([(1, want, "a"), (1, want, "a"), (2, "", "b"), (3, "", "c"), (None, "x", None)])
+    assert df.limit(0).collect() == []
+
+
 def test_main_text_is_linear():
     import time
     for part in ("<a href='", "<!--", "<script>", "<p>x", "</p>", "<<<", "&amp;"):
