@@ -348,3 +348,43 @@ def test_a_metric_table_folds_into_its_dates(spark):
     assert len(left) <= 3 and len(sinks.children(spark, f"{out}/_manifest", "n=")) <= 2
     live = {f for f in sinks.read_changes(spark, out).inputFiles() if "/_folded/" in f}
     assert len(live) <= 4 * days and len({f.split("/p=")[1].split("/")[0] for f in live}) == days
+
+
+def test_lines_of_one_time_keep_their_order_in_the_file(spark):
+    """Equal times in one file, the later line is the later."""
+    root, t = folder(), 1_600_000_000_000
+    log = [page_line(f"m{i}", t, new=flag) for i in range(30) for flag in ("01" if i % 2 else "10")]
+    add_lines(f"{root}/log", log, 0)
+    page = logplans.flat_page(logplans.log_split(readers.read_topic(spark, f"{root}/log"))["page"])
+    # A device whose first line says it isn't new stays old; the others' second line is repaired by no one.
+    got = {r.mid: sorted(r.flags) for r in page.groupBy("mid").agg(F.collect_list("is_new").alias("flags")).collect()}
+    assert got == {f"m{i}": ["0", "0"] if i % 2 else ["0", "1"] for i in range(30)}
+    change = lambda table, kind, **d: json.dumps({"table": table, "type": kind, "ts": "100", "data": d})
+    lines = []
+    for i in range(20):
+        lines.append(change("order_detail", "insert", id=f"d{i}", order_id=f"o{i}", sku_id="s", sku_num="1", order_price="2.00", source_type="1", split_total_amount="2.00"))
+        lines += [change("order_info", "insert" if k == 0 else "update", id=f"o{i}", user_id="u", order_status=str(1000 + (i * 7 + k * 5) % 9)) for k in range(4)]
+    add_lines(f"{root}/db", lines, 0)
+    dic = spark.createDataFrame([("1", "one")], "dic_code string, dic_name string")
+    changes = trade.order_pre_process_changelog(readers.cdc_records(readers.read_topic(spark, f"{root}/db")), dic)
+    want = {f"d{i}": str(1000 + (i * 7 + 15) % 9) for i in range(20)}
+    assert {r.id: r.order_status for r in trade.order_pre_process(changes).collect()} == want
+    assert {r.id: r.order_status for r in trade.detail_versions_latest(changes).collect()} == want
+
+
+def test_line_order_over_splits_and_files(spark):
+    """A file cut into many splits, between small files, keeps its order."""
+    root = folder()
+    for n in range(5):
+        add_lines(f"{root}/t", [f"{n}:{i:06d}" for i in range(40 if n % 2 else 30_000)], n)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
+    try:
+        df = readers.read_topic(spark, f"{root}/t")
+        assert df.rdd.getNumPartitions() > 10
+        want = sorted(r.value for r in df.collect())
+        assert [r.value for r in df.orderBy("seq").collect()] == want
+        seen = []
+        jobs.start(readers.read_topic(spark, f"{root}/t", stream=True), "r_order", lambda b, i: seen.extend(b.collect())).awaitTermination()
+        assert [r.value for r in sorted(seen, key=lambda r: r.seq)] == want
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -8,6 +8,10 @@ sources.  In a stream, group offsets are the query checkpoint.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,16 +41,40 @@ FLAT_PAGE_SCHEMA = T.StructType(
        T.StructField("seq", T.LongType())])
 
 
+def _with_line_order(lines: DataFrame, stream: bool) -> DataFrame:
+    """``value`` and ``seq``, the order of text lines: the file's time in ms,
+    shifted, plus the line's place in the file, so a file keeps its lines'
+    order whatever its size (one of n bytes reaches n / 2^20 ms into the next).
+
+    The place is where the line's split begins plus the number of rows its
+    task read before.  A split that isn't its file's last has the full size
+    and so stands first in its task, with at most one row a byte: its places
+    end before the next split of the file begins.  Streams don't have Spark's
+    row numbers, so there the rows of a task are counted in Arrow batches."""
+    start = F.shiftleft(F.unix_millis(F.col("_metadata.file_modification_time")), 20) + F.col("_metadata.file_block_start")
+    if not stream:
+        before = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        return lines.select("value", (start + before).alias("seq"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = 0
+        for b in batches:
+            places = b.column("seq").to_numpy() + np.arange(before, before + len(b))
+            before += len(b)
+            yield pa.RecordBatch.from_arrays([b.column("value"), pa.array(places)], names=["value", "seq"])
+
+    return lines.select("value", start.alias("seq")).mapInArrow(count, "value string, seq long")
+
+
 def read_topic(spark: SparkSession, source: str, fmt: str = "text", stream: bool = False,
                options: dict | None = None, schema: T.StructType | None = None) -> DataFrame:
     """A raw topic as ``value`` strings (null payloads stay null) with the
     arrival order in ``seq``.
 
     ``fmt``: ``kafka`` (``source`` = topic, options carry the brokers; ``seq``
-    is the offset), ``text`` (one record per line; ``seq`` is the file's time
-    in ms, and inside a file a hash of the line, so the same input always has
-    the same order; the folders of :func:`.sinks.publish_batch` are read
-    too), ``parquet`` / ``json`` (``schema`` given, ``value``
+    is the offset), ``text`` (one record per line; files by their time, lines
+    by their place in the file, see :func:`_with_line_order`; the folders of
+    :func:`.sinks.publish_batch` are read too), ``parquet`` / ``json`` (``schema`` given, ``value``
     column; ``seq`` is taken as it is).  ``stream=True`` returns a streaming
     DataFrame."""
     opts = dict(options or {})
@@ -62,8 +90,7 @@ def read_topic(spark: SparkSession, source: str, fmt: str = "text", stream: bool
             p = spark._jvm.org.apache.hadoop.fs.Path(source)
             p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
         df = r.options(**opts).text(source)
-        ms = F.unix_millis(F.col("_metadata.file_modification_time"))
-        return df.select("value", (F.shiftleft(ms, 20) + F.pmod(F.xxhash64("value"), F.lit(1 << 20))).alias("seq"))
+        return _with_line_order(df, stream)
     reader = r.format(fmt).options(**opts)
     if schema is not None:
         reader = reader.schema(schema)
