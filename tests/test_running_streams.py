@@ -388,3 +388,43 @@ def test_line_order_over_splits_and_files(spark):
         assert [r.value for r in sorted(seen, key=lambda r: r.seq)] == want
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_typed_dimension_tables_grow_while_the_job_runs(spark):
+    """K6 + S6: a table and a column that the configuration adds, deletes,
+    older changes that come later, folds in between; then as a lookup."""
+    from tidemart.streaming import dims as typed
+    root = folder()
+    config = lambda *tables: snapshots.publish(spark.createDataFrame(
+        [("r", t, f"dim_{t}", cols, "id", extend, n) for n, (t, cols, extend) in enumerate(tables)], fx.CONFIG_SCHEMA), f"{root}/config")
+    change = lambda table, kind, ts, **d: json.dumps({"table": table, "type": kind, "ts": str(ts), "data": d})
+    sku = ("sku_info", "id, sku_name", " SALT_BUCKETS = 3")
+    config(sku)
+    inputs = topics.Inputs(spark, f"{root}/db", stream=True, config=f"{root}/config", dims_root=f"{root}/dims")
+    with runtime.settings(fold_every=2):
+        (q,) = topics.run(inputs, "dim_tables", f"{root}/dims", every="500ms")
+
+    def step(n, *lines):
+        add_lines(f"{root}/db", lines, n)
+        q.processAllAvailable()
+
+    read = lambda t, **kw: rows(typed.read_dim(spark, f"{root}/dims", t, **kw))
+    step(0, change("sku_info", "insert", 5, id="1", sku_name="a", spu_id="x"), change("sku_info", "insert", 5, id="2", sku_name="b"), "{bad")
+    assert read("dim_sku_info") == [("1", "a"), ("2", "b")]
+    config(("sku_info", "id,sku_name,spu_id", " SALT_BUCKETS = 3"), ("spu_info", "id,spu_name", None))
+    step(1, change("sku_info", "update", 6, id="2", sku_name="b2", spu_id="y"), change("sku_info", "update", 4, id="1", sku_name="old", spu_id="z"))
+    assert typed.read_dim(spark, f"{root}/dims", "dim_sku_info").columns == ["id", "sku_name", "spu_id"]
+    assert read("dim_sku_info") == [("1", "a", None), ("2", "b2", "y")] and read("dim_spu_info") == []
+    for n in range(2, 7):
+        step(n, change("sku_info", "insert", 10 + n, id=str(n + 10), sku_name=f"n{n}", spu_id="y"), change("spu_info", "insert", n, id="y", spu_name=f"spu{n}"))
+    step(7, change("sku_info", "delete", 30, id="12", sku_name="n2", spu_id="y"))
+    runtime.stop([q])
+    want = [("1", "a", None), *[(str(n + 10), f"n{n}", "y") for n in range(2, 7)], ("2", "b2", "y")]
+    assert read("dim_sku_info") == sorted(want, key=repr) and ("12", "n2", "y") not in read("dim_sku_info", apply_deletes=True)
+    assert read("dim_spu_info") == [("y", "spu6")]
+    buckets = {f.split("/p=")[1].split("/")[0] for f in parts_of(f"{root}/dims/dim_sku_info")}
+    assert buckets <= {"0", "1", "2"} and rows(spark.read.parquet(f"{root}/dims_dirty"), "line") == [("{bad",)]
+    for t in topics.DIM_TABLES[2:]:
+        spark.createDataFrame([("p", "x")], "id string, name string").write.parquet(f"{root}/dims/{t}.parquet")
+    lookup = inputs.dims()
+    assert rows(lookup["sku_info"], "id", "spu_id")[0] == ("1", None) and rows(lookup["base_province"]) == [("p", "x")]

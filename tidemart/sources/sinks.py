@@ -93,21 +93,21 @@ def children(spark: SparkSession, path: str, prefix: str) -> dict[int, object]:
 # and then adds the next manifest by one rename, so readers see either all of
 # it or nothing.
 
-def _manifest(spark: SparkSession, path: str) -> dict | None:
-    """The newest manifest."""
-    found = children(spark, f"{path}/_manifest", "n=")
+def newest_json(spark: SparkSession, folder: str) -> dict | None:
+    """The newest of the numbered documents that :func:`add_json` wrote."""
+    found = children(spark, folder, "n=")
     if not found:
         return None
     return json.loads(spark.read.text(found[max(found)].toString(), wholetext=True).first().value)
 
 
-def _switch(spark: SparkSession, path: str, manifest: dict) -> None:
-    """Make ``manifest`` the newest one, in one step."""
-    final = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_manifest/n={manifest['version']}")
-    aside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_manifest/_{uuid.uuid4().hex}")
+def add_json(spark: SparkSession, folder: str, number: int, document: dict) -> None:
+    """Add a numbered document, in one step."""
+    final = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/n={number}")
+    aside = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_{uuid.uuid4().hex}")
     fs = final.getFileSystem(spark._jsc.hadoopConfiguration())
     out = fs.create(aside)
-    out.write(bytearray(json.dumps(manifest).encode()))
+    out.write(bytearray(json.dumps(document).encode()))
     out.close()
     if not fs.rename(aside, final):
         raise OSError(f"could not move {aside} to {final}")
@@ -123,14 +123,16 @@ def _part_paths(path: str, manifest: dict, parts: Sequence[str]) -> list[str]:
     return [f"{path}/_folded/v={manifest['parts'][p]}/p={p}" for p in parts if p in manifest["parts"]]
 
 
-def read_changes(spark: SparkSession, path: str) -> DataFrame:
+def read_changes(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """The rows a reader of a stream's table has to merge: the folded parts
-    and the batches after them, with ``batch_id``."""
+    and the batches after them, with ``batch_id``.  ``schema`` is that of a
+    table whose columns have grown; files without a column give null."""
     path = path.rstrip("/")
-    m = _manifest(spark, path)
+    m = newest_json(spark, f"{path}/_manifest")
     if m is None:
-        return spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("long"))
-    schema = T.StructType.fromJson(m["schema"])
+        r = spark.read if schema is None else spark.read.schema(schema)
+        return r.parquet(path).withColumn("batch_id", F.col("batch_id").cast("long"))
+    schema = schema or T.StructType.fromJson(m["schema"])
     base = spark.read.schema(schema).parquet(*_part_paths(path, m, list(m["parts"])))
     later = [n for n in children(spark, path, "batch_id=") if n > m["upto"]]
     return base.unionByName(_batches(spark, path, sorted(later), schema)) if later else base
@@ -157,7 +159,8 @@ def read_sums(spark: SparkSession, path: str, keys: Sequence[str], measures: Seq
 
 
 def fold(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str | Column] = (), measures: Sequence[str] = (),
-         part: str | None = None, buckets: int = 16, files: int = 4, drop_folded: bool = False) -> int:
+         part: str | None = None, buckets: int = 16, files: int = 4, drop_folded: bool = False,
+         schema: T.StructType | None = None) -> int:
     """Fold the batches of a stream's table into its parts; returns the last
     batch in them (-1: there is none).
 
@@ -168,12 +171,13 @@ def fold(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[st
     after it was folded changes nothing.  The folders that the newest two
     manifests don't need are removed, so a reader that began before a fold
     keeps its files until the fold after it; ``drop_folded`` removes all
-    folded batches at once, for when no reader works.  One writer at a time."""
+    folded batches at once, for when no reader works.  ``schema``: see
+    :func:`read_changes`.  One writer at a time."""
     path = path.rstrip("/")
-    m = _manifest(spark, path)
+    m = newest_json(spark, f"{path}/_manifest")
     later = sorted(n for n in children(spark, path, "batch_id=") if m is None or n > m["upto"])
     if later:
-        new = _batches(spark, path, later, T.StructType.fromJson(m["schema"]) if m else None)
+        new = _batches(spark, path, later, schema or (T.StructType.fromJson(m["schema"]) if m else None))
         buckets = m["buckets"] if m else buckets
         at = F.coalesce(F.col(part).cast("string"), F.lit("none")) if part else F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("string")
         touched = sorted(r.p for r in new.select(at.alias("p")).distinct().collect())  # dates or buckets
@@ -184,7 +188,7 @@ def fold(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[st
          .write.mode("overwrite").partitionBy("p").parquet(f"{path}/_folded/v={version}"))
         before, m = m, {"version": version, "upto": later[-1], "buckets": buckets, "schema": json.loads(new.schema.json()),
                         "parts": {**(m["parts"] if m else {}), **{p: version for p in touched}}}
-        _switch(spark, path, m)
+        add_json(spark, f"{path}/_manifest", version, m)
         _clean(spark, path, [x for x in (before, m) if x], before["upto"] if before else -1)
     if drop_folded and m:
         _clean(spark, path, [m], m["upto"])

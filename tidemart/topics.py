@@ -21,6 +21,7 @@ from .functions.cdc import data, rows_of
 from .operators import dims as dimops
 from .plans import log, metrics, tool, trade
 from .sources import readers, sinks, snapshots
+from .streaming import dims as typed_dims
 from .streaming import jobs, runtime
 
 DIM_TABLES = ("sku_info", "spu_info", "base_trademark", "base_category3", "base_category2", "base_category1", "base_province")
@@ -79,7 +80,13 @@ class Inputs:
         return snapshots.read(self.spark, self.dictionary)
 
     def dims(self) -> dict[str, DataFrame]:
-        return {t: snapshots.read(self.spark, f"{self.dims_root}/{t}.parquet") for t in DIM_TABLES}
+        """The tables that ``dim_tables`` keeps (``dim_<name>``), else plain ones."""
+        def one(name: str) -> DataFrame:
+            if typed_dims.exists(self.spark, self.dims_root, f"dim_{name}"):
+                return typed_dims.read_dim(self.spark, self.dims_root, f"dim_{name}")
+            return snapshots.read(self.spark, f"{self.dims_root}/{name}.parquet")
+
+        return {t: one(t) for t in DIM_TABLES}
 
     def fold_config(self) -> DataFrame:
         return dimops.fold_config(snapshots.read(self.spark, self.config))
@@ -138,6 +145,11 @@ def _traffic_batch(i: Inputs) -> DataFrame:
                                            uj_rows=i.flat_page(i.bounces) if i.bounces else None)
 
 
+def _typed(i: Inputs) -> dict[str, DataFrame]:
+    rows = dimops.dim_rows(i.env, i.fold_config())
+    return {c.sink_table: dimops.typed_dim(rows, c.sink_table, c.sink_columns) for c in i.fold_config().collect()}  # a row a dimension
+
+
 def _milliseconds(rows: DataFrame) -> DataFrame:
     return rows.select("user_id", (F.col("ts").cast("bigint") * 1000).alias("ts"))
 
@@ -147,6 +159,7 @@ JOBS: dict[str, Job] = {
     "dim_sink": Job(lambda i: dimops.dim_rows(i.env, i.fold_config(), True),
                     lambda i, out, n: jobs.changes(i.lines(), lambda env: dimops.dim_changes(env, i.fold_config()),
                                                    jobs.dims_table(out), f"{out.rstrip('/')}_dirty", n)),
+    "dim_tables": Job(_typed, lambda i, out, n: jobs.changes(i.lines(), lambda env: env, typed_dims.writer(i.fold_config, out), f"{out.rstrip('/')}_dirty", n)),
     "unique_visitor_detail": Job(lambda i: log.unique_visitor_detail(i.page).drop("seq"),
                                  lambda i, out, n: jobs.unique_visitor_detail(i.page, out, name=n), APPENDS),
     "user_jump_detail": Job(lambda i: log.user_jump_detail(i.page).drop("seq"),
