@@ -165,6 +165,27 @@ def test_language_chunks(monkeypatch):
     assert langid.predict(model, text)[0] == "en" and langid.predict(model, b"12 !!") == ("und", 0.0)
 
 
+def test_language_rejects_noise(spark):
+    """The rejection score leaves real texts alone and takes noise."""
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(table.filter(~langid.held_out(F.col("doc_id"))))
+    assert 0.25 < model.reject < 1 and model.noise_rejected > 0.9
+    real = [r for r in table.filter(langid.held_out(F.col("doc_id")) & F.col("lang").isNotNull()).collect() if len(r.text) > 30]
+    assert np.mean([langid.predict(model, r.text.encode())[1] < model.reject for r in real]) < 0.005
+    rng = np.random.default_rng(5)
+    junk = [langid.noise(r.text, [chr(c) for c in range(0x561, 0x581)], rng) for r in real]
+    assert np.mean([langid.predict(model, t.encode())[1] < model.reject for t in junk]) > 0.95
+
+
+def test_language_samples_windows_from_whole_texts(spark):
+    long = "".join(f"{i:05d}x" for i in range(2000))
+    got = langid.training_sample(spark.createDataFrame([(long + str(k), "en") for k in range(40)] + [("short", "fr"), (None, "fr"), ("x", None)], "text string, lang string"),
+                                 "text", "lang", 1000, 60)
+    places = [int(re.search(r"(\d{5})x", t)[1]) for t in got[got["label"] == "en"]["text"]]
+    assert all(len(t) == 60 for t in got[got["label"] == "en"]["text"]) and max(places) > 1500 and min(places) < 500
+    assert got[got["label"] == "fr"]["text"].tolist() == ["short"]
+
+
 def test_language_held_out(spark):
     sf = "/root/testdata/sf0.01"
     got = QUERIES["op3_language_id"](spark, sf).toPandas().merge(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang").toPandas())

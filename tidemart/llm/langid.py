@@ -21,7 +21,8 @@ _ASCII_LETTER = re.compile(rb"[A-Za-z]")
 class Model:
     """languages; table: each bucket's embedding times the softmax weights;
     bias; temperature: calibrates the scores; reject: calibrated score under
-    which a prediction is rejected; lengths, bits: of the subword hash."""
+    which a prediction is rejected; lengths, bits: of the subword hash;
+    noise_rejected: share of the calibration's noise under that score."""
 
     languages: list[str]
     table: np.ndarray
@@ -30,6 +31,7 @@ class Model:
     reject: float
     lengths: tuple[int, ...]
     bits: int
+    noise_rejected: float = 0.0
 
 
 def buckets(text: np.ndarray, lengths: Sequence[int], bits: int) -> list[np.ndarray]:
@@ -79,11 +81,10 @@ def train(texts: Sequence[str], labels: Sequence[str], dim: int = 16, bits: int
           lengths: tuple[int, ...] = (1, 2, 3, 4), epochs: int = 3, rate: float = 0.5, seed: int = 7) -> Model:
     """Fit embeddings and a linear softmax by stochastic gradient descent.
 
-    A training example is a random window of a text, from a few words to all
-    of it, so that short texts are learnt too.  Every fifth text is kept out
-    of the descent and calibrates: the temperature with the least log loss,
-    and the rejection score, the highest up to which wrong predictions
-    outnumber the right ones (by three at least; else nothing is rejected)."""
+    A training example is a random window of a text, of 8 to 2,000 characters,
+    so that short texts are learnt too.  Every fifth text is kept out of the
+    descent and calibrates: the temperature with the least log loss, and the
+    rejection score (see ``rejection``)."""
     rng = np.random.default_rng(seed)
     languages = sorted(set(labels))
     y = np.array([languages.index(x) for x in labels])
@@ -127,20 +128,41 @@ def train(texts: Sequence[str], labels: Sequence[str], dim: int = 16, bits: int
         temperatures = np.geomspace(0.05, 20, 60)
         loss = [-np.log(softmax(raw / t)[np.arange(len(want)), want] + 1e-12).mean() for t in temperatures]
         model.temperature = float(temperatures[int(np.argmin(loss))])
-        p = softmax(raw / model.temperature)
-        score, right = p.max(axis=1), p.argmax(axis=1) == want
-        order = np.argsort(score)
-        lead = np.cumsum(np.where(right[order], -1, 1))  # wrong less right, up to each score
-        if (lead >= 3).any():
-            model.reject = float(score[order][np.flatnonzero(lead >= 3)[-1]])
+        model.reject, model.noise_rejected = rejection(model, [texts[i] for i in held], [labels[i] for i in held], texts, rng)
     return model
 
 
+def noise(text: str, letters: Sequence[str], rng: np.random.Generator) -> str:
+    """``text`` with every letter replaced by a random one of ``letters``."""
+    drawn = iter(rng.integers(0, len(letters), len(text)))
+    return "".join(letters[k] if c.isalpha() else c for c, k in zip(text, drawn))
+
+
+def rejection(model: Model, held: Sequence[str], labels: Sequence[str], texts: Sequence[str], rng: np.random.Generator) -> tuple[float, float]:
+    """The score under which a prediction is rejected, from texts kept out of
+    the descent and the same texts as noise: their letters drawn evenly from
+    those of all texts, and from a script no text uses.
+
+    It lies above 99 % of the noise, unless that takes over one in a thousand
+    of the right predictions; then it leaves those alone.  Also the share of
+    the noise that it rejects."""
+    alphabet = sorted({c for t in texts for c in t if c.isalpha()})
+    scripts = [[chr(c) for c in range(first, first + 32)] for first in (0x430, 0x561, 0x10D0, 0x3B1, 0x5D0)]
+    foreign = next((s for s in scripts if not set(s) & set(alphabet)), scripts[0])
+    told = [predict(model, t.encode()) for t in held]
+    right = np.array([score for (name, score), want in zip(told, labels) if name == want])
+    junk = np.array([predict(model, noise(t, own, rng).encode())[1] for t in held for own in (alphabet, foreign)])
+    if not len(right):
+        return 0.0, 0.0
+    reject = float(min(np.quantile(junk, 0.99), np.quantile(right, 0.001)))
+    return reject, float((junk < reject).mean())
+
+
 def training_sample(df: DataFrame, text_col: str, label_col: str, train_rows: int, train_chars: int) -> pd.DataFrame:
-    """At most about ``train_rows`` labelled texts for each language, cut to
-    ``train_chars``: a bounded sample, chosen by a hash of the text, so that
-    reruns agree.  Only the fit is bounded; every prediction reads the whole
-    text."""
+    """At most about ``train_rows`` labelled texts for each language, of each a
+    window of ``train_chars`` that may lie anywhere in it: a bounded sample,
+    chosen by a hash of the text, so that reruns agree.  Only the fit is
+    bounded; every prediction reads the whole text."""
     labelled = df.filter(F.col(label_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(label_col).alias("label"), F.col(text_col).alias("text"))
     draw = F.shiftrightunsigned(F.xxhash64("text"), 33) / float(1 << 31)
@@ -148,15 +170,18 @@ def training_sample(df: DataFrame, text_col: str, label_col: str, train_rows: in
     if not sizes:
         return pd.DataFrame({"label": [], "text": []})
     shares = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, train_rows / n)])
+    at = (1 + F.pmod(F.xxhash64("text", F.lit("window")), F.greatest(F.length("text") - train_chars, F.lit(0)) + 1)).cast("int")
     return (labelled.filter(draw < F.element_at(shares, F.col("label")))
-            .select("label", F.substring("text", 1, train_chars).alias("text"))
+            .select("label", F.substring("text", at, F.lit(train_chars)).alias("text"))
             .dropDuplicates().toPandas().sort_values(["label", "text"], ignore_index=True))
 
 
 def fit(df: DataFrame, text_col: str = "text", label_col: str = "lang",
         train_rows: int = 1000, train_chars: int = 4000, **settings) -> Model:
     """Train on a bounded sample of labelled rows.  The number of languages
-    has to be small; the sample is ``train_rows`` texts of each."""
+    has to be small; the sample is ``train_rows`` texts of each.  Rows with a
+    null text or label teach nothing, equal texts of one label count once, and
+    an empty table gives a model that knows no language."""
     sample = training_sample(df, text_col, label_col, train_rows, train_chars)
     order = np.random.default_rng(1).permutation(len(sample))
     return train([sample["text"][i] for i in order], [sample["label"][i] for i in order], **settings)
@@ -166,7 +191,9 @@ def language(model: Model, df: DataFrame, text: Column) -> Column:
     """struct(lang, score) for every whole text, in Arrow batches.
 
     Null texts and texts without a letter are ``und`` with score 0; a model
-    that learnt no language calls everything ``und``."""
+    that learnt no language calls everything ``und``.  Equal scores take the
+    first language in order.  A text's result depends on that text alone, so
+    repeated rows get the same; other columns are never read."""
     shared = df.sparkSession.sparkContext.broadcast(model)  # a table of fixed size
 
     @F.pandas_udf("lang string, score double")
