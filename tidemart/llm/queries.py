@@ -194,6 +194,33 @@ SELECT doc_id, coalesce(len(parts), 0)::BIGINT AS n_lines,
        coalesce(n_runs, 0)::BIGINT AS n_runs,
        sha256(CASE WHEN n_runs IS NULL THEN coalesce(text, '') ELSE coalesce(array_to_string(kept, chr(10)), '') END) AS kept_sha256
 FROM o
+""",
+    # Every window of 200 bytes, by the digest of its hex text.
+    "op6_suffix_dedup": r"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS (SELECT rid, h, unnest(range(0, len(h) // 2 - 199)) AS place FROM d),
+k AS MATERIALIZED (SELECT rid, place, md5_number(substring(h, 2 * place + 1, 400)) AS k FROM p),
+t AS (SELECT rid, place FROM k WHERE k IN (SELECT k FROM k GROUP BY k HAVING count(*) > 1)),
+g AS (SELECT rid, place, CASE WHEN place - lag(place) OVER (PARTITION BY rid ORDER BY place) > 200 THEN 1 ELSE 0 END AS jump FROM t),
+i AS (SELECT rid, place, sum(jump) OVER (PARTITION BY rid ORDER BY place) AS nth FROM g),
+s AS (SELECT rid, min(place) AS first, max(place) + 200 AS stop FROM i GROUP BY rid, nth),
+r AS (SELECT rid, count(*) AS n, sum(stop - first)::BIGINT AS gone, list(first ORDER BY first) AS firsts, list(stop ORDER BY first) AS stops FROM s GROUP BY rid)
+SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(gone, 0) AS n_removed, coalesce(n, 0) AS n_spans,
+       sha256(unhex(CASE WHEN n IS NULL THEN h ELSE array_to_string(
+         [substring(h, 2 * z[1] + 1, 2 * (z[2] - z[1])) for z in list_zip(list_concat([0::BIGINT], stops), list_append(firsts, len(h) // 2))], '') END)) AS kept_sha256
+FROM d LEFT JOIN r USING (rid)
+""",
+    # All pairs, then every vector that a walk over the links reaches.
+    "op7_embedding_dedup": r"""
+WITH RECURSIVE e AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+u AS MATERIALIZED (SELECT * FROM e WHERE label IS NOT NULL AND len([1 for x in v if x IS NULL OR isnan(x) OR isinf(x)]) = 0 AND len([1 for x in v if x <> 0]) > 0),
+l AS MATERIALIZED (SELECT a.rid AS a, b.rid AS b FROM u a JOIN u b ON a.label = b.label AND len(a.v) = len(b.v) AND a.rid <> b.rid
+                   WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+w AS (SELECT rid, rid AS other FROM e UNION SELECT w.rid, l.b FROM w JOIN l ON w.other = l.a),
+c AS (SELECT w.rid, min(e.vec_id) AS component_id FROM w JOIN e ON e.rid = w.other GROUP BY w.rid),
+n AS (SELECT a AS rid, count(*) AS n_links FROM l GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, coalesce(vec_id = component_id, false) AS kept
+FROM e JOIN c USING (rid) LEFT JOIN n USING (rid)
 """,
     # Words in windows of three, and how often their text has each window.
     "op13_quality": r"""
