@@ -170,7 +170,8 @@ def vectors():
             rows.append((len(rows), (c + rng.normal(size=16) * 0.12).tolist(), g % 3))
     rows += [(500 + i, rows[2][1], 0) for i in range(4)] + [(510, rows[2][1], None), (511, None, 0), (512, [], 0), (513, [0.0] * 16, 0),
              (514, [None, *rows[2][1][1:]], 0), (515, [float("nan")] + [1.0] * 15, 0), (516, [float("inf")] + [1.0] * 15, 0), (517, [1.0, 2.0], 0),
-             (518, [2.0, 4.0], 0), (519, (np.array(rows[3][1]) * 3).tolist(), 0), rows[5], rows[5], (None, rows[6][1], 0)]
+             (518, [2.0, 4.0], 0), (519, (np.array(rows[3][1]) * 3).tolist(), 0),
+             (520, (np.array(rows[3][1]) * 1e200).tolist(), 0), (521, (np.array(rows[3][1]) * 1e-200).tolist(), 0), rows[5], rows[5], (None, rows[6][1], 0)]
     return rows
 
 
@@ -179,7 +180,8 @@ def test_vectors(spark, tmp_path):
     unit = []
     for _, v, label in rows:
         ok = label is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)
-        unit.append(np.array(v, float) / np.linalg.norm(v) if ok else None)
+        v = np.array(v, float) / np.abs(v).max() if ok else None
+        unit.append(v / np.linalg.norm(v) if ok else None)
     links = [(a, b) for a in range(len(rows)) for b in range(a) if unit[a] is not None and unit[b] is not None and rows[a][2] == rows[b][2]
              and len(unit[a]) == len(unit[b]) and unit[a] @ unit[b] >= 0.98]
     root = components(len(rows), links)

@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import connected_components, stored
 
+#: Bound on the pivots of one vector length (8 MB at 64 components).
+MAX_PIVOTS = 1 << 14
+
 
 def choose_pivots(sample: np.ndarray, count: int, seed: int = 11) -> np.ndarray:
     """Reference points: unit vectors of the sample, each as far as possible
@@ -31,72 +35,92 @@ def choose_pivots(sample: np.ndarray, count: int, seed: int = 11) -> np.ndarray:
 
 
 def nearest_pivots(units: np.ndarray, pivots: np.ndarray, top: int) -> np.ndarray:
-    """Indexes of each vector's nearest pivots, nearest first; ties by index."""
-    return np.argsort(-(units @ pivots.T), axis=1, kind="stable")[:, :top]
+    """The ordered prefix of each vector's pivot permutation: indexes of its
+    nearest pivots, nearest first.  A few thousand distances at a time."""
+    step = max(1, (1 << 22) // len(pivots))
+    found = []
+    for at in range(0, len(units), step):
+        far = -(units[at:at + step] @ pivots.T)
+        near = np.sort(np.argpartition(far, top - 1, axis=1)[:, :top], axis=1)
+        order = np.argsort(np.take_along_axis(far, near, axis=1), axis=1, kind="stable")
+        found.append(np.take_along_axis(near, order, axis=1))
+    return np.concatenate(found)
+
+
+def units_of(vectors: pa.ListArray) -> np.ndarray:
+    """Equally long float arrays as unit rows in double precision.  Powers of
+    two are taken out first, so no square over- or underflows."""
+    x = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(vectors), -1)
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def units_of(vectors: pa.Array) -> np.ndarray:
-    """A batch of equally long float arrays as unit rows in double precision."""
-    x = vectors.values.to_numpy(zero_copy_only=False) if not vectors.offset else vectors.flatten().to_numpy(zero_copy_only=False)
-    x = x.astype(np.float64).reshape(len(vectors), -1)
-    return x / np.linalg.norm(x, axis=1, keepdims=True)
+def whole(column: pa.ChunkedArray | pa.Array) -> pa.Array:
+    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
 
-def postings(reps: DataFrame, pivots: dict[int, np.ndarray], top: int, shared: int) -> DataFrame:
-    """Inverted lists: a row (label, dim, list, rep) for each ``shared`` of the
-    ``top`` nearest pivots of a vector; ``list`` numbers the pivots' set."""
-    bound = reps.sparkSession.sparkContext.broadcast(pivots)  # a few hundred vectors
+def describe(reps: DataFrame, pivots: dict[int, np.ndarray], top: int) -> DataFrame:
+    """The index: each vector's ``top`` nearest pivots, nearest first."""
+    bound = reps.sparkSession.sparkContext.broadcast(pivots)  # at most MAX_PIVOTS vectors of each length
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        subsets = np.array(list(combinations(range(top), shared)))
         for b in batches:
             dims = b.column("dim").to_numpy()
             for dim in np.unique(dims):
                 own = b.filter(pa.array(dims == dim))
-                p = bound.value[int(dim)]
-                ids = np.sort(nearest_pivots(units_of(own.column("embedding")), p, top), axis=1).astype(np.int64)
-                lists = np.zeros((len(ids), len(subsets)), np.int64)
-                for k in range(shared):
-                    lists = lists * len(p) + ids[:, subsets[:, k]]
-                n = len(subsets)
+                near = nearest_pivots(units_of(own.column("embedding")), bound.value[int(dim)], top).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [own.column("label").take(pa.array(np.repeat(np.arange(len(ids)), n))),
-                     pa.array(np.full(lists.size, dim, np.int32)), pa.array(lists.ravel()),
-                     pa.array(np.repeat(own.column("rep").to_numpy(), n)),
-                     pa.array(list(np.repeat(ids, n, axis=0)), pa.list_(pa.int64()))],
-                    names=["label", "dim", "list", "rep", "pivots"])
+                    [own.column("label"), own.column("dim"), own.column("rep"),
+                     pa.ListArray.from_arrays(np.arange(len(near) + 1, dtype=np.int32) * top, near.ravel())],
+                    names=["label", "dim", "rep", "pivots"])
 
     label = reps.schema["label"].dataType.simpleString()
-    return reps.select("label", "dim", "rep", "embedding").mapInArrow(
-        run, f"label {label}, dim int, list long, rep long, pivots array<long>")
+    return reps.select("label", "dim", "rep", "embedding").mapInArrow(run, f"label {label}, dim int, rep long, pivots array<int>")
+
+
+def postings(index: DataFrame, base: int, top: int, shared: int) -> DataFrame:
+    """Inverted lists: a row for each ``shared`` of the ``top`` nearest pivots
+    of a vector; ``list`` numbers the set, its pivots in ascending order."""
+    def number(some: tuple) -> Column:
+        return reduce(lambda n, k: n * base + F.get("pivots", F.lit(k)), some, F.lit(0).cast("long"))
 
+    index = index.withColumn("pivots", F.array_sort("pivots"))
+    return index.withColumn("list", F.explode(F.array(*[number(c) for c in combinations(range(top), shared)])))
 
-def verify(a: pd.DataFrame, b: pd.DataFrame, same: bool, number: int, base: int, shared: int, min_cos: float):
-    """Links between two blocks of one list that belong to this list: the
-    first ``shared`` pivots that both vectors have in common name it, so a
-    pair is counted in one list only.  Returns (rep, links, root) rows: links
+
+def first_shared(a: np.ndarray, b: np.ndarray, base: int, shared: int) -> np.ndarray:
+    """The list that owns each pair: the number of the first ``shared`` pivots
+    that both (ascending) rows hold, -1 if they share fewer."""
+    common = (a[:, :, None] == b[:, None, :]).any(axis=2)
+    nth = np.cumsum(common, axis=1)
+    number = np.zeros(len(a), np.int64)
+    for k in range(1, shared + 1):
+        number = number * base + a[np.arange(len(a)), (common & (nth == k)).argmax(axis=1)]
+    return np.where(nth[:, -1] >= shared, number, -1)
+
+
+def verify(rows: pa.Table, base: int, shared: int, min_cos: float) -> pa.RecordBatch:
+    """Links within whole groups (lid, i, j), sorted by these and ``own``:
+    between blocks i and j of a list, or inside a block if they're equal.  A
+    pair counts in the list that owns it only.  Rows (rep, links, root): links
     counts copies, root is the smallest rep of the local component."""
-    ua, ub = np.stack(a["unit"].to_numpy()), np.stack(b["unit"].to_numpy())
-    r, c = np.nonzero(ua @ ub.T >= min_cos)
-    if same:
-        r, c = r[r < c], c[r < c]
-    pa_, pb = np.stack(a["pivots"].to_numpy()), np.stack(b["pivots"].to_numpy())
-    keep = np.zeros(len(r), bool)
-    for at in range(0, len(r), 65536):
-        i, j = r[at:at + 65536], c[at:at + 65536]
-        common = (pa_[i][:, :, None] == pb[j][:, None, :]).any(axis=2)
-        nth = np.cumsum(common, axis=1)
-        name = np.zeros(len(i), np.int64)
-        for k in range(1, shared + 1):
-            place = (common & (nth == k)).argmax(axis=1)
-            name = name * base + pa_[i, place]
-        keep[at:at + 65536] = (nth[:, -1] >= shared) & (name == number)
-    r, c = r[keep], c[keep]
-    ids = np.concatenate([a["rep"], b["rep"]]) if not same else a["rep"].to_numpy()
-    copies = np.concatenate([a["copies"], b["copies"]]) if not same else a["copies"].to_numpy()
-    c = c if same else c + len(a)
-    links = np.bincount(r, copies[c], len(ids)) + np.bincount(c, copies[r], len(ids))
-    root = ids.copy()
+    lid, i, j, own, number, rep, copies = (rows[c].to_numpy() for c in ("lid", "i", "j", "own", "list", "rep", "copies"))
+    units = units_of(whole(rows["embedding"]))
+    pivots = whole(rows["pivots"]).flatten().to_numpy().reshape(len(rep), -1).astype(np.int64)
+    cuts = np.flatnonzero((lid[1:] != lid[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+    pairs = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+    for s, e in zip([0, *cuts], [*cuts, len(rep)]):
+        m = s if i[s] == j[s] else s + int(np.count_nonzero(own[s:e] == i[s]))
+        r, c = np.nonzero(units[s:e if m == s else m] @ units[m:e].T >= min_cos)
+        if m == s:
+            r, c = r[r < c], c[r < c]
+        for at in range(0, len(r), 1 << 16):
+            x, y = r[at:at + (1 << 16)] + s, c[at:at + (1 << 16)] + m
+            mine = first_shared(pivots[x], pivots[y], base, shared) == number[s]
+            pairs.append((x[mine], y[mine]))
+    r, c = (np.concatenate(side) for side in zip(*pairs))
+    links = np.bincount(r, copies[c], len(rep)) + np.bincount(c, copies[r], len(rep))
+    root = rep.copy()
     while True:  # smallest rep over the links, until nothing moves
         before = root.copy()
         np.minimum.at(root, r, root[c])
@@ -104,23 +128,26 @@ def verify(a: pd.DataFrame, b: pd.DataFrame, same: bool, number: int, base: int,
         if (root == before).all():
             break
     some = links > 0
-    return ids[some], links[some].astype(np.int64), root[some]
+    return pa.RecordBatch.from_arrays([pa.array(rep[some]), pa.array(links[some].astype(np.int64)), pa.array(root[some])],
+                                      names=["rep", "links", "root"])
 
 
 def embedding_links(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
                     min_cos: float = 0.98, top: int = 6, shared: int = 3, pivot_sample: int = 2048,
-                    block: int = 100) -> DataFrame:
+                    block: int = 500) -> DataFrame:
     """Link vectors of equal label whose cosine is ``min_cos`` or more.
 
     Exact copies are merged first.  A vector is described by its ``top``
-    nearest pivots; inverted lists for every ``shared`` of them hold the
-    vectors that have those pivots in common, so meeting in a list means a
+    nearest pivots in order; inverted lists for every ``shared`` of them hold
+    the vectors that have those pivots in common, so meeting in a list means a
     shared-pivot count of ``shared`` or more.  Lists with one vector are
     dropped before any vector travels; long ones are cut into blocks of about
-    ``block``, and every pair of blocks is one small group whose cosines are
-    verified in double precision.  Pivots are fitted on at most
-    ``pivot_sample`` vectors; their number grows with the square root of the
-    vectors (64 to 1024), so that lists stay short.  All vectors are indexed.
+    ``block``, and every pair of blocks is one bounded group whose cosines are
+    verified in double precision: no list is too long, and none is cut short.
+    The number of pivots grows with the square root of the vectors (64 to
+    MAX_PIVOTS, which 268 million distinct vectors of a length reach), so that
+    lists stay short.  They are fitted on about ``pivot_sample`` vectors, or
+    four a pivot if that is more.  All vectors are indexed.
 
     Returns one row per input row: vec_id, n_links, component_id (smallest
     vec_id reachable, itself included), kept.  Vectors that are null, empty,
@@ -140,53 +167,44 @@ def embedding_links(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     reps = stored(merged.withColumn("dim", F.size("embedding")), "embed-reps")
     pivots = {}
     for dim, n in [tuple(r) for r in reps.groupBy("dim").count().collect()]:  # a row for each vector length
-        count = int(min(1024, max(64, 2 ** np.ceil(np.log2(n ** 0.5)))))
-        share = min(1.0, pivot_sample / n)
-        picked = (reps.filter((F.col("dim") == dim) & (F.shiftrightunsigned(F.xxhash64("embedding"), 33) / float(1 << 31) < share))
-                  .select("embedding").limit(2 * pivot_sample).toArrow())
-        sample = np.array(picked["embedding"].to_pylist(), np.float64).reshape(-1, dim)
-        sample = sample[np.lexsort(sample.T[::-1])] if len(sample) else sample
-        pivots[dim] = choose_pivots(sample / np.linalg.norm(sample, axis=1, keepdims=True), max(count, top))
-    base = {d: len(p) for d, p in pivots.items()}
+        count = int(min(MAX_PIVOTS, max(64, 2 ** np.ceil(np.log2(n ** 0.5)))))
+        size = max(pivot_sample, 4 * count)
+        picked = (reps.filter((F.col("dim") == dim) & (F.shiftrightunsigned(F.xxhash64("embedding"), 33) / float(1 << 31) < min(1.0, size / n)))
+                  .select("embedding").limit(2 * size).toArrow())
+        sample = units_of(whole(picked["embedding"])) if picked.num_rows else np.empty((0, dim))
+        pivots[dim] = choose_pivots(sample[np.lexsort(sample.T[::-1])], max(count, top))
+    base = max(map(len, pivots.values()), default=1)
 
     keys = ["label", "dim", "list"]
-    filed = stored(postings(reps, pivots, top, shared), "embed-postings")
+    filed = postings(stored(describe(reps, pivots, top), "embed-index"), base, top, shared)
     lists = stored(filed.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
-                   .withColumn("blocks", F.ceil(F.col("n") / block).cast("int")), "embed-lists")
+                   .select(*keys, F.monotonically_increasing_id().alias("lid"), F.ceil(F.col("n") / block).cast("int").alias("blocks")), "embed-lists")
     # A member of block i goes to the pairs (i, j) of all blocks j.
     member = (filed.join(lists, keys).withColumn("own", F.expr("cast(pmod(xxhash64(rep), blocks) AS int)"))
-              .select(*keys, "rep", "pivots", "own", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
-              .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("other"))
-    member = stored(member, "embed-members").join(reps.select("rep", "copies", "embedding"), "rep")
-    groups = [*keys, "i", "j"]
-
-    def check(group: pd.DataFrame) -> Iterator[tuple]:
-        dim, number, i, j = (int(group[k].iloc[0]) for k in ("dim", "list", "i", "j"))
-        a = group[group["own"] == i]
-        b = a if i == j else group[group["own"] == j]
-        if len(a) and len(b):
-            yield verify(a, b, i == j, number, base[dim], shared, min_cos)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def finish(rows: pd.DataFrame) -> pd.DataFrame:
-            rows = rows.assign(unit=[v / np.linalg.norm(v) for v in map(np.asarray, rows["embedding"])])
-            found = [x for _, g in rows.groupby(groups, sort=False) for x in check(g)]
-            cols = zip(*found) if found else ([], [], [])
-            return pd.DataFrame({k: np.concatenate(c).astype(np.int64) if len(c) else np.empty(0, np.int64)
-                                 for k, c in zip(("rep", "links", "root"), cols)})
+              .select("dim", "lid", "list", "rep", "pivots", "own", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
+              .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("other")
+              .join(reps.select("rep", "copies", "embedding"), "rep"))
+    groups = ["dim", "lid", "i", "j"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def finish(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+            for dim in pc.unique(rows["dim"]):
+                yield verify(rows.filter(pc.equal(rows["dim"], dim)), base, shared, min_cos)
 
         rest = None  # rows of a group may lie in two batches
         for b in batches:
-            rest = b if rest is None else pd.concat([rest, b], ignore_index=True)
-            last = (rest[groups] == rest[groups].iloc[-1]).all(axis=1)
-            if not last.all():
-                yield finish(rest[~last])
-                rest = rest[last]
-        if rest is not None and len(rest):
-            yield finish(rest)
-
-    found = stored(member.repartition(*groups).sortWithinPartitions(*groups)
-                   .mapInPandas(run, "rep long, links long, root long"), "embed-found")
+            new = pa.Table.from_batches([b])
+            rest = new if rest is None else pa.concat_tables([rest, new])
+            key = np.column_stack([rest[c].to_numpy() for c in groups])
+            cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
+            if len(cuts):
+                yield from finish(rest.slice(0, cuts[-1]))
+                rest = rest.slice(cuts[-1])
+        if rest is not None:
+            yield from finish(rest)
+
+    found = stored(member.repartition(*groups).sortWithinPartitions(*groups, "own")
+                   .mapInArrow(run, "rep long, links long, root long"), "embed-found")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     parts = connected_components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     each = stored(reps.select("rep", "label", "embedding", "copies", "first").join(links, "rep", "left")
