@@ -159,11 +159,13 @@ def embedding_links(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     zero = ~F.exists(x, lambda v: v != 0)
     rows = stored(df.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("vec_id"),
-                            F.col(label_col).alias("label"), F.col(vector_col).cast("array<double>").alias("embedding"))
+                            F.col(label_col).alias("label"), F.transform(F.col(vector_col).cast("array<double>"), lambda v: v + F.lit(0.0)).alias("embedding"))
+                  .withColumn("hash", F.xxhash64("embedding"))
                   .withColumn("valid", F.coalesce(F.col("label").isNotNull() & x.isNotNull() & ~bad & ~zero, F.lit(False))),
                   "embed-rows")
     valid = rows.filter("valid")
-    merged = valid.groupBy("label", "embedding").agg(F.count("*").alias("copies"), F.min("vec_id").alias("first"), F.min("rid").alias("rep"))
+    # Adding zero has made every zero positive, so equal vectors hash alike.
+    merged = valid.groupBy("label", "hash", "embedding").agg(F.count("*").alias("copies"), F.min("vec_id").alias("first"), F.min("rid").alias("rep"))
     reps = stored(merged.withColumn("dim", F.size("embedding")), "embed-reps")
     pivots = {}
     for dim, n in [tuple(r) for r in reps.groupBy("dim").count().collect()]:  # a row for each vector length
@@ -207,12 +209,17 @@ def embedding_links(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
                    .mapInArrow(run, "rep long, links long, root long"), "embed-found")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     parts = connected_components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    each = stored(reps.select("rep", "label", "embedding", "copies", "first").join(links, "rep", "left")
+    each = stored(reps.select("rep", "label", "hash", "copies", "first").join(links, "rep", "left")
                   .join(parts.withColumnRenamed("node", "rep"), "rep", "left")
                   .withColumn("component", F.coalesce("component", "rep")), "embed-each")
-    least = stored(each.groupBy("component").agg(F.min("first").alias("component_id")), "embed-least")
+    least = each.groupBy("component").agg(F.min("first").alias("component_id"))
     each = stored(each.join(least, "component").select(
-        "label", "embedding", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id"), "embed-result")
-    linked = valid.join(each, ["label", "embedding"]).select("vec_id", "n_links", "component_id")
+        "rep", "label", "hash", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id"), "embed-result")
+    # The hash finds a row's merged vector; should one hash stand for two
+    # vectors of a label, the contents decide.
+    key = ["label", "hash"]
+    if not each.groupBy(*key).count().filter("count > 1").isEmpty():
+        each, key = each.join(reps.select("rep", "embedding"), "rep"), [*key, "embedding"]
+    linked = valid.join(each, key).select("vec_id", "n_links", "component_id")
     alone = rows.filter("NOT valid").select("vec_id", F.lit(0).cast("long"), F.col("vec_id"))
     return linked.union(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
