@@ -40,19 +40,44 @@ from . import runtime, state
 #: function that reads it again for every micro-batch.
 Lookup = DataFrame | Callable[[], DataFrame]
 Dims = dict[str, DataFrame] | Callable[[], dict[str, DataFrame]]
+#: The lines of a job's topic that are no change records, and where they go.
+Dirty = tuple[DataFrame, str]
+
 
 def checkpoint_for(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/{name}"
 
 
-def start(df: DataFrame, name: str, sink: Callable[[DataFrame, int], None], mode: str = "append") -> StreamingQuery:
+def start(df: DataFrame, name: str, sink: Callable[[DataFrame, int], None], mode: str = "append",
+          dirty: Dirty | None = None) -> StreamingQuery:
     """Start a query with a ``foreachBatch`` sink and its own checkpoint, at
-    the trigger of :func:`.runtime.settings`."""
+    the trigger of :func:`.runtime.settings`.  ``dirty`` lines pass through
+    the same query beside its rows and are split off in the sink (Q11)."""
+    if dirty is not None:
+        df, sink = _beside(df, sink, *dirty)
     w = (df.writeStream.queryName(name).outputMode(mode).foreachBatch(sink)
          .option("checkpointLocation", checkpoint_for(df.sparkSession, name)))
     return runtime.triggered(w).start()
 
 
+def _beside(df: DataFrame, sink: Callable[[DataFrame, int], None], lines: DataFrame, path: str) -> tuple:
+    write, none = rows_to(path), F.lit(None)
+    both = (df.select(F.struct("*").alias("row"), none.cast("string").alias("line"))
+            .unionByName(lines.select(none.cast(df.schema).alias("row"), "line")))
+
+    def split(batch: DataFrame, bid: int) -> None:
+        batch = batch.persist()  # two outputs of one run
+        try:
+            sink(batch.filter("row IS NOT NULL").select("row.*"), bid)
+            bad = batch.filter("row IS NULL").select("line")
+            if not bad.isEmpty():
+                write(bad, bid)
+        finally:
+            batch.unpersist()
+
+    return both, split
+
+
 def rows_to(path: str) -> Callable[[DataFrame, int], None]:
     """The sink of a job that appends rows: replay-safe parquet, or JSON
     lines in a topic folder (:func:`.runtime.settings`)."""
@@ -306,7 +331,7 @@ def keyword_window(page: DataFrame, out_path: str, size: int = WINDOW_SECONDS,
 
 
 def province_order(cdc: DataFrame, province_dim: Lookup, out_path: str, size: int = WINDOW_SECONDS,
-                   name: str = "dws_trade_province_order") -> StreamingQuery:
+                   name: str = "dws_trade_province_order", dirty: Dirty | None = None) -> StreamingQuery:
     """S2 + P2 + W1/W3 + A4, then J11 against the province dimension as it is
     at the micro-batch; update mode, upserted on (stt, province_id)."""
     oi = rows_of(cdc, "order_info", ["insert"]).select(
@@ -324,7 +349,7 @@ def province_order(cdc: DataFrame, province_dim: Lookup, out_path: str, size: in
                      "order_count", F.col("order_amount").cast("double").alias("order_amount"))
         write(e, bid)
 
-    return start(g, name, sink, mode="update")
+    return start(g, name, sink, mode="update", dirty=dirty)
 
 
 def order_pre_process_changelog(cdc: DataFrame, dic: DataFrame,
@@ -377,7 +402,7 @@ def _named(rows: DataFrame, dic: Lookup) -> DataFrame:
 
 def order_pre_process(cdc: DataFrame, dic: Lookup, out_path: str,
                       ttl_seconds: int = JOIN_TTL_ORDER_SECONDS,
-                      name: str = "trade_order_pre_process") -> StreamingQuery:
+                      name: str = "trade_order_pre_process", dirty: Dirty | None = None) -> StreamingQuery:
     """K2: the changelog upserted on the detail id (merge-on-read, see
     :func:`read_pre_process`); as a topic, every version of it, from which
     the order and cancel details are filtered.  The dictionary is looked up
@@ -385,7 +410,7 @@ def order_pre_process(cdc: DataFrame, dic: Lookup, out_path: str,
     ch = order_pre_process_changelog(cdc, None, ttl_seconds)
     topic = runtime.current().sink == "topic"
     write = rows_to(out_path) if topic else table_at(out_path, ["id"], pre_process_order(), part=None)
-    return start(ch, name, lambda b, i: write(_named(b, dic), i))
+    return start(ch, name, lambda b, i: write(_named(b, dic), i), dirty=dirty)
 
 
 def pre_process_order() -> list:
@@ -398,23 +423,23 @@ def read_pre_process(spark: SparkSession, path: str) -> DataFrame:
 
 
 def order_detail(cdc: DataFrame, dic: Lookup, out_path: str,
-                 ttl_seconds: int = JOIN_TTL_ORDER_SECONDS, name: str = "trade_order_detail") -> StreamingQuery:
+                 ttl_seconds: int = JOIN_TTL_ORDER_SECONDS, name: str = "trade_order_detail", dirty: Dirty | None = None) -> StreamingQuery:
     """S3 filter over the pre-process changelog: order placements, with the
     columns of the batch form (T9 orders by the last two)."""
     from ..plans import trade
     ch = order_pre_process_changelog(cdc, None, ttl_seconds)
     write = rows_to(out_path)
-    return start(ch.filter(F.col("type") == "insert"), name, lambda b, i: write(trade.order_detail(_named(b, dic)), i))
+    return start(ch.filter(F.col("type") == "insert"), name, lambda b, i: write(trade.order_detail(_named(b, dic)), i), dirty=dirty)
 
 
 def cancel_detail(cdc: DataFrame, dic: Lookup, out_path: str, ttl_seconds: int = JOIN_TTL_ORDER_SECONDS,
-                  name: str = "trade_cancel_detail") -> StreamingQuery:
+                  name: str = "trade_cancel_detail", dirty: Dirty | None = None) -> StreamingQuery:
     """P3 over the pre-process changelog: order lines whose order was
     cancelled, as the batch form selects them."""
     from ..plans import trade
     ch = order_pre_process_changelog(cdc, None, ttl_seconds)
     write = rows_to(out_path)
-    return start(ch.filter(F.col("type") == "update"), name, lambda b, i: write(trade.cancel_detail(_named(b, dic)), i))
+    return start(ch.filter(F.col("type") == "update"), name, lambda b, i: write(trade.cancel_detail(_named(b, dic)), i), dirty=dirty)
 
 
 def unique_visitor_detail(page: DataFrame, out_path: str, keep_days: int = 2,
@@ -435,7 +460,7 @@ def _within(a: str, b: str, ttl_seconds: int):
 
 def pay_detail_suc(order_detail_rows: DataFrame, cdc: DataFrame, dic: Lookup, out_path: str,
                    ttl_seconds: int = JOIN_TTL_ORDER_SECONDS, success_only: bool = False,
-                   name: str = "trade_pay_detail_suc") -> StreamingQuery:
+                   name: str = "trade_pay_detail_suc", dirty: Dirty | None = None) -> StreamingQuery:
     """J3 + J6 + K2: order lines and payments that come within ``ttl_seconds``
     of each other, upserted on the detail id (:func:`read_payments`)."""
     from ..plans import trade
@@ -449,7 +474,7 @@ def pay_detail_suc(order_detail_rows: DataFrame, cdc: DataFrame, dic: Lookup, ou
     j = od.join(p, (od.order_id == p.pi_order_id) & _within("od_time", "pi_time", ttl_seconds), "inner").drop("od_time", "pi_time")
     topic = runtime.current().sink == "topic"
     write = rows_to(out_path) if topic else table_at(out_path, ["order_detail_id"], payment_order(), part=None)
-    return start(j, name, lambda b, i: write(trade.pay_columns(dic_lookup(b, now(dic), "payment_type_code", "payment_type_name")), i))
+    return start(j, name, lambda b, i: write(trade.pay_columns(dic_lookup(b, now(dic), "payment_type_code", "payment_type_name")), i), dirty=dirty)
 
 
 def payment_order() -> list:
@@ -461,7 +486,7 @@ def read_payments(spark: SparkSession, path: str) -> DataFrame:
 
 
 def order_refund(cdc: DataFrame, dic: Lookup, out_path: str, ttl_seconds: int = JOIN_TTL_REFUND_SECONDS,
-                 name: str = "trade_order_refund") -> StreamingQuery:
+                 name: str = "trade_order_refund", dirty: Dirty | None = None) -> StreamingQuery:
     """J4 + J7: refund lines and the refund update of their order, within
     ``ttl_seconds`` of each other."""
     from ..plans import trade
@@ -469,11 +494,11 @@ def order_refund(cdc: DataFrame, dic: Lookup, out_path: str, ttl_seconds: int =
     ri, oi = _timed(ri, "ts", "ri_time", ttl_seconds), _timed(oi, "oi_ts", "oi_time", ttl_seconds)
     j = ri.join(oi, (ri.order_id == oi.oi_id) & _within("ri_time", "oi_time", ttl_seconds), "inner").drop("ri_time", "oi_time")
     write = rows_to(out_path)
-    return start(j, name, lambda b, i: write(trade.refund_columns(b, now(dic)), i))
+    return start(j, name, lambda b, i: write(trade.refund_columns(b, now(dic)), i), dirty=dirty)
 
 
 def refund_pay_suc(cdc: DataFrame, dic: Lookup, out_path: str, ttl_seconds: int = JOIN_TTL_REFUND_SECONDS,
-                   strict: bool = False, name: str = "trade_refund_pay_suc") -> StreamingQuery:
+                   strict: bool = False, name: str = "trade_refund_pay_suc", dirty: Dirty | None = None) -> StreamingQuery:
     """J5 + J6: refund payment, order and refund line, each within
     ``ttl_seconds`` of the payment."""
     from ..plans import trade
@@ -483,7 +508,7 @@ def refund_pay_suc(cdc: DataFrame, dic: Lookup, out_path: str, ttl_seconds: int
     j = rp.join(oi, (rp.order_id == oi.oi_id) & _within("rp_time", "oi_time", ttl_seconds), "inner").drop("oi_time")
     j = j.join(ri, (j.order_id == ri.ri_order_id) & (j.sku_id == ri.ri_sku_id) & _within("rp_time", "ri_time", ttl_seconds), "inner").drop("rp_time", "ri_time")
     write = rows_to(out_path)
-    return start(j, name, lambda b, i: write(trade.refund_pay_columns(b, now(dic)), i))
+    return start(j, name, lambda b, i: write(trade.refund_pay_columns(b, now(dic)), i), dirty=dirty)
 
 
 def trade_sku_order(order_detail_rows: DataFrame, dims: Dims, out_path: str, size: int = WINDOW_SECONDS,

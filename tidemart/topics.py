@@ -70,8 +70,16 @@ class Inputs:
         return readers.flat_page_records(self.lines(source))
 
     @cached_property
+    def changes(self) -> tuple[DataFrame, DataFrame]:
+        """The change records of the topic, and its lines that are none."""
+        return readers.cdc_records(self.lines(), with_dirty=True)
+
+    @property
     def env(self) -> DataFrame:
-        return readers.cdc_records(self.lines())
+        return self.changes[0]
+
+    def dirty(self, output: str) -> jobs.Dirty:
+        return self.changes[1], f"{output.rstrip('/')}_dirty"
 
     def detail(self, columns: list[str], source: str | None = None) -> DataFrame:
         return readers.typed_records(self.lines(source), columns)
@@ -128,7 +136,7 @@ def _from_changelog(rows: Callable[[DataFrame], DataFrame], joined: Callable) ->
     def stream(i: Inputs, out: str, name: str) -> StreamingQuery:
         if i.changelog:
             return jobs.start(rows(_changelog(i)), name, jobs.rows_to(out))
-        return joined(i.env, i.dic, out, name=name)
+        return joined(i.env, i.dic, out, name=name, dirty=i.dirty(out))
 
     return Job(lambda i: rows(_changelog(i)), stream, APPENDS)
 
@@ -165,16 +173,16 @@ JOBS: dict[str, Job] = {
     "user_jump_detail": Job(lambda i: log.user_jump_detail(i.page).drop("seq"),
                             lambda i, out, n: jobs.user_jump_detail(i.page, out, name=n), APPENDS),
     "trade_order_pre_process": Job(lambda i: trade.order_pre_process(trade.order_pre_process_changelog(i.env, i.dic())),
-                                   lambda i, out, n: jobs.order_pre_process(i.env, i.dic, out, name=n), APPENDS),
+                                   lambda i, out, n: jobs.order_pre_process(i.env, i.dic, out, name=n, dirty=i.dirty(out)), APPENDS),
     "trade_order_detail": _from_changelog(trade.order_detail, jobs.order_detail),
     "trade_cancel_detail": _from_changelog(trade.cancel_detail, jobs.cancel_detail),
     "trade_pay_detail_suc": Job(
         lambda i: trade.pay_detail_suc(i.detail(ORDER_DETAIL, i.details) if i.details else trade.order_detail(_changelog(i)), i.env, i.dic()),
-        lambda i, out, n: jobs.pay_detail_suc(i.detail(ORDER_DETAIL, i.details), i.env, i.dic, out, name=n), APPENDS),
+        lambda i, out, n: jobs.pay_detail_suc(i.detail(ORDER_DETAIL, i.details), i.env, i.dic, out, name=n, dirty=i.dirty(out)), APPENDS),
     "trade_order_refund": Job(lambda i: trade.order_refund(i.env, i.dic()),
-                              lambda i, out, n: jobs.order_refund(i.env, i.dic, out, name=n), APPENDS),
+                              lambda i, out, n: jobs.order_refund(i.env, i.dic, out, name=n, dirty=i.dirty(out)), APPENDS),
     "trade_refund_pay_suc": Job(lambda i: trade.refund_pay_suc(i.env, i.dic()),
-                                lambda i, out, n: jobs.refund_pay_suc(i.env, i.dic, out, name=n), APPENDS),
+                                lambda i, out, n: jobs.refund_pay_suc(i.env, i.dic, out, name=n, dirty=i.dirty(out)), APPENDS),
     "trade_cart_add": _changes(lambda i, env: trade.cart_add(env, i.dic())),
     "tool_coupon_get": _changes(lambda i, env: tool.coupon_get(env)),
     "tool_coupon_order": _changes(lambda i, env: tool.coupon_order(env)),
@@ -198,7 +206,7 @@ JOBS: dict[str, Job] = {
     "dws_trade_sku_order": Job(lambda i: metrics.trade_sku_order(i.detail(ORDER_DETAIL), i.dims()),
                                lambda i, out, n: jobs.trade_sku_order(i.detail(ORDER_DETAIL), i.dims, out, name=n)),
     "dws_trade_province_order": Job(lambda i: metrics.trade_province_order(i.order_infos, i.dims()),
-                                    lambda i, out, n: jobs.province_order(i.env, lambda: i.dims()["base_province"], out, name=n)),
+                                    lambda i, out, n: jobs.province_order(i.env, lambda: i.dims()["base_province"], out, name=n, dirty=i.dirty(out))),
     "dws_refund_tm_category_user": Job(lambda i: metrics.refund_tm_category_user(i.detail(REFUND), i.dims()),
                                        lambda i, out, n: jobs.refund_tm_category_user(i.detail(REFUND), i.dims, out, name=n)),
 }
