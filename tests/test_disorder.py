@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemart import cli, topics
+from tidemart.constants import JOIN_TTL_ORDER_SECONDS, JOIN_TTL_REFUND_SECONDS
 from tidemart.operators import dims as dimops
 from tidemart.plans import log as logplans
 from tidemart.plans import metrics, trade
@@ -185,6 +186,57 @@ def test_join_jobs_equal_batch(spark, name):
         assert rows(got) == rows(exp) and len(rows(exp)) > 0
 
 
+@pytest.mark.parametrize("name", ["trade_order_detail", "trade_cancel_detail", "trade_pay_detail_suc", "trade_order_refund", "trade_refund_pay_suc"])
+def test_joins_meet_their_bounds(spark, name):
+    """The partner of order n comes ``gap`` seconds from its line: joined up to
+    the bound of the reference's state (905 s, 5 s) on both sides, not beyond."""
+    order = name in ("trade_order_detail", "trade_cancel_detail", "trade_pay_detail_suc")
+    ttl = JOIN_TTL_ORDER_SECONDS if order else JOIN_TTL_REFUND_SECONDS
+    gaps = [-ttl - 1, -ttl, -1, 0, 1, ttl, ttl + 1]
+    t0, out = 1_000_000, folder() + "/out"
+
+    def changes(n, ts, gap):
+        o, line = {"id": f"o{n}", "user_id": "u"}, {"id": f"d{n}", "order_id": f"o{n}", "sku_id": "s", "source_type": "1", "refund_type": "1",
+                                                   "refund_reason_type": "1", "payment_type": "1", "create_time": "2024-01-01 00:00:00"}
+        detail = ("order_detail", "insert", line | {"sku_num": "1", "order_price": "1.00"}, None, str(ts))
+        extras = [("order_detail_activity", "insert", {"order_detail_id": f"d{n}", "activity_id": "7"}, None, str(ts + gap)),
+                  ("order_detail_coupon", "insert", {"order_detail_id": f"d{n}", "coupon_id": "8"}, None, str(ts))]
+        if name == "trade_order_detail":  # the activity is the partner, an outer one
+            return [detail, *extras, ("order_info", "insert", o, None, str(ts))]
+        if name == "trade_cancel_detail":
+            return [detail, extras[1], extras[0][:4] + (str(ts),), ("order_info", "update", o | {"order_status": "1003"}, {"order_status": "1001"}, str(ts + gap))]
+        if name == "trade_pay_detail_suc":
+            return [("payment_info", "update", {"order_id": f"o{n}", "payment_type": "1"}, {"payment_status": "1601"}, str(ts + gap))]
+        refunded = ("order_info", "update", o | {"order_status": "1005"}, {"order_status": "1001"}, str(ts + gap))
+        if name == "trade_order_refund":
+            return [("order_refund_info", "insert", line, None, str(ts)), refunded]
+        return [("refund_payment", "update", line | {"refund_status": "0702"}, {"refund_status": "0701"}, str(ts)), refunded,
+                ("order_refund_info", "insert", line, None, str(ts))]
+
+    plan = [(n, t0, gap) for n, gap in enumerate(gaps)]
+    late = [(900 + k, t0 + (k + 1) * 100 * ttl, 0) for k in range(3)]  # later rows take the watermark past the outer joins
+    batches = [[r for x in plan for r in changes(*x)], *[changes(*x) for x in late]]
+    env = feed(spark, folder(), batches, ENV)
+    dic = spark.createDataFrame([("1", "one")], "dic_code string, dic_name string")
+    if name == "trade_pay_detail_suc":
+        details = ", ".join(f"{c} {'timestamp' if c == 'row_op_ts' else 'long' if c == 'arrival' else 'string'}" for c in topics.ORDER_DETAIL)
+        row = lambda n, ts: tuple({"id": f"d{n}", "order_id": f"o{n}", "ts": str(ts)}.get(c) for c in topics.ORDER_DETAIL)
+        lines = feed(spark, folder(), [[row(n, ts) for n, ts, _ in plan], *[[row(n, ts)] for n, ts, _ in late]], details)
+        q = jobs.pay_detail_suc(lines, env, dic, out, name=f"b_{name}")
+    else:
+        q = getattr(jobs, name.removeprefix("trade_"))(env, dic, out, name=f"b_{name}")
+    q.awaitTermination()
+    got = spark.read.parquet(out)
+    key = "order_detail_id" if name == "trade_pay_detail_suc" else "id"
+    got = {r[key]: r for r in got.collect() if int(r[key][1:]) < 900}
+    near = {f"d{n}" for n, gap in enumerate(gaps) if abs(gap) <= ttl}
+    if name == "trade_order_detail":  # every line once, with its activity or without
+        assert {k: r.activity_id for k, r in got.items()} == {f"d{n}": "7" if f"d{n}" in near else None for n in range(len(gaps))}
+        assert {r.coupon_id for r in got.values()} == {"8"}
+    else:
+        assert set(got) == near
+
+
 def test_jobs_on_topic_files(spark):
     """Lines in a folder -> log split -> a metric, in batch and as a stream,
     by the command line."""

@@ -35,7 +35,26 @@ def test_refund_pay_strict_flag(spark):
     env = R.env(spark, SF_SMALL, "refund_payment", "order_info", "order_refund_info")
     dic = fx.base_dic(spark, SF_SMALL)
     assert trade.refund_pay_suc(env, dic).count() > 0
-    assert trade.refund_pay_suc(env, dic, strict=True).count() == 0   # no 1006 / 0705 rows exist
+    assert trade.refund_pay_suc(env, dic, strict=True).count() == 0   # no 1006 / 0705 rows exist there
+
+
+def test_refund_pay_strict_keeps_only_the_changes_it_names(spark):
+    """Order n differs from a finished refund (order 0) in one point."""
+    good = {"pay": ("update", "0702", "0701"), "order": ("update", "1006", "1005"), "line": ("update", "0705", "0702")}
+    cases = [{}, {"pay": ("insert", "0702", None)}, {"pay": ("update", "0702", None)}, {"pay": ("update", "0701", "0700")},
+             {"order": ("update", "1005", "1001")}, {"order": ("update", "1006", None)}, {"order": ("insert", "1006", None)},
+             {"line": ("insert", "0705", None)}, {"line": ("update", "0705", None)}, {"line": ("update", "0702", "0701")}]
+    rows = []
+    for n, case in enumerate(cases):
+        for part, table, status in (("pay", "refund_payment", "refund_status"), ("order", "order_info", "order_status"), ("line", "order_refund_info", "refund_status")):
+            kind, after, before = (good | case)[part]
+            own = {"id": f"o{n}"} if part == "order" else {"id": f"{part}{n}", "order_id": f"o{n}", "sku_id": "s", "payment_type": "1"}
+            rows.append((table, kind, own | {status: after}, {status: before} if before else None, str(100 + n)))
+    env = spark.createDataFrame(rows, "table string, type string, data map<string,string>, old map<string,string>, ts string")
+    dic = spark.createDataFrame([("1", "one")], "dic_code string, dic_name string")
+    ids = lambda **flags: {r.id for r in trade.refund_pay_suc(env, dic, **flags).collect()}
+    assert ids(strict=True) == {"pay0"}
+    assert ids() == {f"pay{n}" for n in range(len(cases)) if n not in (3, 6)}  # literal: any success, any order update
 
 
 def test_apply_deletes_flag(spark):
