@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Mapping
+from heapq import heapify, heappop, heappush
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -104,15 +106,44 @@ class Scanner:
                 self.index.setdefault(x, []).append(k)
         self.opening = {a for a, _ in self.index}
 
+    def best(self, w: list[str], k: int, i: int, stop: int) -> tuple | None:
+        """The best span of template k that begins with the text's bigram i
+        and ends before bigram ``stop``: (-dice, -length, k, i, last bigram),
+        None if none reaches the coefficient; of equals the shortest.
+
+        With s of its n distinct bigrams shared, a span reaches it only while
+        n - s is at most (2 / min_dice - 2) t; spans of more than twice the
+        template's bigrams are more than one copy."""
+        grams, need = self.grams[k], self.min_dice
+        t, found, seen, shared, other = len(grams), None, set(), 0, 0
+        for e in range(i, min(stop, i + 2 * t + 1)):
+            g = w[e], w[e + 1]
+            if g in seen:
+                continue
+            seen.add(g)
+            if g not in grams:
+                other += 1
+                if other > (2 / need - 2) * t + 1e-9:
+                    break
+                continue
+            shared += 1
+            dice = 2 * shared / (shared + other + t)
+            if dice >= need and (found is None or -dice < found[0]):
+                found = (-dice, i - e, k, i, e)
+            if shared == t:
+                break
+        return found
+
     def scan(self, text: str | None) -> list[tuple[str, float, int, int]]:
         """(licence, dice, first character, end) of every match in a text.
 
-        For each template, the text's places that hold one of its bigrams are
-        joined to spans over small gaps.  A span whose number of bigrams n
-        can't reach the coefficient (2 min(n, t) / (n + t) is too small for a
-        template of t) is pruned by size; the rest is compared.  Of matches
-        that overlap the one with the higher coefficient stays, then the
-        longer, then the first template."""
+        The inverted index gives each template the text's places that hold one
+        of its bigrams.  A template of t bigrams is pruned by size if the text
+        has too few of them (a span needs t min_dice / (2 - min_dice)); else
+        every place begins a span, whose best end is sought within bounds.  Of
+        matches that overlap the one with the higher coefficient stays, then
+        the longer, then the first template; a span that runs into one that
+        stays is sought anew before it."""
         if not text:
             return []
         lower = text.lower()
@@ -122,34 +153,30 @@ class Scanner:
             if a in self.opening and (a, b) in self.index:
                 for k in self.index[a, b]:
                     hits.setdefault(k, []).append(i)
-        found = []
+        need, spans = self.min_dice, []
         for k, at in hits.items():
-            grams, need = self.grams[k], self.min_dice
-            t, gap = len(grams), max(3, len(grams) // 10)
-            begin = 0
-            for j in range(1, len(at) + 1):
-                if j < len(at) and at[j] - at[j - 1] <= gap:
-                    continue
-                i, e = at[begin], at[j - 1]
-                begin = j
-                # Distinct hits bound what the span shares; its length bounds its bigrams from above.
-                if t * need / (2 - need) > e - i + 1:
-                    continue
-                span = set(zip(w[i:e + 1], w[i + 1:e + 2]))
-                if 2 * min(len(span), t) < need * (len(span) + t):
-                    continue
-                dice = 2 * len(span & grams) / (len(span) + t)
-                if dice >= need:
-                    found.append((-dice, i - e, k, i, e + 1))
-        if not found:
+            if len({(w[i], w[i + 1]) for i in at}) * (2 - need) >= need * len(self.grams[k]) - 1e-9:
+                spans += [x for i in at if (x := self.best(w, k, i, len(w) - 1))]
+        if not spans:
             return []
-        places = [(m.start(), m.end()) for m in WORD.finditer(lower)]
+        heapify(spans)
+        firsts: list[int] = []  # of the matches that stay, in text order
         kept: list[tuple] = []
-        for d, _, k, i, e in sorted(found):
-            if all(e < x[3] or x[4] < i for x in kept):
-                kept.append((d, _, k, i, e))
+        while spans:
+            dice, _, k, i, e = heappop(spans)
+            n = bisect_right(firsts, i)
+            if n and kept[n - 1][2] >= i:
+                continue
+            if n < len(firsts) and firsts[n] <= e + 1:
+                again = self.best(w, k, i, firsts[n] - 1)
+                if again:
+                    heappush(spans, again)
+                continue
+            firsts.insert(n, i)
+            kept.insert(n, (k, -dice, e + 1, i))
+        places = [(m.start(), m.end()) for m in WORD.finditer(lower)]
         # Lower-casing may change a text's length; places count in the lower-cased text.
-        return [(self.names[k], -d, places[i][0], places[e][1]) for d, _, k, i, e in sorted(kept, key=lambda x: x[3])]
+        return [(self.names[k], dice, places[i][0], places[e][1]) for k, dice, e, i in kept]
 
 
 MATCHES = "array<struct<license:string,dice:double,first:int,end:int>>"
