@@ -1,5 +1,6 @@
 """Packing, main text, language, licences, mixing and the pipeline."""
 
+import json
 import random
 import re
 import zlib
@@ -16,7 +17,7 @@ from tidemart.llm import langid
 from tidemart.llm.html_extract import extract, main_text
 from tidemart.llm.license_scan import TEMPLATES, WORD, Scanner, license_scan
 from tidemart.llm.mixing import emit, mix, targets
-from tidemart.llm.packing import pack
+from tidemart.llm.packing import cuts_words, pack
 from tidemart.llm.queries import QUERIES
 
 from .conftest import document_rows
@@ -53,6 +54,24 @@ def test_packing(docs, window, cache):
         upto += n
 
 
+def test_packing_with_any_tokenizer(docs, tmp_path):
+    """Files that cut words in another way, or truncate, give the tokenizer's own ids."""
+    byte_level = public_tokenizers.path("byte_bpe_50k.json")
+    other = json.load(open(PATH, encoding="utf-8"))
+    assert cuts_words(other) and not cuts_words(json.load(open(byte_level, encoding="utf-8")))
+    other["normalizer"]["normalizers"].pop()  # keeps capitals
+    other["truncation"] = {"direction": "Right", "max_length": 5, "strategy": "LongestFirst", "stride": 0}
+    capitals = str(tmp_path / "capitals.json")
+    with open(capitals, "w", encoding="utf-8") as f:
+        json.dump(other, f)
+    for path in (byte_level, capitals):
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.no_truncation()
+        want = Counter((r[0], tuple(tokenizer.encode(r[1] or "", add_special_tokens=False).ids) + (7,)) for r in document_rows())
+        got = Counter((r.doc_id, tuple(np.frombuffer(r.ids, "<u4").tolist())) for r in pack(docs, path, window=1 << 20, end_id=7).collect())
+        assert got == want
+
+
 def test_packing_empty(no_docs):
     assert pack(no_docs, PATH).collect() == []
 

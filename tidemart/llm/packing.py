@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import unicodedata
@@ -24,6 +25,13 @@ TOKENS = "id {id}, part int, begins long, n long, ids binary"
 #: Fixed value: how the tokenizer's file cuts lower-cased words into pieces.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
+#: The other steps of the files whose words are cut here.
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": PIECES.pattern}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
 #: Words of visible characters up to the Latin blocks and their accents.
 PLAIN = re.compile("[!-~\xa1-\u036f]+")
 
@@ -36,8 +44,18 @@ def byte_letters() -> list[str]:
     return [chr(b if b in own else next(other)) for b in range(256)]
 
 
+def cuts_words(layout: dict) -> bool:
+    """Whether a tokenizer's file takes the steps of ``NORMALIZER``, ``PIECES``
+    and a byte-level model, with no added token but ones like ``<|name|>``."""
+    return (layout["normalizer"] == NORMALIZER and layout["pre_tokenizer"] == PRE_TOKENIZER and layout["model"]["type"] == "BPE"
+            and all("<|" in t["content"] and not re.search(r"\s", t["content"]) and not t["lstrip"] and not t["rstrip"]
+                    for t in layout["added_tokens"]))
+
+
 class WordTokenizer:
-    """Whole-text token ids of a tokenizer that never joins words, as bytes.
+    """Whole-text token ids as bytes, of any tokenizer file; texts are never
+    truncated or padded.  A file that doesn't cut words as ``cuts_words`` says
+    encodes each text in one call; the others, word by word:
 
     ``word_bpe_49k.json`` drops white space and splits at it, so the ids of a
     text are those of its words in turn, and a word's are those of its
@@ -52,6 +70,9 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.by_word = cuts_words(json.loads(self.tokenizer.to_str()))
         self.model = self.tokenizer.model
         self.letters = byte_letters()
         self.known: dict[str, bytes] = {"": b""}
@@ -67,9 +88,12 @@ class WordTokenizer:
                 self.pieces[piece] = ids
         return ids
 
+    def encode(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
     def word(self, word: str) -> bytes:
         if not PLAIN.fullmatch(word) or "<|" in word:
-            return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+            return self.encode(word)
         word = (word if word.isascii() else unicodedata.normalize("NFC", word)).lower()
         if word.isalpha():  # letters alone are one piece
             return self.piece(word)
@@ -80,6 +104,8 @@ class WordTokenizer:
     def text(self, text: str) -> bytes:
         """Only a space and a line feed split words here; other white space
         stays inside a word and is the tokenizer's to handle."""
+        if not self.by_word:
+            return self.encode(text)
         words, known = text.replace("\n", " ").split(" "), self.known
         ids = list(map(known.get, words))
         if None in ids:
