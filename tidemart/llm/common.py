@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +30,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "4m") -> Iterator[None]:
+    """Arrow batches of ``size`` for the actions inside.  By default a batch
+    holds 10,000 whole texts, up to 64 MB, several times over: in the JVM's
+    buffers, on its way, and as Python objects, for every core."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def stored_by_split(df: DataFrame, name: str) -> DataFrame:
     """``df`` stored with its split number ``pid`` and row ids ``rid``.
 

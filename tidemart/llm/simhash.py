@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, stored
+from .common import connected_components, small_batches, stored
 
 #: Shingles hashed at once, so a very long text needs bounded memory.
 CHUNK = 1 << 16
@@ -94,8 +94,9 @@ def simhash_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     empty texts have fingerprint 0 and link like any other; null ids name a
     component only if it has no other; an empty table gives no rows; further
     columns are ignored."""
-    docs = stored(df.select(F.col(id_col).alias("doc_id"), fingerprint_column(F.col(text_col), shingle).alias("fp")),
-                  "simhash-docs")
+    with small_batches(df.sparkSession):
+        docs = stored(df.select(F.col(id_col).alias("doc_id"), fingerprint_column(F.col(text_col), shingle).alias("fp")),
+                      "simhash-docs")
     firsts = docs.groupBy("fp").agg(F.min("doc_id").alias("first"))
     named = stored(simhash_components(docs, max_bits).join(firsts, "fp"), "simhash-named")
     least = stored(named.groupBy("component").agg(F.min("first").alias("component_id")), "simhash-least")
@@ -107,8 +108,9 @@ def simhash_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """The rows of ``df``, one of each SimHash component: the one with the
     smallest id (nulls last; of identical rows any one)."""
-    docs = stored(df.select(F.monotonically_increasing_id().alias("rid"), F.struct("*").alias("row"),
-                            fingerprint_column(F.col(text_col), shingle).alias("fp")), "simhash-rows")
+    with small_batches(df.sparkSession):
+        docs = stored(df.select(F.monotonically_increasing_id().alias("rid"), F.struct("*").alias("row"),
+                                fingerprint_column(F.col(text_col), shingle).alias("fp")), "simhash-rows")
     order = F.struct(F.col("id").isNull().alias("none"), "id", "rid")
     firsts = (docs.select("fp", "rid", F.col("row")[id_col].alias("id")).groupBy("fp").agg(F.min(order).alias("first")))
     keep = (simhash_components(docs, max_bits).join(firsts, "fp").groupBy("component")
