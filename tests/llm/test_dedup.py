@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import connected_components
+from tidemart.llm.common import connected_components, small_batches
 from tidemart.llm.embed_dedup import embedding_links
 from tidemart.llm.exact_dedup import exact_dedup
 from tidemart.llm.line_dedup import line_dedup
@@ -139,6 +139,25 @@ def test_simhash(docs, no_docs):
     assert simhash_groups(no_docs).collect() == [] and simhash_dedup(no_docs).collect() == []
 
 
+def test_small_batches(spark):
+    """The session's own size comes back, after an error too."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    with pytest.raises(ZeroDivisionError), small_batches(spark, "1k"):
+        assert spark.conf.get(key) == "1k"
+        raise ZeroDivisionError
+    assert spark.conf.get(key) == before
+
+
+def test_fingerprint_over_batches(spark):
+    """Batches of one text or of many give the same fingerprints."""
+    rows = [(i, r[1]) for i, r in enumerate(document_rows())]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    with small_batches(spark, "1k"):
+        small = {r.doc_id: r.fp for r in simhash_groups(df).collect()}
+    assert small == {i: int(np.uint64(prints_by_hand(t)).astype(np.int64)) for i, t in rows}
+
+
 @pytest.mark.parametrize("bits", [1, 2, 3, 5])
 def test_near_pairs(spark, bits):
     rng = np.random.default_rng(bits)
