@@ -69,7 +69,10 @@ def anchors(text: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, ...]:
         out.append((first + at, last + at, p + at, h[p].view(np.int64)))
     if not out:
         return (np.empty(0, np.int64),) * 4
-    return tuple(np.concatenate(x) for x in zip(*out))
+    first, last, place, name = (np.concatenate(x) for x in zip(*out))
+    # A run that goes on in the next chunk is one: two rows of one place would pass for copies of each other.
+    new = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+    return first[new], last[np.append(new[1:], len(place)) - 1], place[new], name[new]
 
 
 def buffers(texts: pa.Array | pa.ChunkedArray) -> Iterator[bytes]:
@@ -78,16 +81,17 @@ def buffers(texts: pa.Array | pa.ChunkedArray) -> Iterator[bytes]:
 
 
 def anchor_names(docs: DataFrame, width: int, gram: int) -> DataFrame:
-    """(pid, name, n): anchor names and how often each batch of rows has them."""
+    """(pid, name, n): anchor names and how often each split has them, summed
+    over a batch of rows.  A batch may hold rows of several splits."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if not b.num_rows:
-                continue
-            names = [anchors(np.frombuffer(t, np.uint8), width, gram)[3] for t in buffers(b.column("text"))]
-            own, n = np.unique(np.concatenate(names), return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(own), b.column("pid")[0].as_py(), np.int32)), pa.array(own), pa.array(n)],
-                names=["pid", "name", "n"])
+            names: dict[int, list] = {}
+            for pid, text in zip(b.column("pid").to_pylist(), buffers(b.column("text"))):
+                names.setdefault(pid, []).append(anchors(np.frombuffer(text, np.uint8), width, gram)[3])
+            for pid, found in names.items():
+                own, n = np.unique(np.concatenate(found), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), pid, np.int32)), pa.array(own), pa.array(n)],
+                                                 names=["pid", "name", "n"])
 
     return docs.select("pid", "text").mapInArrow(run, "pid int, name long, n long")
 
