@@ -1,5 +1,7 @@
 """Plan guards: properties of the physical plans that matter at scale."""
 
+import re
+
 import pytest
 
 from conftest import SF_SMALL
@@ -44,3 +46,21 @@ def test_unique_new_window_reuses_the_detail_shuffle(spark):
 def test_bounce_is_one_window_without_a_join(spark):
     plan = plan_of(logplans.user_jump_detail(spark.createDataFrame([], jobs.FLAT_PAGE_SCHEMA)))
     assert plan.count("+- Window ") == 1 and "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+@pytest.fixture
+def small_broadcasts(spark):
+    """Fact tables don't fit a broadcast, the dictionary does, as at scale."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "4000")
+    yield
+    spark.conf.set(key, before)
+
+
+@pytest.mark.parametrize("name", ["trade_order_pre_process", "trade_order_detail", "trade_cancel_detail", "trade_pay_detail_suc",
+                                  "trade_pay_detail_suc_success_only", "dws_trade_order", "dws_trade_payment", "dws_trade_sku_order",
+                                  "trade_order_refund", "trade_refund_pay_suc", "trade_cart_add", "interaction_comment"])
+def test_lookups_shuffle_nothing_by_the_few_codes(spark, small_broadcasts, name):
+    plan = plan_of(QUERIES[name](spark, SF_SMALL))
+    assert not re.findall(r"Exchange hashpartitioning\((?:source_type|payment_type|refund_type|refund_reason_type|appraise)\w*#", plan)

@@ -9,6 +9,7 @@ arithmetic, so the SQL oracle can state it independently.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..constants import FMT_DATETIME
+from ..session import checkpoint_root
 from .tables import read_table
 
 DATABASE = "shop"
@@ -422,11 +424,19 @@ def topic_db(spark: SparkSession, sf_dir: str, tables=None) -> DataFrame:
 # ---------------------------------------------------- dictionary and dims --
 def base_dic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``base_dic(dic_code, dic_name, parent_code)`` from the distinct order
-    priorities."""
+    priorities.
+
+    Stored as a table of its own, as the warehouse has it.  Spark then knows
+    its size: a small one is broadcast.  As a part of the query it would pass
+    for as large as the orders, and every lookup would shuffle all rows by
+    the few codes."""
     o = read_table(spark, sf_dir, "orders").select("o_orderpriority").distinct()
-    return (o.select(dic_code(F.col("o_orderpriority")).alias("dic_code"),
-                     dic_name(F.col("o_orderpriority")).alias("dic_name"),
-                     F.lit(None).cast("string").alias("parent_code")))
+    dic = (o.select(dic_code(F.col("o_orderpriority")).alias("dic_code"),
+                    dic_name(F.col("o_orderpriority")).alias("dic_name"),
+                    F.lit(None).cast("string").alias("parent_code")))
+    path = f"{checkpoint_root(spark).rstrip('/')}/base_dic-{uuid.uuid4().hex}"
+    dic.write.parquet(path)
+    return spark.read.schema(dic.schema).parquet(path)
 
 
 def _category1(letter: Column) -> Column:
