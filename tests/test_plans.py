@@ -64,3 +64,12 @@ def small_broadcasts(spark):
 def test_lookups_shuffle_nothing_by_the_few_codes(spark, small_broadcasts, name):
     plan = plan_of(QUERIES[name](spark, SF_SMALL))
     assert not re.findall(r"Exchange hashpartitioning\((?:source_type|payment_type|refund_type|refund_reason_type|appraise)\w*#", plan)
+
+
+@pytest.mark.parametrize("name", ["trade_order_pre_process", "trade_order_detail", "trade_cancel_detail", "trade_pay_detail_suc",
+                                  "trade_pay_detail_suc_success_only"])
+def test_order_lines_are_shuffled_once_by_detail_id(spark, small_broadcasts, name):
+    # Lines come partitioned by the order; the latest version needs no further exchange by id.
+    plan = plan_of(QUERIES[name](spark, SF_SMALL))
+    assert not re.findall(r"Exchange hashpartitioning\(order_(?:detail_)?id#", plan)
+    assert len(re.findall(r"Exchange hashpartitioning\(id#", plan)) == 1

@@ -33,6 +33,8 @@ def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
 
 
 def latest_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """The last row of each ``keys`` group by ascending ``order``."""
-    return (df.groupBy(*keys).agg(F.max_by(_row(df), _order(order)).alias("_m"))
-            .select("_m.*"))
+    """The last row of each ``keys`` group by ascending ``order``.
+    The keys come from the grouping, so the result stays partitioned by them."""
+    rest = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in keys])
+    return (df.groupBy(*keys).agg(F.max_by(_row(rest), _order(order)).alias("_m"))
+            .select(*[F.col(f"`{c}`") if c in keys else F.col(f"_m.`{c}`") for c in df.columns]))

@@ -39,15 +39,26 @@ def env(spark, sf, *tables) -> DataFrame:
     return fx.topic_db(spark, sf, tables)
 
 
-def changelog(spark, sf) -> DataFrame:
-    e = env(spark, sf, "order_detail", "order_info", "order_detail_activity", "order_detail_coupon")
-    return trade.order_pre_process_changelog(e, fx.base_dic(spark, sf))
+def order_env(spark, sf) -> DataFrame:
+    return fx.topic_db(spark, sf, ["order_detail", "order_info", "order_detail_activity", "order_detail_coupon"], keyed=True)
+
+
+def changelog(spark, sf, latest=False) -> DataFrame:
+    return trade.order_pre_process_changelog(order_env(spark, sf), fx.base_dic(spark, sf), latest)
 
 
 def order_detail(spark, sf) -> DataFrame:
     return trade.order_detail(changelog(spark, sf))
 
 
+def paid_lines(spark, sf, success_only=False, upsert=True) -> DataFrame:
+    """Order placements with their payments, then their promotions: all joins
+    on the order come before the exchange by detail id."""
+    e, dic = order_env(spark, sf), fx.base_dic(spark, sf)
+    return trade.pay_detail_suc(trade.order_detail(trade.dated(trade.order_lines(e, dic))), env(spark, sf, "payment_info"), dic,
+                                success_only, upsert, promotions=e)
+
+
 # ------------------------------------------------------------------ queries --
 def _split(route: str):
     def q(spark, sf):
@@ -65,7 +76,7 @@ def q_user_jump_detail(spark, sf, within=10):
 
 
 def q_trade_order_pre_process(spark, sf):
-    return trade.order_pre_process(changelog(spark, sf)).drop("arrival")
+    return trade.order_pre_process(changelog(spark, sf, latest=True)).drop("arrival")
 
 
 def q_trade_order_detail(spark, sf):
@@ -81,8 +92,7 @@ def q_trade_cart_add(spark, sf):
 
 
 def q_trade_pay_detail_suc(spark, sf, success_only=False):
-    return trade.pay_detail_suc(order_detail(spark, sf), env(spark, sf, "payment_info"),
-                                fx.base_dic(spark, sf), success_only)
+    return paid_lines(spark, sf, success_only)
 
 
 def q_trade_order_refund(spark, sf):
@@ -134,9 +144,7 @@ def q_dws_trade_order(spark, sf):
 def q_dws_trade_payment(spark, sf):
     # The metric reads the payment topic as a plain stream: every version,
     # not the upserted table.
-    pay = trade.pay_detail_suc(order_detail(spark, sf), env(spark, sf, "payment_info"),
-                               fx.base_dic(spark, sf), upsert=False)
-    return metrics.trade_payment(pay)
+    return metrics.trade_payment(paid_lines(spark, sf, upsert=False))
 
 
 def q_dws_trade_sku_order(spark, sf):

@@ -58,7 +58,7 @@ def _kmap(**kv) -> Column:
 
 
 def _envelope(df: DataFrame, table: str, type_: Column | str, data: Column,
-              old: Column | None, ts_sec: Column) -> DataFrame:
+              old: Column | None, ts_sec: Column, key: Column | None = None) -> DataFrame:
     return df.select(
         F.lit(DATABASE).alias("database"),
         F.lit(table).alias("table"),
@@ -66,6 +66,7 @@ def _envelope(df: DataFrame, table: str, type_: Column | str, data: Column,
         data.alias("data"),
         (old if old is not None else F.lit(None).cast(MAP_SS)).alias("old"),
         ts_sec.cast("string").alias("ts"),
+        *([key.alias("key")] if key is not None else []),
     )
 
 
@@ -209,7 +210,9 @@ def _lines(spark, sf_dir) -> DataFrame:
         F.col("o_orderdate").cast("timestamp").alias("odate"),
         F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("osec"),
         dic_code(F.col("o_orderpriority")).alias("prio_code"))
-    df = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+    # Joined on the text that is the lines' order_id, so keyed change records
+    # are partitioned by it.
+    df = li.join(o, _s("l_orderkey") == _s("o_orderkey"), "inner")
     return df.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_returnflag", "l_linestatus", "o_custkey", "odate", "osec", "prio_code",
@@ -242,7 +245,7 @@ def _cdc_order_info(o: DataFrame) -> DataFrame:
     return ins.unionByName(upd)
 
 
-def _cdc_order_detail(li: DataFrame) -> DataFrame:
+def _cdc_order_detail(li: DataFrame, keyed: bool = False) -> DataFrame:
     price_cents = F.expr("price_cents div nullif(qty, 0)")
     data = F.create_map(
         F.lit("id"), F.col("od_id"), F.lit("order_id"), _s("l_orderkey"),
@@ -255,7 +258,7 @@ def _cdc_order_detail(li: DataFrame) -> DataFrame:
         F.when(F.col("l_returnflag") == "R", _money(F.expr("price_cents * disc_pct div 100"))),
         F.lit("split_coupon_amount"),
         F.when(F.col("l_returnflag") == "A", _money(F.expr("price_cents * tax_pct div 100"))))
-    return _envelope(li, "order_detail", "insert", data, None, F.col("osec"))
+    return _envelope(li, "order_detail", "insert", data, None, F.col("osec"), _s("l_orderkey") if keyed else None)
 
 
 def _cdc_detail_activity(li: DataFrame) -> DataFrame:
@@ -395,10 +398,11 @@ LINE_TABLES = ("order_detail", "order_detail_activity", "order_detail_coupon",
 EVENT_TABLES = ("cart_info", "comment_info", "favor_info", "user_info")
 
 
-def topic_db(spark: SparkSession, sf_dir: str, tables=None) -> DataFrame:
+def topic_db(spark: SparkSession, sf_dir: str, tables=None, keyed: bool = False) -> DataFrame:
     """The change-record envelope (``database, table, type, data, old, ts``)
     for the business tables.  ``tables`` limits the branches built; a filter
-    on ``table`` downstream prunes the rest anyway."""
+    on ``table`` downstream prunes the rest anyway.  ``keyed`` adds the
+    records' ``key``: the order's id on order lines, null on all others."""
     want = set(tables) if tables else set(ORDER_TABLES + LINE_TABLES + EVENT_TABLES)
     parts = []
     if want & set(ORDER_TABLES):
@@ -409,7 +413,7 @@ def topic_db(spark: SparkSession, sf_dir: str, tables=None) -> DataFrame:
             parts.append(_cdc_payment(o))
     if want & set(LINE_TABLES):
         li = _lines(spark, sf_dir)
-        builders = {"order_detail": _cdc_order_detail, "order_detail_activity": _cdc_detail_activity,
+        builders = {"order_detail": lambda rows: _cdc_order_detail(rows, keyed), "order_detail_activity": _cdc_detail_activity,
                     "order_detail_coupon": _cdc_detail_coupon, "order_refund_info": _cdc_refund_info,
                     "refund_payment": _cdc_refund_payment, "coupon_use": _cdc_coupon_use}
         parts += [builders[t](li) for t in LINE_TABLES if t in want]
@@ -418,7 +422,7 @@ def topic_db(spark: SparkSession, sf_dir: str, tables=None) -> DataFrame:
         builders = {"cart_info": _cdc_cart, "comment_info": _cdc_comment,
                     "favor_info": _cdc_favor, "user_info": _cdc_user}
         parts += [builders[t](ev) for t in EVENT_TABLES if t in want]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=keyed), parts)
 
 
 # ---------------------------------------------------- dictionary and dims --
