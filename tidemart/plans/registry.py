@@ -39,12 +39,12 @@ def env(spark, sf, *tables) -> DataFrame:
     return fx.topic_db(spark, sf, tables)
 
 
-def order_env(spark, sf) -> DataFrame:
-    return fx.topic_db(spark, sf, ["order_detail", "order_info", "order_detail_activity", "order_detail_coupon"], keyed=True)
+def order_env(spark, sf, together=False) -> DataFrame:
+    return fx.topic_db(spark, sf, ["order_detail", "order_info", "order_detail_activity", "order_detail_coupon"], keyed=True, together=together)
 
 
-def changelog(spark, sf, latest=False) -> DataFrame:
-    return trade.order_pre_process_changelog(order_env(spark, sf), fx.base_dic(spark, sf), latest)
+def changelog(spark, sf) -> DataFrame:
+    return trade.order_pre_process_changelog(order_env(spark, sf), fx.base_dic(spark, sf))
 
 
 def order_detail(spark, sf) -> DataFrame:
@@ -76,7 +76,7 @@ def q_user_jump_detail(spark, sf, within=10):
 
 
 def q_trade_order_pre_process(spark, sf):
-    return trade.order_pre_process(changelog(spark, sf, latest=True)).drop("arrival")
+    return trade.order_pre_process_table(order_env(spark, sf, together=True), fx.base_dic(spark, sf))
 
 
 def q_trade_order_detail(spark, sf):

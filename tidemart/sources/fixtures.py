@@ -228,20 +228,26 @@ def _hours(ts: Column, h: int) -> Column:
     return ts + F.make_interval(hours=F.lit(h))
 
 
-def _cdc_order_info(o: DataFrame) -> DataFrame:
+def _cdc_order_info(o: DataFrame, together: bool = False) -> DataFrame:
     def data(status, operate):
         return F.create_map(
             F.lit("id"), _s("o_orderkey"), F.lit("user_id"), _s("o_custkey"),
             F.lit("province_id"), _s("province"), F.lit("order_status"), status,
             F.lit("total_amount"), _money(_cents("o_totalprice")),
             F.lit("create_time"), _fmt(F.col("odate")), F.lit("operate_time"), operate)
+    has_update = F.col("o_orderstatus").isin("F", "P")
+    new_status = F.when(F.col("o_orderstatus") == "F", "1003").otherwise("1005")
+    operate, before = _fmt(_hours(F.col("odate"), 1)), _kmap(order_status="1001")
+    if together:
+        o = o.withColumn("version", F.explode(F.when(has_update, F.array(F.lit("insert"), F.lit("update"))).otherwise(F.array(F.lit("insert")))))
+        later = F.col("version") == "update"
+        return _envelope(o, "order_info", F.col("version"),
+                         data(F.when(later, new_status).otherwise("1001"), F.when(later, operate)),
+                         F.when(later, before), F.col("osec") + F.when(later, 3600).otherwise(0))
     ins = _envelope(o, "order_info", "insert",
                     data(F.lit("1001"), F.lit(None).cast("string")), None, F.col("osec"))
-    upd_rows = o.filter(F.col("o_orderstatus").isin("F", "P"))
-    new_status = F.when(F.col("o_orderstatus") == "F", "1003").otherwise("1005")
-    upd = _envelope(upd_rows, "order_info", "update",
-                    data(new_status, _fmt(_hours(F.col("odate"), 1))),
-                    _kmap(order_status="1001"), F.col("osec") + 3600)
+    upd = _envelope(o.filter(has_update), "order_info", "update",
+                    data(new_status, operate), before, F.col("osec") + 3600)
     return ins.unionByName(upd)
 
 
@@ -398,17 +404,19 @@ LINE_TABLES = ("order_detail", "order_detail_activity", "order_detail_coupon",
 EVENT_TABLES = ("cart_info", "comment_info", "favor_info", "user_info")
 
 
-def topic_db(spark: SparkSession, sf_dir: str, tables=None, keyed: bool = False) -> DataFrame:
+def topic_db(spark: SparkSession, sf_dir: str, tables=None, keyed: bool = False, together: bool = False) -> DataFrame:
     """The change-record envelope (``database, table, type, data, old, ts``)
     for the business tables.  ``tables`` limits the branches built; a filter
     on ``table`` downstream prunes the rest anyway.  ``keyed`` adds the
-    records' ``key``: the order's id on order lines, null on all others."""
+    records' ``key``: the order's id on order lines, null on all others.
+    ``together`` reads the orders once for both versions of each, for what
+    needs both; else each version has its own branch, which filters prune."""
     want = set(tables) if tables else set(ORDER_TABLES + LINE_TABLES + EVENT_TABLES)
     parts = []
     if want & set(ORDER_TABLES):
         o = _orders(spark, sf_dir)
         if "order_info" in want:
-            parts.append(_cdc_order_info(o))
+            parts.append(_cdc_order_info(o, together))
         if "payment_info" in want:
             parts.append(_cdc_payment(o))
     if want & set(LINE_TABLES):
